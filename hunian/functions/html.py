@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .scalars import trim_text
 
 # The rest of a tag after its name, quoted attribute values may hold '>'.
-_ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
-_ANY_TAG = r"</?[a-zA-Z]" + _ATTRIBUTES
+ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
+_ANY_TAG = r"</?[a-zA-Z]" + ATTRIBUTES
 _NOT_MARKUP = (
     r"(?is)<!--.*?-->|<script(?=[\s>/]).*?</script\s*>|<style(?=[\s>/]).*?</style\s*>"
 )
@@ -36,7 +36,7 @@ class Selector:
         tests = "".join(_attribute("class", rf"(?:{{any}}\s)?\Q{c}\E(?:\s{{any}})?") for c in self.classes)
         if self.href_prefix is not None:
             tests += _attribute("href", rf"\Q{self.href_prefix}\E{{any}}")
-        return rf"<(?i:{self.tag})(?=[\s>/]){tests}{_ATTRIBUTES}"
+        return rf"<(?i:{self.tag})(?=[\s>/]){tests}{ATTRIBUTES}"
 
 
 def _attribute(name: str, value: str) -> str:
@@ -129,7 +129,7 @@ def attribute(tag_text: Column, name: str) -> Column:
 
 def labelled_pairs(markup: Column, tag: str = "p") -> Column:
     """Array of (label, value): adjacent sibling paragraphs; labels are plain text."""
-    paragraph = rf"<(?i:{tag})(?=[\s>/]){_ATTRIBUTES}({inside(tag)})</(?i:{tag})\s*>"
+    paragraph = rf"<(?i:{tag})(?=[\s>/]){ATTRIBUTES}({inside(tag)})</(?i:{tag})\s*>"
     adjacent = rf"{paragraph}(?=[^<]*+{paragraph})"
     labels = F.transform(F.regexp_extract_all(markup, F.lit(adjacent), F.lit(1)), element_text)
     values = F.regexp_extract_all(markup, F.lit(adjacent), F.lit(2))

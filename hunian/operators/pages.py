@@ -51,7 +51,7 @@ def page_cards(pages: DataFrame, site: Site) -> DataFrame:
     others = [c for c in pages.columns if c != "html"]
     link = site.card_link
     body = H.inside(link.tag, site.card_heading) if site.card_heading else ""
-    heading = rf"<(?i:{site.card_heading})(?=[\s>/]){H._ATTRIBUTES}" if site.card_heading else ""
+    heading = rf"<(?i:{site.card_heading})(?=[\s>/]){H.ATTRIBUTES}" if site.card_heading else ""
     stop = site.card_heading or link.tag
     title = rf"{link.opening}{body}{heading}({H.inside(stop)})</(?i:{stop})\s*>"
     cards = pages.select(

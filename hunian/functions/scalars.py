@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +92,11 @@ def absolute_link(base: str, href: Column) -> Column:
     return F.concat(F.lit(base), href)
 
 
+def load_time(now: datetime | None = None) -> Column:
+    """The batch's load time: one value per query, or the given one."""
+    return F.current_timestamp() if now is None else F.lit(now)
+
+
 def iso_text(moment: Column) -> Column:
     """ISO-8601 text of a timestamp, micros kept."""
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

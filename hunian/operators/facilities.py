@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import iso_text
+from ..functions.scalars import iso_text, load_time
 from ..schemas import FACILITY_FILTERS
 
 
@@ -49,6 +50,6 @@ def counts_for(keys: DataFrame, counts: DataFrame, key: str = "kecamatan") -> Da
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in names], key)
 
 
-def facility_rows(counts: DataFrame, now: Column) -> DataFrame:
+def facility_rows(counts: DataFrame, now: datetime | None) -> DataFrame:
     """Add load time and status; a district lacking any count is left out."""
-    return counts.na.drop().withColumns({"timestamp": iso_text(now), "status": F.lit("success")})
+    return counts.na.drop().withColumns({"timestamp": iso_text(load_time(now)), "status": F.lit("success")})

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -35,11 +36,8 @@ class Site:
     labels: dict[str, str] = field(default_factory=_labels)
     exact_labels: bool = False
 
-    def search_url(self, province: Column, page: Column) -> Column:
-        """Address of a province's search page, from the ``search_path`` template."""
-        url = F.lit(self.base_url + self.search_path)
-        url = F.replace(url, F.lit("{province}"), province)
-        return F.replace(url, F.lit("{page}"), page.cast("string"))
+    def search_url(self, province: str, page: int) -> str:
+        return self.base_url + self.search_path.format(province=province, page=page)
 
 
 def page_cards(pages: DataFrame, site: Site) -> DataFrame:
@@ -65,7 +63,7 @@ def page_cards(pages: DataFrame, site: Site) -> DataFrame:
 
 
 def detail_records(
-    pages: DataFrame, site: Site, now: Column, digits_price: bool = False
+    pages: DataFrame, site: Site, now: datetime | None, digits_price: bool = False
 ) -> DataFrame:
     """The 35 raw listing columns of each page (``url``, ``html``, optional ``province``).
 
@@ -95,6 +93,6 @@ def detail_records(
         "agen": scalars.update_agent(update),
         "link_rumah123": F.col("url"),
         **{c: H.labelled_value(F.col("pairs"), label, site.exact_labels) for c, label in site.labels.items()},
-        "waktu_scraping": scalars.iso_text(now),
+        "waktu_scraping": scalars.iso_text(scalars.load_time(now)),
     }
     return scanned.select(*[fields[c].alias(c) for c in LISTING.names])

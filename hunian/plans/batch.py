@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.pages import Site
 from .clean import CleanResult, clean_page
@@ -22,7 +23,7 @@ class BatchResult:
 
 def run_batch(
     spark: SparkSession, store: Store, pages: DataFrame, places: DataFrame, site: Site,
-    country: str = "Indonesia", now: Column | None = None,
+    country: str = "Indonesia", now: datetime | None = None,
 ) -> BatchResult:
     """One page, all steps. An error in any step goes to the caller."""
     new = extract_page(spark, store, pages, site, now)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import facilities as A, keys
@@ -12,7 +14,7 @@ from .store import Store, page_districts, raw_facilities, raw_page, select_batch
 
 
 def count_districts(
-    spark: SparkSession, store: Store, places: DataFrame, country: str = "Indonesia", now: Column | None = None,
+    spark: SparkSession, store: Store, places: DataFrame, country: str = "Indonesia", now: datetime | None = None,
     **options,
 ) -> int:
     """Append a row for every district of the batch without one; returns how many.
@@ -20,7 +22,6 @@ def count_districts(
     ``places`` has ``country``, ``admin_level``, ``kecamatan`` and the tag columns.
     """
     batch = select_batch(spark, store)
-    now = F.current_timestamp() if now is None else now
     raw = raw_page(spark, store, batch)
     if raw is None:
         return 0

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import keys, pages as P
@@ -15,14 +17,14 @@ def search_pages(spark: SparkSession, pages: DataFrame, site: P.Site, batch: Sel
 
     The urls go to the scan as literals, so Parquet skips row groups by them.
     """
-    targets = spark.createDataFrame([(p, batch.page) for p in batch.provinces], "province string, page int")
-    targets = targets.withColumn("url", site.search_url(F.col("province"), F.col("page")))
-    wanted = [r["url"] for r in targets.select("url").collect()]
-    return pages.filter(F.col("url").isin(wanted)).join(keys.broadcast_if_small(targets), "url")
+    rows = [(p, batch.page, site.search_url(p, batch.page)) for p in batch.provinces]
+    targets = spark.createDataFrame(rows, "province string, page int, url string")
+    return pages.filter(F.col("url").isin([url for _, _, url in rows])).join(
+        keys.broadcast_if_small(targets), "url")
 
 
 def new_listings(
-    searched: DataFrame, pages: DataFrame, known: DataFrame, site: P.Site, now: Column,
+    searched: DataFrame, pages: DataFrame, known: DataFrame, site: P.Site, now: datetime | None,
     key: str = "judul_iklan",
 ) -> DataFrame:
     """Raw listings of all cards whose title is not known, one row per card.
@@ -39,16 +41,15 @@ def new_listings(
         F.col("province").alias("provinsi"), "province", "page")
 
 
-def extract_page(spark: SparkSession, store: Store, pages: DataFrame, site: P.Site, now: Column | None = None) -> int:
+def extract_page(spark: SparkSession, store: Store, pages: DataFrame, site: P.Site, now: datetime | None = None) -> int:
     """Append the batch's new listings to the raw store; returns how many.
 
     Rows of an earlier run of the page stay, and their titles are known now: a
     second run adds nothing.
     """
     batch = select_batch(spark, store)
-    now = F.current_timestamp() if now is None else now
     if not batch.provinces:
         return 0
     known = listings.read_all(spark, store.raw_listings).select("judul_iklan")
     rows = new_listings(search_pages(spark, pages, site, batch), pages, known, site, now)
-    return sinks.append_rows(rows.select(*listings.stored_schema().names), store.raw_listings, ["province", "page"])
+    return sinks.append_rows(rows.select(*listings.STORED.names), store.raw_listings, ["province", "page"])

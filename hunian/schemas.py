@@ -4,8 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema of ``name type`` pairs; needs no running session, unlike a DDL string."""
+    pairs = (c.split() for c in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # Names, order and types of the clean listing columns.
-LISTING = T.StructType.fromDDL(
+LISTING = _struct(
     """
     judul_iklan string, harga bigint, kecamatan string, kabupaten_kota string,
     provinsi string, terakhir_diperbarui string, agen string, link_rumah123 string,
@@ -21,7 +36,7 @@ LISTING = T.StructType.fromDDL(
 )
 
 # Names, order and types of the clean facility columns.
-FACILITY = T.StructType.fromDDL(
+FACILITY = _struct(
     """
     jumlah_fasilitas_pendidikan int, jumlah_fasilitas_kesehatan int,
     jumlah_fasilitas_perbelanjaan int, jumlah_fasilitas_transportasi int,
@@ -43,7 +58,10 @@ PROVINCE_COLUMNS = {
     "tingkat_penyelesaian_pendidikan_SMA": ("tingkat_penyelesaian_pendidikan_sma", "double"),
 }
 
-PROGRESS = T.StructType.fromDDL("current_page int, provinces map<string,int>")
+PROGRESS = T.StructType([
+    T.StructField("current_page", T.IntegerType()),
+    T.StructField("provinces", T.MapType(T.StringType(), T.IntegerType())),
+])
 
 # The province slugs a fresh progress state starts with.
 PROVINCES = (

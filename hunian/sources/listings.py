@@ -8,30 +8,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import LISTING_REQUIRED, RAW_LISTING
 from .files import escape_glob, read_csv_by_name, read_existing
 
-STORED = RAW_LISTING.jsonValue()
-
-
-def stored_schema():
-    """Raw listing columns plus the two partition columns."""
-    schema = type(RAW_LISTING).fromJson(STORED)
-    return schema.add("province", "string").add("page", "int")
+#: Raw listing columns plus the two partition columns.
+STORED = T.StructType(
+    [*RAW_LISTING, T.StructField("province", T.StringType()), T.StructField("page", T.IntegerType())])
 
 
 def read_page(spark: SparkSession, root: str, provinces: list[str], page: int) -> DataFrame | None:
     """Stored listings of one page; provinces without data are simply absent."""
     names = [f"province={escape_glob(p)}/page={page}" for p in provinces]
-    reader = spark.read.schema(stored_schema()).option("basePath", root)
+    reader = spark.read.schema(STORED).option("basePath", root)
     return read_existing(reader.parquet, root, names)
 
 
 def read_all(spark: SparkSession, root: str) -> DataFrame:
     """Every stored listing; empty when nothing is stored yet."""
-    found = read_existing(spark.read.schema(stored_schema()).option("basePath", root).parquet, root, ["province=*"])
-    return spark.createDataFrame([], stored_schema()) if found is None else found
+    found = read_existing(spark.read.schema(STORED).option("basePath", root).parquet, root, ["province=*"])
+    return spark.createDataFrame([], STORED) if found is None else found
 
 
 def read_page_csv(spark: SparkSession, root: str, provinces: list[str], page: int) -> DataFrame | None:

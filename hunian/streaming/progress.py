@@ -46,9 +46,9 @@ def selected(state: DataFrame) -> DataFrame:
 
 def advance(state: DataFrame) -> DataFrame:
     """State after the batch: selected provinces and the counter move one page on."""
-    return state.select(
-        (F.col("current_page") + 1).alias("current_page"),
-        advance_pages(F.col("provinces"), F.col("current_page")).alias("provinces"))
+    # In two steps: within one select the lambda would see the new counter.
+    moved = advance_pages(F.col("provinces"), F.col("current_page"))
+    return state.withColumn("provinces", moved).withColumn("current_page", F.col("current_page") + 1)
 
 
 def write_progress(state: DataFrame, path: str) -> None:

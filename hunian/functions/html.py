@@ -7,6 +7,8 @@ regex stack does not grow with the length of a page.
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
@@ -18,9 +20,14 @@ from .scalars import trim_text
 # The rest of a tag after its name, quoted attribute values may hold '>'.
 ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
 _ANY_TAG = r"</?[a-zA-Z]" + ATTRIBUTES
-_NOT_MARKUP = (
-    r"(?is)<!--.*?-->|<script(?=[\s>/]).*?</script\s*>|<style(?=[\s>/]).*?</style\s*>"
-)
+
+
+def _raw_text(tag: str) -> str:
+    """Rest of an element whose content is no markup, after the '<'."""
+    return rf"(?i:{tag})(?=[\s>/])[^<]*+(?:<(?!/(?i:{tag})[\s>])[^<]*+)*+</(?i:{tag})\s*>"
+
+
+_NOT_MARKUP = rf"<(?:!--[^-]*+(?:-(?!->)[^-]*+)*+-->|{_raw_text('script')}|{_raw_text('style')})"
 
 
 @dataclass(frozen=True)
@@ -56,17 +63,23 @@ def visible_markup(html: Column) -> Column:
     return F.regexp_replace(html, _NOT_MARKUP, "")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def decode_entities(text: Column) -> Column:
     """Decode named and numeric entities in one pass, so ``&amp;lt;`` stays ``&lt;``."""
-    names = F.create_map(*[F.lit(x) for n, cp in name2codepoint.items() for x in (f"&{n};", chr(cp))],
-                         F.lit("&apos;"), F.lit("'"))
-    tokens = F.regexp_extract_all(text, F.lit(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|\w+);|[^&]++|&"), F.lit(0))
-    decoded = F.transform(tokens, lambda t: F.when(~t.startswith("&"), t).otherwise(
-        F.coalesce(_code_point(t), F.try_element_at(names, t), t)))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
+    table = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'"}
+    names = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+    token = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|\w+);|[^&]++|&"
+    tokens = F.regexp_extract_all(text, F.lit(token), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(~t.startswith("&"), t).otherwise(
+        F.coalesce(_code_point(t), F.try_element_at(names, t), t))), "")
 
 
 def _code_point(token: Column) -> Column:
+    """The character of a numeric entity; null for anything else."""
     decimal = F.conv(F.regexp_extract(token, r"^&#([0-9]+);$", 1), 10, 16)
     hexadecimal = F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]+);$", 1)
     digits = F.coalesce(F.nullif(hexadecimal, F.lit("")), decimal)
@@ -78,31 +91,29 @@ def _code_point(token: Column) -> Column:
 
 def element_text(inner: Column) -> Column:
     """Text of an element: nested tags dropped, entities decoded, ends trimmed."""
-    return trim_text(decode_entities(F.regexp_replace(inner, _ANY_TAG, "")))
+    plain = F.regexp_replace(inner, _ANY_TAG, "")
+    return trim_text(F.when(F.contains(inner, F.lit("&")), decode_entities(plain)).otherwise(plain))
 
 
-def elements(markup: Column, selector: Selector) -> Column:
-    """Every element ``selector`` finds, in page order, from its opening tag to its end."""
-    pieces = F.split(markup, f"(?={selector.opening})")
-    found = F.filter(pieces, lambda p: p.rlike("^" + selector.opening))
-    return F.transform(found, lambda p: balanced(p, selector.tag))
+def pieces(markup: Column, selector: Selector) -> Column:
+    """The markup from each match of ``selector`` up to the next match, in page order."""
+    parts = F.split(markup, f"(?={selector.opening})")
+    return F.filter(parts, lambda p: p.rlike("^" + selector.opening))
 
 
-def element(markup: Column, selector: Selector, index: int = 0) -> Column:
-    """The ``index``-th match; null if the page has fewer."""
-    pieces = F.split(markup, f"(?={selector.opening})")
-    found = F.filter(pieces, lambda p: p.rlike("^" + selector.opening))
-    return balanced(F.get(found, F.lit(index)), selector.tag)
+def balanced(piece: Column, selector: Selector) -> Column:
+    """Cut ``piece``, which starts with a match of ``selector``, after its end tag.
 
+    An element without its like inside is found by one regex search from the
+    start. Else the parts between end tags are walked with a depth counter;
+    without a matching end tag the whole piece is the element.
+    """
+    tag, end = selector.tag, rf"</(?i:{selector.tag})\s*>"
+    plain = F.regexp_substr(piece, F.lit(rf"^{selector.opening}{inside(tag)}{end}"))
+    return F.coalesce(plain, _walked(piece, tag, end))
 
-def balanced(piece: Column, tag: str) -> Column:
-    """Cut ``piece``, which starts with an opening ``tag``, after the matching end tag.
 
-    The pieces between end tags are walked with a depth counter; without a
-    matching end tag the whole piece is the element.
-    """
-    parts = F.split(piece, rf"(?<=</(?i:{tag})>)")
-    depth = F.transform(parts, lambda p: F.size(F.split(p, rf"<(?i:{tag})(?=[\s>/])")) - 1)
+def _walked(piece: Column, tag: str, end: str) -> Column:
     start = F.struct(F.lit(0).alias("taken"), F.lit(0).alias("open"))
 
     def step(state: Column, opened: Column) -> Column:
@@ -112,23 +123,42 @@ def balanced(piece: Column, tag: str) -> Column:
             F.when(done, 0).otherwise(state["open"] + opened - 1).alias("open"),
         )
 
-    taken = F.aggregate(depth, start, step)["taken"]
-    return F.when(F.size(parts) > 1, F.array_join(F.slice(parts, 1, taken), "")).otherwise(piece)
+    def cut(parts: Column) -> Column:
+        opened = F.transform(parts, lambda p: F.size(F.split(p, rf"<(?i:{tag})(?=[\s>/])")) - 1)
+        taken = F.aggregate(opened, start, step)["taken"]
+        text = F.array_join(F.slice(parts, 1, taken), f"</{tag}>")
+        return F.when(taken < F.size(parts), F.concat(text, F.lit(f"</{tag}>"))).otherwise(text)
+
+    return let(F.split(piece, end), cut)
+
+
+def element(markup: Column, selector: Selector, index: int = 0) -> Column:
+    """The ``index``-th match from its opening to its end tag; null if there are fewer.
+
+    The first match is mostly a plain element, which one search finds without
+    reading on to the end of the page; else all pieces are cut.
+    """
+    any_piece = let(F.get(pieces(markup, selector), F.lit(index)), lambda p: balanced(p, selector))
+    if index:
+        return any_piece
+    end = rf"</(?i:{selector.tag})\s*>"
+    first = F.regexp_substr(markup, F.lit(rf"{selector.opening}{inside(selector.tag)}(?:{end})?"))
+    return let(first, lambda hit: F.when(hit.isNull() | hit.rlike(end + "$"), hit).otherwise(any_piece))
 
 
 def selected_text(markup: Column, selector: Selector, index: int = 0) -> Column:
-    return element_text(element(markup, selector, index))
+    return let(element(markup, selector, index), element_text)
 
 
 def attribute(tag_text: Column, name: str) -> Column:
     """Value of an attribute of the first tag in ``tag_text``; null if it has none."""
     pattern = rf"""^<[^>]*?\s(?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
     value = F.concat(F.regexp_extract(tag_text, pattern, 1), F.regexp_extract(tag_text, pattern, 2))
-    return F.when(tag_text.rlike(pattern), decode_entities(value))
+    return F.when(tag_text.rlike(pattern), let(value, decode_entities))
 
 
 def labelled_pairs(markup: Column, tag: str = "p") -> Column:
-    """Array of (label, value): adjacent sibling paragraphs; labels are plain text."""
+    """Array of (label, value) of adjacent sibling paragraphs: label text, value markup."""
     paragraph = rf"<(?i:{tag})(?=[\s>/]){ATTRIBUTES}({inside(tag)})</(?i:{tag})\s*>"
     adjacent = rf"{paragraph}(?=[^<]*+{paragraph})"
     labels = F.transform(F.regexp_extract_all(markup, F.lit(adjacent), F.lit(1)), element_text)
@@ -136,7 +166,18 @@ def labelled_pairs(markup: Column, tag: str = "p") -> Column:
     return F.arrays_zip(labels.alias("label"), values.alias("value"))
 
 
-def labelled_value(pairs: Column, label: str, exact: bool = False) -> Column:
-    """Value after the first paragraph that contains ``label`` (or equals it)."""
+def pairs_for(pairs: Column, labels: list[str]) -> Column:
+    """Just the pairs whose label holds one of ``labels``, found in one pass."""
+    starts = "".join(sorted({re.escape(label[0]) for label in labels}))
+    any_label = rf"(?=[{starts}])(?:{'|'.join(map(re.escape, labels))})"
+    return F.filter(pairs, lambda p: p["label"].rlike(any_label))
+
+
+def labelled_markup(pairs: Column, label: str, exact: bool = False) -> Column:
+    """Value markup after the first paragraph that contains ``label`` (or equals it)."""
     hit = F.filter(pairs, lambda p: p["label"] == label if exact else F.contains(p["label"], F.lit(label)))
-    return element_text(F.get(hit, F.lit(0))["value"])
+    return F.get(hit, F.lit(0))["value"]
+
+
+def labelled_value(pairs: Column, label: str, exact: bool = False) -> Column:
+    return let(labelled_markup(pairs, label, exact), element_text)

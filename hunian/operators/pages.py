@@ -52,14 +52,20 @@ def page_cards(pages: DataFrame, site: Site) -> DataFrame:
     heading = rf"<(?i:{site.card_heading})(?=[\s>/]){H.ATTRIBUTES}" if site.card_heading else ""
     stop = site.card_heading or link.tag
     title = rf"{link.opening}{body}{heading}({H.inside(stop)})</(?i:{stop})\s*>"
-    cards = pages.select(
-        *others, F.posexplode(H.elements(H.visible_markup(F.col("html")), site.card)).alias("pos", "_card"))
-    first_link = F.regexp_substr("_card", F.lit(link.opening))
-    found = cards.select(
-        *others, "pos",
-        F.when(F.col("_card").rlike(title), H.element_text(F.regexp_extract("_card", title, 1))).alias("judul_iklan"),
-        scalars.absolute_link(site.base_url, H.attribute(first_link, "href")).alias("link"))
-    return found.filter((F.col("judul_iklan") != "") & F.col("link").isNotNull())
+
+    def fields(card: Column) -> Column:
+        first_link = F.regexp_substr(card, F.lit(link.opening))
+        return F.struct(
+            H.let(F.regexp_extract(card, title, 1), H.element_text).alias("judul_iklan"),
+            scalars.absolute_link(site.base_url, H.let(first_link, lambda a: H.attribute(a, "href"))).alias("link"))
+
+    # The fields are cut out before the explode: a filter on them stays above it
+    # and reads them, while below it Spark would work them out a second time.
+    pieces = H.pieces(H.visible_markup(F.col("html")), site.card)
+    cards = F.transform(pieces, lambda p: H.let(H.balanced(p, site.card), fields))
+    return pages.select(*others, F.posexplode(cards).alias("pos", "_card")).select(
+        *others, "pos", "_card.judul_iklan", "_card.link",
+    ).filter((F.col("judul_iklan") != "") & F.col("link").isNotNull())
 
 
 def detail_records(
@@ -71,17 +77,21 @@ def detail_records(
     for the cleaning step unless ``digits_price``.
     """
     province = F.col("province") if "province" in pages.columns else F.lit(None).cast("string")
-    # Two narrow steps, so that each expensive scan of the markup runs once.
-    markup = pages.filter(F.col("html").isNotNull()).select(
-        "url", province.alias("province"), H.visible_markup(F.col("html")).alias("_markup"))
+    # Every step reads its input column more than once, and Spark computes the
+    # steps one by one: each scan of the markup runs once.
     m = F.col("_markup")
-    scanned = markup.select(
-        "url", "province",
-        H.selected_text(m, site.title).alias("title"),
-        H.selected_text(m, site.price).alias("price"),
-        H.selected_text(m, site.location).alias("location"),
-        H.selected_text(m, site.update).alias("update"),
-        H.labelled_pairs(m, site.label_tag).alias("pairs"))
+    steps = pages.filter(F.col("html").isNotNull()).select(
+        "url", province.alias("province"), H.visible_markup(F.col("html")).alias("_markup"))
+    heads = [site.title, site.price, site.location, site.update]
+    steps = steps.select(
+        "url", "province", F.array(*[H.element(m, s) for s in heads]).alias("_heads"),
+        H.labelled_pairs(m, site.label_tag).alias("_pairs"))
+    steps = steps.withColumn("_pairs", H.pairs_for(F.col("_pairs"), list(site.labels.values())))
+    labelled = [H.labelled_markup(F.col("_pairs"), label, site.exact_labels) for label in site.labels.values()]
+    steps = steps.select("url", "province", F.concat("_heads", F.array(*labelled)).alias("_inner"))
+    steps = steps.select("url", "province", F.transform("_inner", H.element_text).alias("_text"))
+    named = ["title", "price", "location", "update", *site.labels]
+    scanned = steps.select("url", "province", *[F.get("_text", F.lit(i)).alias(n) for i, n in enumerate(named)])
     location, update = (F.nullif(F.col(c), F.lit("")) for c in ("location", "update"))
     fields = {
         "judul_iklan": F.col("title"),
@@ -92,7 +102,7 @@ def detail_records(
         "terakhir_diperbarui": scalars.update_date(update),
         "agen": scalars.update_agent(update),
         "link_rumah123": F.col("url"),
-        **{c: H.labelled_value(F.col("pairs"), label, site.exact_labels) for c, label in site.labels.items()},
+        **{c: F.col(c) for c in site.labels},
         "waktu_scraping": scalars.iso_text(scalars.load_time(now)),
     }
     return scanned.select(*[fields[c].alias(c) for c in LISTING.names])

@@ -173,11 +173,11 @@ def pairs_for(pairs: Column, labels: list[str]) -> Column:
     return F.filter(pairs, lambda p: p["label"].rlike(any_label))
 
 
-def labelled_markup(pairs: Column, label: str, exact: bool = False) -> Column:
+def labelled_markup(pairs: Column, label: Column, exact: bool = False) -> Column:
     """Value markup after the first paragraph that contains ``label`` (or equals it)."""
-    hit = F.filter(pairs, lambda p: p["label"] == label if exact else F.contains(p["label"], F.lit(label)))
+    hit = F.filter(pairs, lambda p: p["label"] == label if exact else F.contains(p["label"], label))
     return F.get(hit, F.lit(0))["value"]
 
 
 def labelled_value(pairs: Column, label: str, exact: bool = False) -> Column:
-    return let(labelled_markup(pairs, label, exact), element_text)
+    return let(labelled_markup(pairs, F.lit(label), exact), element_text)

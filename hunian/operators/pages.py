@@ -77,19 +77,19 @@ def detail_records(
     for the cleaning step unless ``digits_price``.
     """
     province = F.col("province") if "province" in pages.columns else F.lit(None).cast("string")
-    # Every step reads its input column more than once, and Spark computes the
-    # steps one by one: each scan of the markup runs once.
+    # ``let`` and the narrow steps keep each scan of the markup to one run: a
+    # lambda or a merged projection would repeat it for every field.
     m = F.col("_markup")
     steps = pages.filter(F.col("html").isNotNull()).select(
         "url", province.alias("province"), H.visible_markup(F.col("html")).alias("_markup"))
-    heads = [site.title, site.price, site.location, site.update]
+    heads = F.array(*[H.element(m, s) for s in (site.title, site.price, site.location, site.update)])
+    labels = list(site.labels.values())
+    labelled = H.let(
+        H.pairs_for(H.labelled_pairs(m, site.label_tag), labels),
+        lambda pairs: F.transform(
+            F.array(*map(F.lit, labels)), lambda label: H.labelled_markup(pairs, label, site.exact_labels)))
     steps = steps.select(
-        "url", "province", F.array(*[H.element(m, s) for s in heads]).alias("_heads"),
-        H.labelled_pairs(m, site.label_tag).alias("_pairs"))
-    steps = steps.withColumn("_pairs", H.pairs_for(F.col("_pairs"), list(site.labels.values())))
-    labelled = [H.labelled_markup(F.col("_pairs"), label, site.exact_labels) for label in site.labels.values()]
-    steps = steps.select("url", "province", F.concat("_heads", F.array(*labelled)).alias("_inner"))
-    steps = steps.select("url", "province", F.transform("_inner", H.element_text).alias("_text"))
+        "url", "province", F.transform(F.concat(heads, labelled), H.element_text).alias("_text"))
     named = ["title", "price", "location", "update", *site.labels]
     scanned = steps.select("url", "province", *[F.get("_text", F.lit(i)).alias(n) for i, n in enumerate(named)])
     location, update = (F.nullif(F.col(c), F.lit("")) for c in ("location", "update"))

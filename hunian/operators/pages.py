@@ -105,4 +105,6 @@ def detail_records(
         **{c: F.col(c) for c in site.labels},
         "waktu_scraping": scalars.iso_text(scalars.load_time(now)),
     }
-    return scanned.select(*[fields[c].alias(c) for c in LISTING.names])
+    # A column without a label on this site is null.
+    missing = F.lit(None).cast("string")
+    return scanned.select(*[fields.get(c, missing).alias(c) for c in LISTING.names])

@@ -19,6 +19,7 @@ from .scalars import trim_text
 
 # The rest of a tag after its name, quoted attribute values may hold '>'.
 ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
+_BEFORE = r"""[^>"']*?(?:(?:"[^"]*+"|'[^']*+')[^>"']*?)*?"""
 _ANY_TAG = r"</?[a-zA-Z]" + ATTRIBUTES
 
 
@@ -49,7 +50,7 @@ class Selector:
 def _attribute(name: str, value: str) -> str:
     """Look ahead for an attribute; ``{any}`` in ``value`` is any run inside the quotes."""
     double, single = value.replace("{any}", '[^"]*'), value.replace("{any}", "[^']*")
-    return rf"""(?=[^>]*?\s(?i:{name})\s*=\s*(?:"{double}"|'{single}'))"""
+    return rf"""(?={_BEFORE}\s(?i:{name})\s*=\s*(?:"{double}"|'{single}'))"""
 
 
 def inside(tag: str, *stops: str) -> str:
@@ -136,14 +137,18 @@ def element(markup: Column, selector: Selector, index: int = 0) -> Column:
     """The ``index``-th match from its opening to its end tag; null if there are fewer.
 
     The first match is mostly a plain element, which one search finds without
-    reading on to the end of the page; else all pieces are cut.
+    reading on to the end of the page; else the page is cut at every match.
     """
-    any_piece = let(F.get(pieces(markup, selector), F.lit(index)), lambda p: balanced(p, selector))
+    def cut(found: Column) -> Column:
+        from_match = F.array_join(F.slice(found, index + 1, F.size(found)), "")
+        return F.when(F.size(found) > index, let(from_match, lambda p: balanced(p, selector)))
+
+    any_match = let(pieces(markup, selector), cut)
     if index:
-        return any_piece
+        return any_match
     end = rf"</(?i:{selector.tag})\s*>"
     first = F.regexp_substr(markup, F.lit(rf"{selector.opening}{inside(selector.tag)}(?:{end})?"))
-    return let(first, lambda hit: F.when(hit.isNull() | hit.rlike(end + "$"), hit).otherwise(any_piece))
+    return let(first, lambda hit: F.when(hit.isNull() | hit.rlike(end + "$"), hit).otherwise(any_match))
 
 
 def selected_text(markup: Column, selector: Selector, index: int = 0) -> Column:
@@ -152,7 +157,7 @@ def selected_text(markup: Column, selector: Selector, index: int = 0) -> Column:
 
 def attribute(tag_text: Column, name: str) -> Column:
     """Value of an attribute of the first tag in ``tag_text``; null if it has none."""
-    pattern = rf"""^<[^>]*?\s(?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    pattern = rf"""^<{_BEFORE}\s(?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
     value = F.concat(F.regexp_extract(tag_text, pattern, 1), F.regexp_extract(tag_text, pattern, 2))
     return F.when(tag_text.rlike(pattern), let(value, decode_entities))
 

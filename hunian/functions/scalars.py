@@ -1,4 +1,8 @@
-"""Text, number, JSON and map expressions. None of them raises on bad input."""
+"""Text, number, JSON and map expressions. None of them raises on bad input.
+
+``try_cast`` from text to a number works by a caught exception, which costs far
+more than a search. So text reaches it only after a pattern has accepted it.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +19,10 @@ WHITESPACE = (
     "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-_INTEGRAL = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+_INTEGRAL = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
+_FRACTIONAL = (
+    r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?[dDfF]?|(?i:nan|inf|infinity))\s*$"
+)
 
 # Price units and their worth.
 PRICE_UNITS = (("Miliar", 1_000_000_000), ("Juta", 1_000_000))
@@ -35,23 +42,21 @@ def digits_only(text: Column) -> Column:
 def price(text: Column, allow_whole: bool = False) -> Column:
     """``Rp 1,5 Miliar`` -> 1500000000, exact through decimals.
 
-    A number without a decimal part counts only with ``allow_whole``.
+    A number without a decimal part counts only with ``allow_whole``. The larger
+    unit wins in a text with both.
     """
     number = r"\d+(?:,\d+)?" if allow_whole else r"\d+,\d+"
-    result = None
-    for unit, worth in PRICE_UNITS:
-        pattern = rf"Rp ({number}) {unit}"
-        amount = F.replace(F.regexp_extract(text, pattern, 1), F.lit(","), F.lit("."))
-        value = (amount.try_cast("decimal(18,6)") * F.lit(worth)).try_cast("bigint")
-        matches = text.rlike(pattern)
-        result = F.when(matches, value) if result is None else result.when(matches, value)
-    return result.otherwise(F.lit(None).cast("bigint"))
+    result = F.lit(None).cast("bigint")
+    for unit, worth in reversed(PRICE_UNITS):
+        amount = F.regexp_extract(text, rf"Rp ({number}) {unit}", 1)
+        value = F.replace(amount, F.lit(","), F.lit(".")).try_cast("decimal(18,6)") * F.lit(worth)
+        result = F.when(amount != "", value.try_cast("bigint")).otherwise(result)
+    return result
 
 
 def to_int(text: Column) -> Column:
     """Integer cast that truncates ``3.7`` to 3 and gives null for anything else odd."""
-    whole = F.regexp_extract(text, r"([+-]?\d+)", 1)
-    return F.when(text.rlike(_INTEGRAL), whole.try_cast("int"))
+    return F.nullif(F.regexp_extract(text, _INTEGRAL, 1), F.lit("")).try_cast("int")
 
 
 def typed(text: Column, to: T.DataType) -> Column:
@@ -60,6 +65,8 @@ def typed(text: Column, to: T.DataType) -> Column:
         return text.cast(to)
     if isinstance(to, T.IntegerType):
         return to_int(text)
+    if isinstance(to, T.FloatType):
+        return F.when(text.rlike(_FRACTIONAL), text.try_cast(to))
     return text.try_cast(to)
 
 

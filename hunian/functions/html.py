@@ -162,20 +162,22 @@ def attribute(tag_text: Column, name: str) -> Column:
     return F.when(tag_text.rlike(pattern), let(value, decode_entities))
 
 
-def labelled_pairs(markup: Column, tag: str = "p") -> Column:
-    """Array of (label, value) of adjacent sibling paragraphs: label text, value markup."""
+def labelled_pairs(markup: Column, labels: list[str], tag: str = "p") -> Column:
+    """Array of (label, value) of adjacent sibling paragraphs: label text, value markup.
+
+    Paragraphs that cannot hold one of ``labels`` are left out by one search,
+    before their text is cleaned; inside markup or entities a label may hide.
+    """
     paragraph = rf"<(?i:{tag})(?=[\s>/]){ATTRIBUTES}({inside(tag)})</(?i:{tag})\s*>"
     adjacent = rf"{paragraph}(?=[^<]*+{paragraph})"
-    labels = F.transform(F.regexp_extract_all(markup, F.lit(adjacent), F.lit(1)), element_text)
-    values = F.regexp_extract_all(markup, F.lit(adjacent), F.lit(2))
-    return F.arrays_zip(labels.alias("label"), values.alias("value"))
-
-
-def pairs_for(pairs: Column, labels: list[str]) -> Column:
-    """Just the pairs whose label holds one of ``labels``, found in one pass."""
     starts = "".join(sorted({re.escape(label[0]) for label in labels}))
-    any_label = rf"(?=[{starts}])(?:{'|'.join(map(re.escape, labels))})"
-    return F.filter(pairs, lambda p: p["label"].rlike(any_label))
+    candidate = rf"[<&]|(?=[{starts}])(?:{'|'.join(map(re.escape, labels))})"
+    found = F.arrays_zip(
+        F.regexp_extract_all(markup, F.lit(adjacent), F.lit(1)).alias("label"),
+        F.regexp_extract_all(markup, F.lit(adjacent), F.lit(2)).alias("value"))
+    return F.transform(
+        F.filter(found, lambda p: p["label"].rlike(candidate)),
+        lambda p: F.struct(element_text(p["label"]).alias("label"), p["value"].alias("value")))
 
 
 def labelled_markup(pairs: Column, label: Column, exact: bool = False) -> Column:

@@ -85,7 +85,7 @@ def detail_records(
     heads = F.array(*[H.element(m, s) for s in (site.title, site.price, site.location, site.update)])
     labels = list(site.labels.values())
     labelled = H.let(
-        H.pairs_for(H.labelled_pairs(m, site.label_tag), labels),
+        H.labelled_pairs(m, labels, site.label_tag),
         lambda pairs: F.transform(
             F.array(*map(F.lit, labels)), lambda label: H.labelled_markup(pairs, label, site.exact_labels)))
     steps = steps.select(

@@ -386,7 +386,8 @@ def labelled_values(spark: SparkSession, folder: str) -> DataFrame:
     """Value after the first paragraph containing a label, adjacent paragraphs only."""
     pages = _read(spark, folder, "pages").select("page_id", H.visible_markup(F.col("html")).alias("m"))
     values = [H.labelled_value(F.col("pairs"), label).alias(name) for name, label in SITE.labels.items()]
-    return pages.select("page_id", H.labelled_pairs(F.col("m")).alias("pairs")).select("page_id", *values)
+    pairs = H.labelled_pairs(F.col("m"), list(SITE.labels.values()))
+    return pages.select("page_id", pairs.alias("pairs")).select("page_id", *values)
 
 
 _DETAILS = f"""
@@ -434,7 +435,7 @@ def extracted_listings(spark: SparkSession, folder: str) -> DataFrame:
     first = P.page_cards(pages.select("page_id", "html"), SITE).filter(F.col("pos") == 0)
     addresses = first.groupBy(F.col("link").alias("url")).agg(F.min("page_id").alias("page_id"))
     details = addresses.join(pages.select("page_id", "html"), "page_id").select("url", "html")
-    rows = new_listings(searched, details, known, SITE, datetime(2024, 5, 1))
+    rows = new_listings(spark, searched, details, known, SITE, datetime(2024, 5, 1))
     return rows.select("link_rumah123", "province", "judul_iklan")
 
 

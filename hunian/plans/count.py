@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import facilities as A, keys
 from ..schemas import RAW_FACILITY
 from ..sources import sinks
-from .store import Store, page_districts, raw_facilities, raw_page, select_batch
+from .store import Store, page_districts, raw_facilities, raw_page, select_batch, writable
 
 
 def count_districts(
@@ -21,6 +21,7 @@ def count_districts(
 
     ``places`` has ``country``, ``admin_level``, ``kecamatan`` and the tag columns.
     """
+    writable(store)
     batch = select_batch(spark, store)
     raw = raw_page(spark, store, batch)
     if raw is None:

@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from ..operators import keys, pages as P
 from ..sources import listings, sinks
-from .store import Selection, Store, select_batch
+from ..sources.files import scratch
+from .store import Selection, Store, select_batch, writable
+
+#: Up to this many new cards their links' hashes (8 bytes each) are broadcast.
+LINK_HASHES = 1_000_000
 
 
 def search_pages(spark: SparkSession, pages: DataFrame, site: P.Site, batch: Selection) -> DataFrame:
@@ -23,33 +27,51 @@ def search_pages(spark: SparkSession, pages: DataFrame, site: P.Site, batch: Sel
         keys.broadcast_if_small(targets), "url")
 
 
+def new_cards(
+    spark: SparkSession, searched: DataFrame, known: DataFrame, site: P.Site, key: str = "judul_iklan",
+) -> tuple[DataFrame, int]:
+    """Cards whose title is not known, written once to scratch, and their number.
+
+    Search pages are parsed a single time; the later steps read the small table.
+    """
+    cards = P.page_cards(searched.select("province", "page", "html"), site)
+    path = scratch(spark, "new-cards")
+    count = sinks.append_rows(keys.keep_new(cards, known, key).select("province", "page", "link"), path, [])
+    return spark.read.schema("province string, page int, link string").parquet(path), count
+
+
 def new_listings(
-    searched: DataFrame, pages: DataFrame, known: DataFrame, site: P.Site, now: datetime | None,
-    key: str = "judul_iklan",
+    spark: SparkSession, searched: DataFrame, pages: DataFrame, known: DataFrame, site: P.Site,
+    now: datetime | None = None, link_hashes: int = LINK_HASHES,
 ) -> DataFrame:
-    """Raw listings of all cards whose title is not known, one row per card.
+    """Raw listings of all new cards, one row per card that has a fetched page.
 
     ``pages`` holds one page per url. Detail fields are cut out of the markup
-    before the join, so no markup is shuffled; a card without a fetched page
-    gives no row.
+    before the join, so no markup is shuffled. Pages nobody asked for are kept
+    out of that work by the hashes of the links while those fit a broadcast;
+    beyond that all pages are parsed and the join alone decides.
     """
-    cards = P.page_cards(searched.select("province", "page", "html"), site)
-    fresh = keys.keep_new(cards, known, key).select("province", "page", "link")
-    details = P.detail_records(pages, site, now)
-    return fresh.join(details, fresh["link"] == details["link_rumah123"]).select(
-        *[F.col("province") if c == "provinsi" else F.col(c) for c in details.columns if c != "provinsi"],
-        F.col("province").alias("provinsi"), "province", "page")
+    cards, count = new_cards(spark, searched, known, site)
+    if count <= link_hashes:
+        hashes = cards.select(F.xxhash64("link").alias("_hash")).distinct()
+        pages = pages.join(F.broadcast(hashes), F.xxhash64("url") == F.col("_hash"), "left_semi")
+    details = P.detail_records(pages.select("url", "html"), site, now)
+    joined = cards.join(details.drop("provinsi"), F.col("link") == F.col("link_rumah123"))
+    return joined.withColumn("provinsi", F.col("province")).select(*listings.STORED.names)
 
 
-def extract_page(spark: SparkSession, store: Store, pages: DataFrame, site: P.Site, now: datetime | None = None) -> int:
+def extract_page(
+    spark: SparkSession, store: Store, pages: DataFrame, site: P.Site, now: datetime | None = None
+) -> int:
     """Append the batch's new listings to the raw store; returns how many.
 
     Rows of an earlier run of the page stay, and their titles are known now: a
     second run adds nothing.
     """
+    writable(store)
     batch = select_batch(spark, store)
     if not batch.provinces:
         return 0
     known = listings.read_all(spark, store.raw_listings).select("judul_iklan")
-    rows = new_listings(search_pages(spark, pages, site, batch), pages, known, site, now)
-    return sinks.append_rows(rows.select(*listings.STORED.names), store.raw_listings, ["province", "page"])
+    rows = new_listings(spark, search_pages(spark, pages, site, batch), pages, known, site, now)
+    return sinks.append_rows(rows, store.raw_listings, ["province", "page"])

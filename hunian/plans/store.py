@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import keys
-from ..sources import facilities, listings
+from ..schemas import LISTING_REQUIRED, RAW_FACILITY
+from ..sources import facilities, listings, sinks
 from ..streaming import progress
 
 
@@ -42,6 +44,12 @@ class Selection:
     state: DataFrame
 
 
+def writable(store: Store) -> None:
+    """Raw tables are written as Parquet only; a CSV tree has to be adopted first."""
+    if store.raw_format != "parquet":
+        raise ValueError("The raw CSV tree is read only; see adopt_csv_tree")
+
+
 def select_batch(spark: SparkSession, store: Store) -> Selection:
     """Read the progress document; it is one row and names each province once."""
     state = progress.read_progress(spark, store.progress)
@@ -66,3 +74,19 @@ def raw_facilities(spark: SparkSession, store: Store) -> DataFrame | None:
 
 def page_districts(raw: DataFrame) -> DataFrame:
     return keys.distinct_keys(raw, "kecamatan")
+
+
+def adopt_csv_tree(spark: SparkSession, store: Store, target: Store) -> tuple[int, int]:
+    """Copy the raw CSV files of ``store`` into the Parquet tables of ``target``."""
+    raw = listings.read_all_csv(spark, store.raw_listings, LISTING_REQUIRED)
+    found = facilities.read_facilities_csv(spark, store.raw_facilities)
+    return (
+        0 if raw is None else sinks.append_rows(_named(raw, listings.STORED), target.raw_listings, ["province", "page"]),
+        0 if found is None else sinks.append_rows(_named(found, RAW_FACILITY), target.raw_facilities, []),
+    )
+
+
+def _named(df: DataFrame, schema) -> DataFrame:
+    """The columns of ``schema``; one the files lack is null."""
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from hunian.plans import clean as clean_job
 from hunian.plans.batch import run_batch
 from hunian.plans.clean import clean_page
-from hunian.plans.extract import extract_page
-from hunian.plans.store import Store, select_batch
+from hunian.plans.extract import extract_page, new_listings
+from hunian.plans.store import Store, adopt_csv_tree, select_batch
 from hunian.schemas import FACILITY_COUNTS, FACILITY_REQUIRED, LISTING, LISTING_REQUIRED
 from hunian.sources import listings
 from hunian.streaming import progress
@@ -207,6 +207,28 @@ def test_missing_column_is_an_error_and_state_stays(spark, csv_store):
     assert titles == {'Rumah, "baru"\nluas', "No district", "Reversed", "Behind", "x"}
 
 
+def test_adopted_csv_tree_cleans_alike(spark, csv_store, tmp_path):
+    target = Store.under(str(tmp_path / "adopted"))
+    assert adopt_csv_tree(spark, csv_store, target) == (4, 4)
+    progress.write_progress(progress.read_progress(spark, csv_store.progress), target.progress)
+    with pytest.raises(ValueError, match="read only"):
+        extract_page(spark, csv_store, pages_table(spark), SITE, NOW)
+    for store in (csv_store, target):
+        clean_page(spark, store)
+    names = LISTING.names
+    one, two = (sorted(map(str, spark.read.parquet(s.clean_listings).select(*names).collect())) for s in (csv_store, target))
+    assert one == two and len(one) == 3
+
+
+@pytest.mark.parametrize("link_hashes", [1_000_000, 0])
+def test_new_listings_with_and_without_link_hashes(spark, link_hashes):
+    pages = pages_table(spark)
+    searched = pages.filter("url LIKE '%/rumah/%'").withColumns({"province": F.lit("bali"), "page": F.lit(1)})
+    known = spark.createDataFrame([("Rumah R",), (None,)], "judul_iklan string")
+    rows = new_listings(spark, searched, pages, known, SITE, NOW, link_hashes).collect()
+    assert sorted(r["link_rumah123"][-2:] for r in rows) == ["/a", "a2", "ad"]
+
+
 def test_page_read_but_empty_replaces_old_page(spark, tmp_path):
     store = Store.under(str(tmp_path), raw_format="csv")
     path = f"{store.raw_listings}/bali/page_1_bali.csv"

@@ -129,7 +129,7 @@ def test_selected_text(spark):
 
 def test_labelled_values(spark):
     def value(label, exact=False):
-        return lambda c: H.labelled_value(H.labelled_pairs(H.visible_markup(c)), label, exact)
+        return lambda c: H.labelled_value(H.labelled_pairs(H.visible_markup(c), [label]), label, exact)
     got = apply(spark, [PAGE], value("Kamar Tidur"), value("Kamar Tidur", True), value("Dapur"), value("Hook"), value("Garasi"))
     # Contains, first, adjacent: the servant's bedroom comes first on this page.
     assert got == [("1", "3 x", None, None, None)]
@@ -139,7 +139,7 @@ def test_long_page_needs_no_deep_stack(spark):
     page = "<h1>" + "<b>x</b> & " * 50_000 + "</h1>" + "<p>a</p><p>" + "<i>b</i>" * 50_000 + "</p>" + "<div><div>" * 3_000
     title, pairs, div = apply(
         spark, [page], lambda c: H.selected_text(H.visible_markup(c), H.Selector("h1")),
-        lambda c: F.size(H.labelled_pairs(c)), lambda c: F.length(H.element(c, H.Selector("div"))))[0]
+        lambda c: F.size(H.labelled_pairs(c, ["a"])), lambda c: F.length(H.element(c, H.Selector("div"))))[0]
     assert title == ("x & " * 50_000).strip()
     assert pairs == 1 and div == len("<div><div>") * 3_000
 

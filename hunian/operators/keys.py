@@ -20,7 +20,7 @@ BROADCAST_ROWS = 10_000
 def distinct_keys(df: DataFrame, key: str, keep_null: bool = False) -> DataFrame:
     """One row per value of ``key``; null is dropped unless ``keep_null``."""
     keys = df.select(key)
-    return (keys if keep_null else keys.na.drop()).distinct()
+    return (keys if keep_null else keys.filter(F.col(key).isNotNull())).distinct()
 
 
 def union_keys(frames: list[DataFrame], key: str) -> DataFrame:

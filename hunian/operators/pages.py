@@ -69,10 +69,11 @@ def page_cards(pages: DataFrame, site: Site) -> DataFrame:
 
 
 def detail_records(
-    pages: DataFrame, site: Site, now: datetime | None, digits_price: bool = False
+    pages: DataFrame, site: Site, now: datetime | None, digits_price: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """The 35 raw listing columns of each page (``url``, ``html``, optional ``province``).
 
+    Page columns named in ``keep`` follow them.
     Pages whose fetch failed carry no html and give no row. The price stays text
     for the cleaning step unless ``digits_price``.
     """
@@ -81,7 +82,7 @@ def detail_records(
     # lambda or a merged projection would repeat it for every field.
     m = F.col("_markup")
     steps = pages.filter(F.col("html").isNotNull()).select(
-        "url", province.alias("province"), H.visible_markup(F.col("html")).alias("_markup"))
+        "url", province.alias("province"), *keep, H.visible_markup(F.col("html")).alias("_markup"))
     heads = F.array(*[H.element(m, s) for s in (site.title, site.price, site.location, site.update)])
     labels = list(site.labels.values())
     labelled = H.let(
@@ -89,9 +90,10 @@ def detail_records(
         lambda pairs: F.transform(
             F.array(*map(F.lit, labels)), lambda label: H.labelled_markup(pairs, label, site.exact_labels)))
     steps = steps.select(
-        "url", "province", F.transform(F.concat(heads, labelled), H.element_text).alias("_text"))
+        "url", "province", *keep, F.transform(F.concat(heads, labelled), H.element_text).alias("_text"))
     named = ["title", "price", "location", "update", *site.labels]
-    scanned = steps.select("url", "province", *[F.get("_text", F.lit(i)).alias(n) for i, n in enumerate(named)])
+    scanned = steps.select(
+        "url", "province", *keep, *[F.get("_text", F.lit(i)).alias(n) for i, n in enumerate(named)])
     location, update = (F.nullif(F.col(c), F.lit("")) for c in ("location", "update"))
     fields = {
         "judul_iklan": F.col("title"),
@@ -107,4 +109,4 @@ def detail_records(
     }
     # A column without a label on this site is null.
     missing = F.lit(None).cast("string")
-    return scanned.select(*[fields.get(c, missing).alias(c) for c in LISTING.names])
+    return scanned.select(*[fields.get(c, missing).alias(c) for c in LISTING.names], *keep)

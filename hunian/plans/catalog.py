@@ -426,16 +426,16 @@ def _language(url: str = "url") -> str:
 def extracted_listings(spark: SparkSession, folder: str) -> DataFrame:
     """Extract job: cards of search pages, known titles out, joined with their detail pages.
 
-    A page's first link serves as the address of its own detail page, and the
-    titles of sixth cards count as known.
+    A page's first link serves as the address of its own detail page, the lowest
+    page number wins an address, and the titles of sixth cards count as known.
     """
     pages = _read(spark, folder, "pages")
     searched = pages.select(F.expr(_language()).alias("province"), F.lit(1).alias("page"), "html")
     known = P.page_cards(pages.select("html"), SITE).filter(F.col("pos") == 5)
-    first = P.page_cards(pages.select("page_id", "html"), SITE).filter(F.col("pos") == 0)
-    addresses = first.groupBy(F.col("link").alias("url")).agg(F.min("page_id").alias("page_id"))
-    details = addresses.join(pages.select("page_id", "html"), "page_id").select("url", "html")
-    rows = new_listings(spark, searched, details, known, SITE, datetime(2024, 5, 1))
+    first = H.let(H.element(H.visible_markup(F.col("html")), SITE.card_link), lambda a: H.attribute(a, "href"))
+    details = pages.select(
+        F.concat(F.lit(SITE.base_url), first).alias("url"), "html", (-F.col("page_id")).alias("version"))
+    rows = new_listings(spark, searched, details, known, SITE, datetime(2024, 5, 1), version="version")
     return rows.select("link_rumah123", "province", "judul_iklan")
 
 

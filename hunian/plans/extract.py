@@ -42,12 +42,13 @@ def new_cards(
 
 def new_listings(
     spark: SparkSession, searched: DataFrame, pages: DataFrame, known: DataFrame, site: P.Site,
-    now: datetime | None = None, link_hashes: int = LINK_HASHES,
+    now: datetime | None = None, link_hashes: int = LINK_HASHES, version: str | None = None,
 ) -> DataFrame:
     """Raw listings of all new cards, one row per card that has a fetched page.
 
-    ``pages`` holds one page per url. Detail fields are cut out of the markup
-    before the join, so no markup is shuffled. Pages nobody asked for are kept
+    ``pages`` holds one page per url, or several of which the one with the
+    largest ``version`` counts. Detail fields are cut out of the markup before
+    any shuffle, so no markup is moved. Pages nobody asked for are kept
     out of that work by the hashes of the links while those fit a broadcast;
     beyond that all pages are parsed and the join alone decides.
     """
@@ -55,7 +56,11 @@ def new_listings(
     if count <= link_hashes:
         hashes = cards.select(F.xxhash64("link").alias("_hash")).distinct()
         pages = pages.join(F.broadcast(hashes), F.xxhash64("url") == F.col("_hash"), "left_semi")
-    details = P.detail_records(pages.select("url", "html"), site, now)
+    keep = (version,) if version else ()
+    details = P.detail_records(pages.select("url", "html", *keep), site, now, keep=keep)
+    if version:
+        newest = F.max_by(F.struct(*details.columns), version).alias("_newest")
+        details = details.groupBy("link_rumah123").agg(newest).select("_newest.*").drop(version)
     joined = cards.join(details.drop("provinsi"), F.col("link") == F.col("link_rumah123"))
     return joined.withColumn("provinsi", F.col("province")).select(*listings.STORED.names)
 

@@ -229,6 +229,16 @@ def test_new_listings_with_and_without_link_hashes(spark, link_hashes):
     assert sorted(r["link_rumah123"][-2:] for r in rows) == ["/a", "a2", "ad"]
 
 
+def test_newest_fetch_of_a_page_counts(spark):
+    pages = spark.createDataFrame([
+        (f"{BASE}/properti/a", detail("Old"), 1), (f"{BASE}/properti/a", detail("New", pairs=[("Hook", "Ya")]), 2)],
+        "url string, html string, fetched int")
+    searched = spark.createDataFrame([("bali", 1, search(card("A", "/properti/a"), card("A", "/properti/a")))], "province string, page int, html string")
+    known = spark.createDataFrame([], "judul_iklan string")
+    rows = new_listings(spark, searched, pages, known, SITE, NOW, version="fetched").collect()
+    assert [(r["judul_iklan"], r["hook"], r["provinsi"], r["page"]) for r in rows] == [("New", "Ya", "bali", 1)] * 2
+
+
 def test_page_read_but_empty_replaces_old_page(spark, tmp_path):
     store = Store.under(str(tmp_path), raw_format="csv")
     path = f"{store.raw_listings}/bali/page_1_bali.csv"

@@ -102,53 +102,52 @@ def pieces(markup: Column, selector: Selector) -> Column:
     return F.filter(parts, lambda p: p.rlike("^" + selector.opening))
 
 
-def balanced(piece: Column, selector: Selector) -> Column:
-    """Cut ``piece``, which starts with a match of ``selector``, after its end tag.
+def from_first(markup: Column, selector: Selector) -> Column:
+    """The first match up to its end tag, or to the end of ``markup`` if it holds its like.
 
-    An element without its like inside is found by one regex search from the
-    start. Else the parts between end tags are walked with a depth counter;
-    without a matching end tag the whole piece is the element.
+    One search, which for a plain element does not read on; null without a match.
     """
-    tag, end = selector.tag, rf"</(?i:{selector.tag})\s*>"
-    plain = F.regexp_substr(piece, F.lit(rf"^{selector.opening}{inside(tag)}{end}"))
-    return F.coalesce(plain, _walked(piece, tag, end))
+    plain = rf"{inside(selector.tag)}</(?i:{selector.tag})\s*>"
+    return F.regexp_substr(markup, F.lit(rf"{selector.opening}(?:{plain}|(?s:.*))"))
 
 
-def _walked(piece: Column, tag: str, end: str) -> Column:
+def up_to_end(text: Column, tag: Column) -> Column:
+    """Cut ``text``, which starts with an opening ``tag``, after the matching end tag.
+
+    The parts between end tags are walked with a depth counter; without a
+    matching end tag the whole text is the element.
+    """
     start = F.struct(F.lit(0).alias("taken"), F.lit(0).alias("open"))
+    end_tag = F.concat(F.lit("</"), tag, F.lit(">"))
 
     def step(state: Column, opened: Column) -> Column:
         done = (state["taken"] > 0) & (state["open"] == 0)
-        return F.struct(
-            F.when(done, state["taken"]).otherwise(state["taken"] + 1).alias("taken"),
-            F.when(done, 0).otherwise(state["open"] + opened - 1).alias("open"),
-        )
+        return F.when(done, state).otherwise(F.struct(
+            (state["taken"] + 1).alias("taken"), (state["open"] + opened - 1).alias("open")))
 
     def cut(parts: Column) -> Column:
-        opened = F.transform(parts, lambda p: F.size(F.split(p, rf"<(?i:{tag})(?=[\s>/])")) - 1)
-        taken = F.aggregate(opened, start, step)["taken"]
-        text = F.array_join(F.slice(parts, 1, taken), f"</{tag}>")
-        return F.when(taken < F.size(parts), F.concat(text, F.lit(f"</{tag}>"))).otherwise(text)
+        opening = F.concat(F.lit("<(?i:"), tag, F.lit(r")(?=[\s>/])"))
+        opened = F.transform(parts, lambda p: F.size(F.split(p, opening)) - 1)
+        return let(F.aggregate(opened, start, step)["taken"], lambda taken: F.concat(
+            F.call_function("array_join", F.slice(parts, 1, taken), end_tag),
+            F.when(taken < F.size(parts), end_tag).otherwise("")))
 
-    return let(F.split(piece, end), cut)
+    return let(F.split(text, F.concat(F.lit("</(?i:"), tag, F.lit(r")\s*>"))), cut)
 
 
-def element(markup: Column, selector: Selector, index: int = 0) -> Column:
-    """The ``index``-th match from its opening to its end tag; null if there are fewer.
+def elements(markup: Column, selectors: list[Selector]) -> Column:
+    """Array with the first match of each selector, from opening to end tag, or null."""
+    found = F.array(*[
+        F.struct(from_first(markup, s).alias("text"), F.lit(s.tag).alias("tag")) for s in selectors])
+    return F.transform(found, lambda f: up_to_end(f["text"], f["tag"]))
 
-    The first match is mostly a plain element, which one search finds without
-    reading on to the end of the page; else the page is cut at every match.
-    """
-    def cut(found: Column) -> Column:
-        from_match = F.array_join(F.slice(found, index + 1, F.size(found)), "")
-        return F.when(F.size(found) > index, let(from_match, lambda p: balanced(p, selector)))
 
-    any_match = let(pieces(markup, selector), cut)
+def element(markup: Column, selector: Selector, index: int = 0) -> Column:
+    """The ``index``-th match from its opening to its end tag; null if there are fewer."""
     if index:
-        return any_match
-    end = rf"</(?i:{selector.tag})\s*>"
-    first = F.regexp_substr(markup, F.lit(rf"{selector.opening}{inside(selector.tag)}(?:{end})?"))
-    return let(first, lambda hit: F.when(hit.isNull() | hit.rlike(end + "$"), hit).otherwise(any_match))
+        markup = let(pieces(markup, selector), lambda found: F.when(
+            F.size(found) > index, F.array_join(F.slice(found, index + 1, F.size(found)), "")))
+    return let(from_first(markup, selector), lambda text: up_to_end(text, F.lit(selector.tag)))
 
 
 def selected_text(markup: Column, selector: Selector, index: int = 0) -> Column:

@@ -62,7 +62,7 @@ def page_cards(pages: DataFrame, site: Site) -> DataFrame:
     # The fields are cut out before the explode: a filter on them stays above it
     # and reads them, while below it Spark would work them out a second time.
     pieces = H.pieces(H.visible_markup(F.col("html")), site.card)
-    cards = F.transform(pieces, lambda p: H.let(H.balanced(p, site.card), fields))
+    cards = F.transform(pieces, lambda p: H.let(H.element(p, site.card), fields))
     return pages.select(*others, F.posexplode(cards).alias("pos", "_card")).select(
         *others, "pos", "_card.judul_iklan", "_card.link",
     ).filter((F.col("judul_iklan") != "") & F.col("link").isNotNull())
@@ -83,7 +83,7 @@ def detail_records(
     m = F.col("_markup")
     steps = pages.filter(F.col("html").isNotNull()).select(
         "url", province.alias("province"), *keep, H.visible_markup(F.col("html")).alias("_markup"))
-    heads = F.array(*[H.element(m, s) for s in (site.title, site.price, site.location, site.update)])
+    heads = H.elements(m, [site.title, site.price, site.location, site.update])
     labels = list(site.labels.values())
     labelled = H.let(
         H.labelled_pairs(m, labels, site.label_tag),

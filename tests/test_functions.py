@@ -148,10 +148,10 @@ def test_balanced_nesting(spark):
     div = H.Selector("div", ("card",))
     pages = ['<div class="card">a<div>b<div>c</div></div>d</div>e', '<div class="card">open<div>x</div>',
              "<div class='card'>1</div><div>2</div><div class='x card y'>3</div >"]
-    cut = lambda c: F.transform(H.pieces(c, div), lambda p: H.balanced(p, div))
+    cut = lambda c: F.transform(H.pieces(c, div), lambda p: H.element(p, div))
     assert apply(spark, pages, cut) == [
         ['<div class="card">a<div>b<div>c</div></div>d</div>'], ['<div class="card">open<div>x</div>'],
-        ["<div class='card'>1</div>", "<div class='x card y'>3</div >"]]
+        ["<div class='card'>1</div>", "<div class='x card y'>3</div>"]]
     assert apply(spark, pages, lambda c: H.element(c, div)) == [
         '<div class="card">a<div>b<div>c</div></div>d</div>', '<div class="card">open<div>x</div>',
         "<div class='card'>1</div>"]

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from hunian.plans import catalog
 from tests.compare import connect, spark_rows, sql_rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert spark_rows(entry.queries()[name](spark, FOLDER)) == sql_rows(con, entry.oracle_sql()[name])
 

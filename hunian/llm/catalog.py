@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, quality, winnow
 from .base import table
 
 QUERIES: dict = {}
@@ -24,6 +24,16 @@ def _query(sql: str | None = None):
     return register
 
 
+@_query()
+def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@_query()
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @_query()
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(

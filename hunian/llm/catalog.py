@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, winnow
+from . import bpe, quality, toxicity, winnow
 from .base import table
 
 QUERIES: dict = {}
@@ -38,3 +38,8 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_query()
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))

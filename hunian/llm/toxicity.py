@@ -5,7 +5,8 @@ slots, so a misspelling unseen in training shares most of its vectors with the w
 it comes from. A document is the average of its words, and a softmax over the two classes reads it.
 Vectors and softmax are trained together in numpy on at most ``FIT_ROWS`` labelled
 documents, as many of either class as there are up to half of that; the loss weighs the classes as all labels have
-them. The step with the least loss on every fifth document is kept.
+them. Training starts from the subwords'
+log odds where those are beyond chance; the step with the least loss on every fifth document is kept.
 
 Because the softmax is linear, a word adds a single number to the logit. A worker works that number out once
 for each word it meets. Null and empty texts have the offset alone. Of several
@@ -27,10 +28,14 @@ from pyspark.sql.functions import pandas_udf
 from .base import remainder
 from .quality import labelled
 
-BUCKETS, DIM, SIZES = 1 << 16, 8, (3, 4, 5)
+BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
 #: Labelled documents that the model is fitted on, at most.
 FIT_ROWS = 6_000
-STEPS, RATE, SEED = 60, 0.15, 11
+STEPS, RATES, SEED = 30, (0.1, 0.05, 0.02), 11
+#: Documents of the toxic class that every subword is taken to be in besides those seen.
+SMOOTHING = 1.0
+#: Standard deviations from an even spread from which on a subword's odds count at the start.
+SURE = 5.0
 THRESHOLD = 0.5
 #: Words that one worker remembers before it starts anew.
 REMEMBERED = 500_000
@@ -128,28 +133,36 @@ def train(texts: list[str], labels: np.ndarray, held: np.ndarray, share: float)
     by_word = np.argsort(word, kind="stable")
     doc, word, part = doc[by_word], word[by_word], part[by_word]
     word_of_slot = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes.astype(np.int64))
-    random = np.random.default_rng(SEED)
-    vectors = random.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
-    softmax = random.normal(0, 1, (DIM, 2)).astype(np.float32)
-    offset = np.log(np.array([1 - share, share])).astype(np.float32)
+    def averaged(of_word: np.ndarray) -> np.ndarray:
+        return np.bincount(doc, of_word[word] * part, len(texts))
+
     truth = np.stack([1 - labels, labels], axis=1).astype(np.float32)
     seen = np.array([1 - labels[~held].mean(), labels[~held].mean()])
     weight = (truth @ (np.array([1 - share, share]) / seen)).astype(np.float32)
     weight_fit = np.where(held, 0, weight) / weight[~held].sum()
-    params = [vectors, softmax, offset]
+    # The start: log odds of each subword by the documents it is in, and a softmax fitted to their averages.
+    odds = _log_odds(slots, word_of_slot, doc, word, labels, held)
+    start = averaged(np.bincount(word_of_slot, odds[slots], len(sizes)) / sizes)
+    check = held if held.any() else ~held
+    slope, shift = _line(start[check], labels[check], weight[check])
+    random = np.random.default_rng(SEED)
+    direction = random.normal(0, 1, DIM)
+    direction /= np.linalg.norm(direction)
+    params = [
+        (odds[:, None] * direction + random.normal(0, 0.01, (BUCKETS, DIM))).astype(np.float32),
+        np.stack([-direction, direction], axis=1).astype(np.float32) * slope / 2,
+        np.array([-shift, shift], np.float32) / 2]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     best, best_loss = None, np.inf
     for step in range(1, STEPS + 1):
         vectors, softmax, offset = params
         # Per dimension, so that no array is larger than the list of subwords.
-        of_word = np.stack([np.bincount(word_of_slot, vectors[slots, k], len(sizes)) for k in range(DIM)], axis=1)
-        of_word = (of_word / sizes[:, None]).astype(np.float32)
-        of_doc = np.stack([np.bincount(doc, of_word[word, k] * part, len(texts)) for k in range(DIM)], axis=1)
+        of_doc = np.stack([
+            averaged(np.bincount(word_of_slot, vectors[slots, k], len(sizes)) / sizes) for k in range(DIM)], axis=1)
         logits = of_doc @ softmax + offset
         logits -= logits.max(axis=1, keepdims=True)
         chance = np.exp(logits)
         chance /= chance.sum(axis=1, keepdims=True)
-        check = held if held.any() else ~held
         loss = -(weight * np.log((chance * truth).sum(axis=1) + 1e-12))[check].mean()
         if loss < best_loss:
             best, best_loss = [p.copy() for p in params], loss
@@ -159,15 +172,42 @@ def train(texts: list[str], labels: np.ndarray, held: np.ndarray, share: float)
         to_word /= sizes[:, None]
         to_slot = np.stack([np.bincount(slots, to_word[word_of_slot, k], BUCKETS) for k in range(DIM)], axis=1)
         for i, slope in enumerate((to_slot, of_doc.T @ error, error.sum(axis=0))):
+            # One scale for each array: subwords of many toxic words move far, rare ones hardly.
             mean, square = moments[i]
             mean += 0.1 * (slope - mean)
-            square += 0.02 * (slope * slope - square)
-            params[i] = (params[i] - RATE * (mean / (1 - 0.9 ** step)) / (
-                np.sqrt(square / (1 - 0.98 ** step)) + 1e-8)).astype(np.float32)
+            square += 0.02 * ((slope * slope).max() - square)
+            params[i] = (params[i] - RATES[i] * (mean / (1 - 0.9 ** step)) / (
+                np.sqrt(square / (1 - 0.98 ** step)) + 1e-12)).astype(np.float32)
     vectors, softmax, offset = best
     return Softmax((vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64), float(offset[1] - offset[0]))
 
 
+def _log_odds(slots, word_of_slot, doc, word, labels, held) -> np.ndarray:
+    """Smoothed log odds of the toxic class for each subword slot; 0 where chance explains the counts."""
+    fit = ~held[doc]
+    words = word_of_slot.max(initial=-1) + 1
+    counts = [
+        np.bincount(slots, np.bincount(word[fit], labels[doc[fit]] == value, words)[word_of_slot], BUCKETS)
+        for value in (0, 1)]
+    rest, toxic = counts
+    ratio = (rest.sum() + 1) / (toxic.sum() + 1)
+    expected = (toxic + rest) / (1 + ratio)
+    sure = np.abs(toxic - expected) > SURE * np.sqrt(expected + 1)
+    return np.where(sure, np.log((toxic + SMOOTHING) / (rest + SMOOTHING * ratio) * ratio), 0)
+
+
+def _line(values: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic regression on one feature, by Newton's method."""
+    scale = values.std() + 1e-12
+    rows = np.stack([values / scale, np.ones(len(values))], axis=1)
+    line = np.zeros(2)
+    for _ in range(100):
+        chance = 1 / (1 + np.exp(-np.clip(rows @ line, -30, 30)))
+        bend = (rows * (weight * chance * (1 - chance))[:, None]).T @ rows + 1e-3 * np.eye(2)
+        line += np.clip(np.linalg.solve(bend, rows.T @ (weight * (labels - chance)) - 1e-3 * line), -2, 2)
+    return float(line[0] / scale), float(line[1])
+
+
 _KNOWN: dict[int, dict[str, float]] = {}
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, toxicity, winnow
+from . import bpe, pii, quality, secrets, toxicity, winnow
 from .base import table
 
 QUERIES: dict = {}
@@ -43,3 +43,13 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_query()
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
+
+
+@_query()
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))

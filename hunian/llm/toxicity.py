@@ -30,7 +30,7 @@ from .quality import labelled
 
 BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
 #: Labelled documents that the model is fitted on, at most.
-FIT_ROWS = 6_000
+FIT_ROWS = 4_000
 STEPS, RATES, SEED = 30, (0.1, 0.05, 0.02), 11
 #: Documents of the toxic class that every subword is taken to be in besides those seen.
 SMOOTHING = 1.0
@@ -38,7 +38,7 @@ SMOOTHING = 1.0
 SURE = 5.0
 THRESHOLD = 0.5
 #: Words that one worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: Words whose subwords are looked up at a time.
 AT_ONCE = 20_000
 

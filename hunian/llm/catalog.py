@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, pii, quality, secrets, toxicity, winnow
+from . import bpe, chat, pii, quality, secrets, toxicity, winnow
 from .base import table
 
 QUERIES: dict = {}
@@ -29,6 +30,33 @@ def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.edited_fingerprints(table(spark, folder, "documents"))
 
 
+# What the template adds to a conversation: each message's marks and role, and a mark between the turns of a message.
+@_query(r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    escaped AS (
+        SELECT *, length(regexp_replace(regexp_replace(text, '<(\\*)(/?s>|part>)', '<\\\1\2', 'g'),
+                   '\[(\\*)(/?INST\])', '[\\\1\2', 'g')) AS text_chars,
+               length(regexp_replace(regexp_replace(role, '<(\\*)(/?s>|part>)', '<\\\1\2', 'g'),
+                   '\[(\\*)(/?INST\])', '[\\\1\2', 'g')) AS role_chars,
+               lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before
+        FROM turns)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+           sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+           CAST(sum(text_chars + CASE WHEN before IS DISTINCT FROM role THEN role_chars + length('<s>[INST][/INST]</s>')
+                                      ELSE length('<part>') END) AS BIGINT) AS formatted_chars
+    FROM escaped GROUP BY conv_id""")
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digest(table(spark, folder, "conversations").select(*added.columns).union(added))
+
+
 @_query()
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, nearest, pii, quality, secrets, toxicity, winnow
+from . import bpe, chat, nearest, neardup, pii, quality, secrets, toxicity, winnow
 from .base import table
 
 QUERIES: dict = {}
@@ -62,6 +62,11 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@_query()
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.classes(table(spark, folder, "documents"))
+
+
 @_query()
 def op8_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -30,6 +30,11 @@ def with_shared_folder(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder."""
+    return f"{with_shared_folder(spark).sparkContext.getCheckpointDir()}/{name}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder, so that a lost executor does not repeat what made it."""
     with_shared_folder(df.sparkSession)

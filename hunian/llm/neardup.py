@@ -265,6 +265,24 @@ def _possible(total: Column, other: Column) -> Column:
 
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``class_id`` and ``copies``, the number of rows with equal words, for each row of ``docs``."""
+    rows, named = _classed(docs)
+    return rows.select("doc_id", "ident").join(named, "ident").select("doc_id", "class_id", "copies")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each class, one with the smallest id, with all its columns."""
+    rows, named = _classed(docs)
+    # One place for each class: the vertices' first places are pre-aggregated, and texts are not moved for it.
+    firsts = named.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("_doc_id"), F.col("first.place").alias("_place"))
+    placed = docs.withColumn("_place_of_row", F.xxhash64(F.col("doc_id").cast("long"), text_or_empty()))
+    kept = placed.join(firsts, placed["_place_of_row"] == firsts["_place"], "left_semi")
+    # Rows that are equal in id and text are still several; any one of them stays.
+    return kept.dropDuplicates(["_place_of_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all rows, and for each vertex its class, its copies and its first row."""
     context = docs.sparkSession.sparkContext
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     idf = context.broadcast(inverse_frequencies(docs))
@@ -313,11 +331,10 @@ def classes(docs: DataFrame) -> DataFrame:
         low, high = high, high + 4 * (high - low)
 
     root = F.coalesce("root", "ident")
-    grouped = vertices.select("ident", "first.doc_id", "copies").join(found, "ident", "left").select(
-        "ident", "doc_id", "copies", root.alias("root"))
-    named = grouped.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    named = grouped.select("ident", "root", "copies").join(named, "root").select("ident", "class_id", "copies")
-    return rows.select("doc_id", "ident").join(named, "ident").select("doc_id", "class_id", "copies")
+    grouped = cut(vertices.select("ident", "first", "copies").join(found, "ident", "left").select(
+        "ident", "first", "copies", root.alias("root")))
+    named = grouped.groupBy("root").agg(F.min("first.doc_id").alias("class_id"))
+    return rows, grouped.join(named, "root").select("ident", "root", "first", "class_id", "copies")
 
 
 def _with_root(rows: DataFrame, found: DataFrame, vertex: str, name: str) -> DataFrame:

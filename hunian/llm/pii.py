@@ -126,6 +126,11 @@ def redact(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(let(merged, rebuilt))
 
 
+def masked(text: Column) -> Column:
+    """The text with all that ``find`` finds replaced."""
+    return let(find(text), lambda spans: redact(text, spans))
+
+
 def report(docs: DataFrame) -> DataFrame:
     """Spans of every document: counts per base kind, a digest of the base spans, all spans."""
     base = [k.name for k in BASE]

@@ -6,7 +6,7 @@ it comes from. A document is the average of its words, and a softmax over the tw
 Vectors and softmax are trained together in numpy on at most ``FIT_ROWS`` labelled
 documents, as many of either class as there are up to half of that; the loss weighs the classes as all labels have
 them. Training starts from the subwords'
-log odds where those are beyond chance; the step with the least loss on every fifth document is kept.
+log odds where those speak for the toxic class beyond chance; the step with the least loss on every fifth document is kept.
 
 Because the softmax is linear, a word adds a single number to the logit. A worker works that number out once
 for each word it meets. Null and empty texts have the offset alone. Of several
@@ -31,11 +31,11 @@ from .quality import labelled
 BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
 #: Labelled documents that the model is fitted on, at most.
 FIT_ROWS = 4_000
-STEPS, RATES, SEED = 30, (0.1, 0.05, 0.02), 11
+STEPS, RATES, SEED = 30, (0.05, 0.05, 0.02), 11
 #: Documents of the toxic class that every subword is taken to be in besides those seen.
 SMOOTHING = 1.0
-#: Standard deviations from an even spread from which on a subword's odds count at the start.
-SURE = 5.0
+#: Standard deviations above an even spread from which on a subword's odds count at the start.
+SURE = 6.0
 THRESHOLD = 0.5
 #: Words that one worker remembers before it starts anew.
 REMEMBERED = 150_000
@@ -183,7 +183,7 @@ def train(texts: list[str], labels: np.ndarray, held: np.ndarray, share: float)
 
 
 def _log_odds(slots, word_of_slot, doc, word, labels, held) -> np.ndarray:
-    """Smoothed log odds of the toxic class for each subword slot; 0 where chance explains the counts."""
+    """Smoothed log odds of the toxic class for each subword slot; 0 where chance explains the count."""
     fit = ~held[doc]
     words = word_of_slot.max(initial=-1) + 1
     counts = [
@@ -192,7 +192,7 @@ def _log_odds(slots, word_of_slot, doc, word, labels, held) -> np.ndarray:
     rest, toxic = counts
     ratio = (rest.sum() + 1) / (toxic.sum() + 1)
     expected = (toxic + rest) / (1 + ratio)
-    sure = np.abs(toxic - expected) > SURE * np.sqrt(expected + 1)
+    sure = toxic - expected > SURE * np.sqrt(expected + 1)
     return np.where(sure, np.log((toxic + SMOOTHING) / (rest + SMOOTHING * ratio) * ratio), 0)
 
 

@@ -9,8 +9,8 @@ does not depend on the others, and repeated ids are kept or left together.
 
 The cells stay distributed and are cut to the shared folder after each step; the driver sees a few sums. A null value
 is a value of its own, "(none)". Texts without tokens add nothing to a cell and are kept like the
-others of it; a cell without any tokens keeps weight 1. Null ids share one draw. An empty table gives no rows.
-Columns that clash with the names used here (``_cell`` and the like begin with an underscore) are the only ones not allowed.
+others of it; a cell without any tokens keeps weight 1. Null ids share one draw. An empty table gives no rows. The
+input's rows travel as one struct, so its column names cannot clash with others.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ def rake(cells: DataFrame, targets: dict[str, Callable[[Column], Column] | dict[
 
 
 def rate(cells: DataFrame, share: float = SHARE) -> float:
-    """The rate at which documents are expected to give ``share`` of all tokens, probabilities stopping at one.
+    """The rate at which documents are expected to give ``share`` of the tokens that have a target, probabilities stopping at one.
 
     Cells that reach one at a rate still do so at the larger rate that makes up for them, so
     the rate only grows and at last stays.
@@ -115,43 +115,43 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
 
 
 def calibrated(
-    docs: DataFrame, targets: dict, keep: list[str], share: float = SHARE, rounds: int = ROUNDS,
+    docs: DataFrame, dimensions: dict[str, Column], counted: Column, targets: dict, share: float = SHARE,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
-    """``docs`` with ``_weight``, ``_probability`` and ``_kept``; ``keep`` names the columns to carry along.
-
-    ``docs`` has a column for each dimension of ``targets``, ``doc_id`` and ``_tokens``.
-    """
-    names = list(targets)
-    value = {n: F.coalesce(F.col(n).cast("string"), F.lit("(none)")) for n in names}
-    rows = docs.select(*keep, "_tokens", *[v.alias(f"_{n}") for n, v in value.items()])
-    inner = {f"_{n}": t for n, t in targets.items()}
+    """Each row of ``docs`` as a struct ``row``, its dimensions, ``tokens``, ``weight``, ``probability`` and ``kept``."""
+    value = {n: F.coalesce(c.cast("string"), F.lit("(none)")) for n, c in dimensions.items()}
+    rows = docs.select(
+        F.struct("*").alias("row"), counted.alias("_tokens"), *[v.alias(f"_{n}") for n, v in value.items()])
+    inner = {f"_{n}": targets[n] for n in dimensions}
     cells = rake(rows.groupBy(*inner).agg(F.sum("_tokens").alias("_tokens")), inner, rounds)
     found = rate(cells, share)
     weight = F.when(F.col("_tokens") > 0, F.coalesce("_fitted", F.lit(0.0)) / F.col("_tokens")).otherwise(1.0)
-    weights = cut(cells.select(*inner, weight.alias("_weight")))
+    weights = cut(cells.select(*inner, weight.alias("weight")))
     if weights.count() <= BROADCAST_CELLS:
         weights = F.broadcast(weights)
-    chance = F.least(F.lit(1.0), F.col("_weight") * found)
-    return rows.join(weights, list(inner)).withColumn("_probability", chance).withColumn(
-        "_kept", draw(F.col("doc_id")) < F.col("_probability")).select(*keep, "_tokens", "_weight", "_probability", "_kept")
+    return rows.join(weights, list(inner)).withColumn(
+        "probability", F.least(F.lit(1.0), F.col("weight") * found)
+    ).withColumn("kept", draw(F.col("row.doc_id")) < F.col("probability")).withColumnRenamed("_tokens", "tokens")
 
 
 #: Production targets: large sources, languages and topics shrink.
 TARGETS = {"source": tempered(0.5), "lang": tempered(0.7), "topic": tempered(0.7)}
 
 
+def _production(docs: DataFrame) -> DataFrame:
+    text = F.col("text")
+    return calibrated(
+        docs, {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(text)}, tokens(text), TARGETS)
+
+
 def report(docs: DataFrame) -> DataFrame:
     """Dimensions, tokens, weight, probability and decision of every document."""
-    rows = docs.select("doc_id", "source", "lang", topic(F.col("text")).alias("topic"), tokens(F.col("text")).alias("_tokens"))
-    return calibrated(rows, TARGETS, ["doc_id", "source", "lang", "topic"]).select(
-        "doc_id", "source", "lang", "topic", F.col("_tokens").alias("tokens"),
-        F.round("_weight", 6).alias("weight"), F.round("_probability", 6).alias("probability"),
-        F.col("_kept").alias("kept"))
+    # The topic needs the text, the rows that are joined do not.
+    return _production(docs.select("doc_id", "source", "lang", "text")).select(
+        "row.doc_id", "row.source", "row.lang", F.col("_topic").alias("topic"), "tokens",
+        F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
 
 
 def sample(docs: DataFrame) -> DataFrame:
     """The documents that the production mix keeps, with the columns of ``docs``."""
-    columns = docs.columns
-    rows = docs.withColumns({"topic": topic(F.col("text")), "_tokens": tokens(F.col("text"))}) \
-        if "topic" not in columns else docs.withColumn("_tokens", tokens(F.col("text")))
-    return calibrated(rows, TARGETS, columns).filter("_kept").select(*columns)
+    return _production(docs).filter("kept").select("row.*")

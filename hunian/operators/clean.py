@@ -13,7 +13,7 @@ def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """Return ``df``; raise ``ValueError`` naming the first missing column."""
     for name in names:
         if name not in df.columns:
-            raise ValueError(f"Required column {name} is missing from data.")
+            raise ValueError(f"no column {name!r} in the input, which has {', '.join(df.columns)}")
     return df
 
 

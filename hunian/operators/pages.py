@@ -13,10 +13,35 @@ from ..functions import scalars
 from ..schemas import LISTING
 
 
-def _labels() -> dict[str, str]:
-    """Labelled columns; a label is its column's name in title case."""
-    names = LISTING.names[LISTING.names.index("kamar_tidur"):LISTING.names.index("waktu_scraping")]
-    return {n: n.replace("_", " ").title().replace(" Dan ", " dan ") for n in names}
+# The label of each labelled column on a listing page.
+LABELS = {
+    "kamar_tidur": "Kamar Tidur",
+    "kamar_mandi": "Kamar Mandi",
+    "luas_tanah": "Luas Tanah",
+    "luas_bangunan": "Luas Bangunan",
+    "carport": "Carport",
+    "sertifikat": "Sertifikat",
+    "daya_listrik": "Daya Listrik",
+    "kamar_tidur_pembantu": "Kamar Tidur Pembantu",
+    "kamar_mandi_pembantu": "Kamar Mandi Pembantu",
+    "dapur": "Dapur",
+    "ruang_makan": "Ruang Makan",
+    "ruang_tamu": "Ruang Tamu",
+    "kondisi_perabotan": "Kondisi Perabotan",
+    "material_bangunan": "Material Bangunan",
+    "material_lantai": "Material Lantai",
+    "garasi": "Garasi",
+    "jumlah_lantai": "Jumlah Lantai",
+    "konsep_dan_gaya_rumah": "Konsep dan Gaya Rumah",
+    "pemandangan": "Pemandangan",
+    "terjangkau_internet": "Terjangkau Internet",
+    "lebar_jalan": "Lebar Jalan",
+    "tahun_dibangun": "Tahun Dibangun",
+    "tahun_direnovasi": "Tahun Direnovasi",
+    "sumber_air": "Sumber Air",
+    "hook": "Hook",
+    "kondisi_properti": "Kondisi Properti",
+}
 
 
 @dataclass(frozen=True)
@@ -33,7 +58,7 @@ class Site:
     location: H.Selector = H.Selector("p", ("text-xs", "text-gray-500", "mb-2"))
     update: H.Selector = H.Selector("p", ("text-3xs", "text-gray-400", "mb-4"))
     label_tag: str = "p"
-    labels: dict[str, str] = field(default_factory=_labels)
+    labels: dict[str, str] = field(default_factory=lambda: dict(LABELS))
     exact_labels: bool = False
 
     def search_url(self, province: str, page: int) -> str:

@@ -65,14 +65,14 @@ PROGRESS = T.StructType([
 
 # The province slugs a fresh progress state starts with.
 PROVINCES = (
-    "dki-jakarta jawa-barat banten jawa-timur jawa-tengah bali "
-    "daerah-istimewa-yogyakarta sumatera-utara kepulauan-riau sulawesi-selatan "
-    "kalimantan-timur riau lampung sumatera-selatan kalimantan-barat sulawesi-utara "
-    "nusa-tenggara-barat nusa-tenggara-timur sumatera-barat kalimantan-selatan jambi "
-    "kepulauan-bangka-belitung kalimantan-tengah papua aceh bengkulu papua-barat "
-    "sulawesi-tengah sulawesi-tenggara gorontalo kalimantan-utara maluku-utara "
-    "sulawesi-barat maluku"
-).split()
+    "dki-jakarta", "jawa-barat", "banten", "jawa-timur", "jawa-tengah", "bali",
+    "daerah-istimewa-yogyakarta", "sumatera-utara", "kepulauan-riau", "sulawesi-selatan",
+    "kalimantan-timur", "riau", "lampung", "sumatera-selatan", "kalimantan-barat", "sulawesi-utara",
+    "nusa-tenggara-barat", "nusa-tenggara-timur", "sumatera-barat", "kalimantan-selatan", "jambi",
+    "kepulauan-bangka-belitung", "kalimantan-tengah", "papua", "aceh", "bengkulu", "papua-barat",
+    "sulawesi-tengah", "sulawesi-tenggara", "gorontalo", "kalimantan-utara", "maluku-utara",
+    "sulawesi-barat", "maluku",
+)
 
 # Tag filters of each facility category, unanchored patterns.
 FACILITY_FILTERS = (

@@ -13,9 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest side, in rows, that is broadcast on request.
-BROADCAST_ROWS = 10_000
-
 
 def distinct_keys(df: DataFrame, key: str, keep_null: bool = False) -> DataFrame:
     """One row per value of ``key``; null is dropped unless ``keep_null``."""
@@ -67,12 +64,7 @@ def _membership(rows: DataFrame, known: DataFrame, key: str, how: str) -> DataFr
     return rows.join(keys, match, how)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting at most ``limit`` + 1 rows; else leave it to Spark."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def on_selected_pages(listings: DataFrame, selected: DataFrame) -> DataFrame:
     """Listings of the (province, page) pairs in ``selected``; other pairs give no rows."""
     pairs = selected.select("province", "page")
-    return listings.join(broadcast_if_small(pairs), ["province", "page"], "left_semi")
+    return listings.join(pairs, ["province", "page"], "left_semi")

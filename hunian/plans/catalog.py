@@ -17,13 +17,15 @@ from ..functions import html as H
 from ..functions import scalars as S
 from ..functions.scalars import WHITESPACE
 from ..operators import clean as C, facilities as A, keys as K, pages as P
-from ..schemas import FACILITY_COUNTS, LISTING, RAW_FACILITY
-from ..sources import listings as L, sinks
-from ..sources.files import read_csv_by_name, scratch
+from ..schemas import FACILITY_COUNTS, LISTING, PROVINCE_COLUMNS, RAW_FACILITY
+from ..sources import facilities as RF, listings as L, provinces as PR, sinks
+from ..sources.files import fresh, read_csv_by_name
 from ..streaming import progress as G
+from .batch import run_batch
 from .clean import clean_page
-from .extract import new_listings
-from .store import Store
+from .count import count_districts
+from .extract import extract_page, new_listings
+from .store import Store, adopt_csv_tree
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -38,6 +40,11 @@ def _query(sql: str | None = None):
     return register
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder for tables that a query writes, in the one all executors share."""
+    return fresh(spark.conf.get("spark.checkpoint.dir"), name)
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
@@ -435,7 +442,7 @@ def extracted_listings(spark: SparkSession, folder: str) -> DataFrame:
     first = H.let(H.element(H.visible_markup(F.col("html")), SITE.card_link), lambda a: H.attribute(a, "href"))
     details = pages.select(
         F.concat(F.lit(SITE.base_url), first).alias("url"), "html", (-F.col("page_id")).alias("version"))
-    rows = new_listings(spark, searched, details, known, SITE, datetime(2024, 5, 1), version="version")
+    rows = new_listings(searched, details, known, SITE, _scratch(spark, "extracted"), datetime(2024, 5, 1), "version")
     return rows.select("link_rumah123", "province", "judul_iklan")
 
 
@@ -559,7 +566,7 @@ def page_selection(spark: SparkSession, folder: str) -> DataFrame:
 @_query("SELECT CAST(c_custkey AS STRING) AS c_custkey, c_name, c_mktsegment AS page FROM customer")
 def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Export per page as CSV, read back by header name."""
-    root = scratch(spark, "csv_round_trip")
+    root = _scratch(spark, "csv_round_trip")
     rows = _read(spark, folder, "customer").select(
         "c_custkey", "c_name", F.col("c_mktsegment").alias("page"), F.col("c_mktsegment").alias("folder"))
     sinks.overwrite_partitions(rows, root, ["folder"], "csv")
@@ -571,7 +578,7 @@ def _cleaned_batch(spark: SparkSession, folder: str) -> Store:
 
     Order statuses are the provinces, all at page 1, and one province has no data.
     """
-    store = Store.under(scratch(spark, "clean_batch"))
+    store = Store.under(_scratch(spark, "clean_batch"))
     customers = _read(spark, folder, "customer").select("c_custkey", "c_name")
     raw = _raw_listings(spark, folder, "o_custkey", F.col("o_orderstatus").alias("province"), F.lit(1).alias("page"))
     raw = raw.join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumn("kecamatan", F.col("c_name"))
@@ -591,7 +598,206 @@ def clean_batch_facilities(spark: SparkSession, folder: str) -> DataFrame:
     return written.withColumn("timestamp", S.iso_text(F.col("timestamp")))
 
 
-@_query("SELECT c_name AS kecamatan, count(*) AS n, 1 AS page FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_name")
+def _cleaned_orders_sql() -> str:
+    """Every cleaned column of the batch's listings, with the customer's name as district."""
+    keyed = _clean_listing_sql().replace("FROM orders)", ", c_name FROM orders JOIN customer ON c_custkey = o_custkey)")
+    return f"SELECT * EXCLUDE (kecamatan), 1 AS page FROM ({keyed.replace('SELECT judul_iklan', 'SELECT c_name, judul_iklan', 1)})"
+
+
+@_query(f"SELECT * EXCLUDE (c_name), c_name AS kecamatan FROM ({_cleaned_orders_sql()})")
 def clean_batch_listings(spark: SparkSession, folder: str) -> DataFrame:
-    written = spark.read.parquet(_cleaned_batch(spark, folder).clean_listings)
-    return written.groupBy("kecamatan", "page").agg(F.count(F.lit(1)).alias("n"))
+    return _comparable(spark.read.parquet(_cleaned_batch(spark, folder).clean_listings))
+
+
+# Trees of CSV files and the other jobs ---------------------------------------
+
+def _csv_tree(spark: SparkSession, folder: str, name: str) -> Store:
+    """Orders as page files of their status, customers as district files by market segment.
+
+    Page F has a further column and another order of columns.
+    """
+    store = Store.under(_scratch(spark, name), raw_format="csv")
+    raw = _raw_listings(spark, folder, F.col("o_orderstatus").alias("status"), F.col("o_orderkey").cast("string").alias("extra"))
+    file = F.format_string("%s/page_1_%s.csv", "status", "status")
+    plain = raw.filter("status <> 'F'").withColumn("_into", file).select(*LISTING.names, "_into")
+    turned = raw.filter("status = 'F'").withColumn("_into", file).select("extra", *reversed(LISTING.names), "_into")
+    for rows in (plain, turned):
+        sinks.write_csv_files(rows, store.raw_listings, F.col("_into"), store.scratch_folder)
+    facilities = _raw_facilities(spark, folder).join(
+        _read(spark, folder, "customer").select(F.col("c_name").alias("kecamatan"), "c_mktsegment"), "kecamatan")
+    sinks.write_csv_files(
+        facilities.withColumn("_into", F.concat("c_mktsegment", F.lit(".csv"))).select(*RAW_FACILITY.names, "_into"),
+        store.raw_facilities, F.col("_into"), store.scratch_folder)
+    return store
+
+
+_RAW_SQL = ", ".join(f"{text} AS {name}" for name, text in _raw_listing_columns().items())
+_TREE_SQL = (f"SELECT {_RAW_SQL}, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey AS STRING) END AS extra, "
+             "o_orderstatus AS province, 1 AS page FROM orders")
+# CSV files do not tell an empty text from none.
+_TREE_SQL = "SELECT " + ", ".join(
+    f"nullif({name}, '') AS {name}" for name in LISTING.names) + f", extra, province, page FROM ({_TREE_SQL})"
+
+
+@_query(_TREE_SQL)
+def listing_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Page files with two headers, read by name; province and page from the file names."""
+    store = _csv_tree(spark, folder, "listing_tree")
+    return L.read_page_csv(spark, store.raw_listings, ["F", "O", "P", "none"], 1)
+
+
+@_query(f"SELECT {_FACILITY_RAW}, c_name AS kecamatan, '2024-05-01T00:00:00' AS timestamp, 'success' AS status FROM customer")
+def facility_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return RF.read_facilities_csv(spark, _csv_tree(spark, folder, "facility_tree").raw_facilities)
+
+
+@_query(_TREE_SQL)
+def adopted_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """A CSV tree copied into the Parquet store twice; all columns."""
+    store = _csv_tree(spark, folder, "adopted_tree")
+    target = Store.under(f"{store.scratch_folder}/adopted")
+    adopt_csv_tree(spark, store, target)
+    adopt_csv_tree(spark, store, target)
+    return L.read_page(spark, target.raw_listings, ["F", "O", "P"], 1)
+
+
+_ODD_NAMES = "concat(o_orderstatus, substr('=%:[]{}#', 1 + CAST(o_orderkey % 8 AS INT), 1), substr(o_orderpriority, 1, 1))"
+
+
+@_query(f"SELECT concat('t', CAST(o_orderkey AS STRING)) AS judul_iklan, {_ODD_NAMES} AS province FROM orders")
+def odd_province_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Provinces whose names a partition folder has to escape, written and read back by name."""
+    root = _scratch(spark, "odd_names")
+    rows = _read(spark, folder, "orders").select(
+        F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("judul_iklan"), F.expr(_ODD_NAMES).alias("province"), F.lit(1).alias("page"))
+    sinks.append_rows(rows, root, ["province", "page"])
+    names = [r[0] for r in rows.select("province").distinct().collect()]
+    return L.read_page(spark, root, names, 1).select("judul_iklan", "province")
+
+
+@_query("SELECT n_name AS province, CAST(CASE WHEN n_regionkey = 1 THEN 2 ELSE n_regionkey END AS INT) AS page, 2 AS current_page FROM nation")
+def progress_saved(spark: SparkSession, folder: str) -> DataFrame:
+    """A state of all nations advanced, saved and read back; once in a folder and over a single file."""
+    path = f"{_scratch(spark, 'progress')}/progress"
+    nations = _read(spark, folder, "nation").select(F.map_from_entries(F.collect_list(F.struct(
+        "n_name", F.col("n_regionkey").cast("int")))).alias("provinces"))
+    nations.select(F.lit(1).alias("current_page"), "provinces").coalesce(1).write.json(path)
+    G.write_progress(G.advance(G.read_progress(spark, path)), path)
+    return G.progress_rows(G.read_progress(spark, path))
+
+
+_COUNT_FILTERS = tuple(
+    (name, "event_type", kind) for name, kind in zip(FACILITY_COUNTS, ("error", "click", "view", "signup|purchase", "error|click")))
+_COUNT_SUMS = ", ".join(
+    f"CAST(coalesce(sum(CASE WHEN regexp_matches(event_type, '{kind}') THEN 1 ELSE 0 END), 0) AS STRING) AS {name}"
+    for name, _, kind in _COUNT_FILTERS)
+
+
+@_query(f"""
+    WITH raw AS (SELECT {_FACILITY_RAW}, c_name AS kecamatan, '2024-05-01T00:00:00' AS timestamp, 'success' AS status
+                 FROM customer WHERE c_mktsegment = 'FURNITURE'),
+         wanted AS (SELECT DISTINCT c_name AS kecamatan FROM customer JOIN orders ON o_custkey = c_custkey
+                    WHERE c_mktsegment <> 'FURNITURE')
+    SELECT * FROM raw
+    UNION ALL BY NAME
+    SELECT {_COUNT_SUMS}, w.kecamatan, '2024-05-01T00:00:00.000000' AS timestamp, 'success' AS status
+    FROM wanted w LEFT JOIN events e ON concat('Customer#', lpad(CAST(e.user_id AS STRING), 9, '0')) = w.kecamatan
+    GROUP BY w.kecamatan""")
+def count_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Count job over a page whose furniture districts are counted already; some districts have no places."""
+    store = Store.under(_scratch(spark, "count_batch"))
+    names = _read(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    raw = _read(spark, folder, "orders").join(names, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("c_name").alias("kecamatan"), F.col("o_orderstatus").alias("province"), F.lit(1).alias("page"))
+    sinks.append_rows(raw, store.raw_listings, ["province", "page"])
+    stored = names.filter("c_mktsegment = 'FURNITURE'").select(F.col("c_name").alias("kecamatan"))
+    sinks.append_rows(_raw_facilities(spark, folder).join(stored, "kecamatan").select(*RAW_FACILITY.names), store.raw_facilities, [])
+    G.init_progress(spark, store.progress, ["F", "O", "P"])
+    count_districts(spark, store, _event_places(spark, folder), now=datetime(2024, 5, 1), filters=_COUNT_FILTERS)
+    return RF.read_facilities(spark, store.raw_facilities)
+
+
+def _event_places(spark: SparkSession, folder: str) -> DataFrame:
+    return _read(spark, folder, "events").select(
+        F.format_string("Customer#%09d", "user_id").alias("kecamatan"), "event_type", F.lit("Indonesia").alias("country"),
+        F.lit(6).alias("admin_level"))
+
+
+_EXTRACTED = f"""
+    WITH cards AS ({_CARDS}),
+         detail AS (SELECT link, min(page_id) AS page_id FROM cards WHERE pos = 0 GROUP BY link),
+         known AS (SELECT judul_iklan FROM cards WHERE pos = 5)
+    SELECT x.* EXCLUDE (link_rumah123), c.link AS link_rumah123, concat('p', CAST(c.page_id AS STRING)) AS provinsi,
+           concat('p', CAST(c.page_id AS STRING)) AS province, 1 AS page, '2024-05-01T00:00:00.000000' AS waktu_scraping
+    FROM cards c JOIN detail d ON d.link = c.link JOIN pages p ON p.page_id = d.page_id
+    JOIN ({_DETAILS}) x ON x.link_rumah123 = p.url
+    WHERE c.judul_iklan <> '' AND NOT EXISTS (SELECT 1 FROM known k WHERE k.judul_iklan = c.judul_iklan)"""
+
+
+def _fetched_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page twice as a search page of a province of its own and twice as a detail page; the older fetch is another text."""
+    pages = _read(spark, folder, "pages").select("page_id", "html")
+    first = H.let(H.element(H.visible_markup(F.col("html")), SITE.card_link), lambda a: H.attribute(a, "href"))
+    search = F.concat(F.lit(f"{SITE.base_url}/jual/p"), F.col("page_id").cast("string"), F.lit("/rumah/?page=1"))
+    frames = []
+    for url, version in ((search, F.lit(1)), (F.concat(F.lit(SITE.base_url), first), -F.col("page_id"))):
+        rows = pages.select(url.alias("url"), "html", version.cast("long").alias("fetched"))
+        frames += [rows, rows.withColumns({"html": F.lit("<h1>old</h1>"), "fetched": F.col("fetched") - 1_000_000_000})]
+    return K.union_pages(frames)
+
+
+def _extract_store(spark: SparkSession, folder: str, name: str) -> Store:
+    """A store whose known titles are those of sixth cards, with every page's province at page 1."""
+    store = Store.under(_scratch(spark, name))
+    pages = _read(spark, folder, "pages")
+    known = P.page_cards(pages.select("html"), SITE).filter(F.col("pos") == 5).select(
+        "judul_iklan", F.lit("known").alias("province"), F.lit(0).alias("page"))
+    sinks.append_rows(known, store.raw_listings, ["province", "page"])
+    G.init_progress(spark, store.progress, [f"p{r[0]}" for r in pages.select("page_id").collect()])
+    return store
+
+
+@_query(_EXTRACTED)
+def extract_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The extract job itself: two fetches of each page, known titles stored before, all columns."""
+    store = _extract_store(spark, folder, "extract_batch")
+    extract_page(spark, store, _fetched_pages(spark, folder), SITE, datetime(2024, 5, 1), "fetched")
+    rows = L.read_all(spark, store.raw_listings).filter("province <> 'known'")
+    return rows.select(
+        "judul_iklan", "harga", "kecamatan", "kabupaten_kota", "terakhir_diperbarui", "agen", *SITE.labels, "link_rumah123",
+        "provinsi", "province", "page", "waktu_scraping")
+
+
+@_query(f"""
+    WITH x AS ({_EXTRACTED})
+    SELECT (SELECT count(*) FROM x) AS new_listings,
+           (SELECT count(DISTINCT kecamatan) FROM x) AS new_facilities,
+           (SELECT count(*) FROM x) AS listings,
+           (SELECT count(DISTINCT kecamatan) FROM x) AS facilities, 2 AS current_page""")
+def batch_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole chain over all pages: what it says it wrote, and the state after it."""
+    store = _extract_store(spark, folder, "batch_chain")
+    places = _read(spark, folder, "events").select(
+        F.col("event_type").alias("kecamatan"), *[F.lit(None).cast("string").alias(t) for t in ("amenity", "shop", "aeroway", "railway", "leisure")],
+        F.lit("Indonesia").alias("country"), F.lit(6).alias("admin_level"))
+    done = run_batch(spark, store, _fetched_pages(spark, folder), places, SITE, now=datetime(2024, 5, 1), version="fetched")
+    return G.read_progress(spark, store.progress).select(
+        *[F.lit(n).cast("long").alias(name) for name, n in (
+            ("new_listings", done.new_listings), ("new_facilities", done.new_facilities),
+            ("listings", done.clean.listings), ("facilities", done.clean.facilities))], "current_page")
+
+
+@_query("""
+    SELECT n_name AS provinsi, CAST(n_nationkey AS INT) AS ump, CAST(n_nationkey + 0.5 AS DOUBLE) AS populasi_ribu, CAST(n_regionkey AS INT) AS kepadatan_per_km2,
+           CAST(n_nationkey * 2 AS INT) AS pdrb_miliar, CAST(n_regionkey / 4.0 AS DOUBLE) AS tingkat_pengangguran,
+           CAST(n_nationkey / 2.0 AS DOUBLE) AS tingkat_penyelesaian_pendidikan_sd, CAST(n_nationkey / 4.0 AS DOUBLE) AS tingkat_penyelesaian_pendidikan_smp,
+           CAST(n_nationkey / 8.0 AS DOUBLE) AS tingkat_penyelesaian_pendidikan_sma FROM nation""")
+def province_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations written as the province file with its nine headers, and read back typed."""
+    root = _scratch(spark, "provinces")
+    key = F.col("n_nationkey")
+    values = ("n_name", key, key + F.lit(0.5), F.col("n_regionkey"), key * 2, F.col("n_regionkey") / 4, key / 2, key / 4, key / 8)
+    rows = _read(spark, folder, "nation").select(
+        *[F.col(v).alias(h) if isinstance(v, str) else v.alias(h) for h, v in zip(PROVINCE_COLUMNS, values)])
+    rows.write.csv(root, header=True)
+    return PR.read_provinces(spark, root)

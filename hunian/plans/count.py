@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import facilities as A, keys
 from ..schemas import RAW_FACILITY
 from ..sources import sinks
-from .store import Store, page_districts, raw_facilities, raw_page, select_batch, writable
+from .store import Store, page_districts, raw_facilities, raw_page, select_batch
 
 
 def count_districts(
@@ -21,7 +21,6 @@ def count_districts(
 
     ``places`` has ``country``, ``admin_level``, ``kecamatan`` and the tag columns.
     """
-    writable(store)
     batch = select_batch(spark, store)
     raw = raw_page(spark, store, batch)
     if raw is None:
@@ -30,7 +29,15 @@ def count_districts(
     stored = raw_facilities(spark, store)
     if stored is not None:
         wanted = keys.missing_keys(wanted, stored, "kecamatan")
-    counts = A.count_places(A.places_in(places, country), **options)
+    if wanted.isEmpty():
+        return 0
+    # Only places of wanted districts are searched; patterns are the dear part.
+    near = keys.keep_known(A.places_in(places, country), wanted, "kecamatan")
+    counts = A.count_places(near, **options)
     rows = A.facility_rows(A.counts_for(wanted, counts), now)
     text = rows.select(*[F.col(c).cast("string").alias(c) for c in RAW_FACILITY.names])
+    if store.raw_format == "csv":
+        # The district is read from its column, so a name only has to be one a file can have.
+        name = F.concat(F.regexp_replace("kecamatan", r"[/\\\\:]", "_"), F.lit(".csv"))
+        return sinks.write_csv_files(text, store.raw_facilities, name, store.scratch_folder)
     return sinks.append_rows(text, store.raw_facilities, [])

@@ -9,74 +9,94 @@ from pyspark.sql import functions as F
 
 from ..operators import keys, pages as P
 from ..sources import listings, sinks
-from ..sources.files import scratch
-from .store import Selection, Store, select_batch, writable
+from ..sources.files import fresh, remove
+from ..sources.pages import fetched, newest
+from .store import Selection, Store, raw_page, select_batch
 
-#: Up to this many new cards their links' hashes (8 bytes each) are broadcast.
-LINK_HASHES = 1_000_000
 
-
-def search_pages(spark: SparkSession, pages: DataFrame, site: P.Site, batch: Selection) -> DataFrame:
-    """Fetched search pages of the batch, with ``province`` and ``page``.
+def search_pages(
+    spark: SparkSession, pages: DataFrame, site: P.Site, batch: Selection, version: str | None = None,
+) -> DataFrame:
+    """Newest fetch of each search page of the batch, with ``province`` and ``page``.
 
     The urls go to the scan as literals, so Parquet skips row groups by them.
     """
     rows = [(p, batch.page, site.search_url(p, batch.page)) for p in batch.provinces]
     targets = spark.createDataFrame(rows, "province string, page int, url string")
-    return pages.filter(F.col("url").isin([url for _, _, url in rows])).join(
-        keys.broadcast_if_small(targets), "url")
+    found = fetched(pages.filter(F.col("url").isin([url for _, _, url in rows])), targets.select("url").distinct(), version)
+    return newest(found.filter(F.col("html").isNotNull()), "url", version).join(targets, "url")
 
 
-def new_cards(
-    spark: SparkSession, searched: DataFrame, known: DataFrame, site: P.Site, key: str = "judul_iklan",
-) -> tuple[DataFrame, int]:
-    """Cards whose title is not known, written once to scratch, and their number.
+def new_cards(searched: DataFrame, known: DataFrame, site: P.Site, scratch: str, key: str = "judul_iklan") -> DataFrame:
+    """Cards whose title is not known: ``province``, ``page``, ``link``.
 
-    Search pages are parsed a single time; the later steps read the small table.
+    Search pages are parsed a single time; later steps read the small table in ``scratch``. The long
+    list of known titles is first cut to those on the cards, map-side while the cards are few.
     """
-    cards = P.page_cards(searched.select("province", "page", "html"), site)
-    path = scratch(spark, "new-cards")
-    count = sinks.append_rows(keys.keep_new(cards, known, key).select("province", "page", "link"), path, [])
-    return spark.read.schema("province string, page int, link string").parquet(path), count
+    path = fresh(scratch, "cards")
+    cards = P.page_cards(searched.select("province", "page", "html"), site).select("province", "page", key, "link")
+    sinks.append_rows(cards, path, [])
+    cards = searched.sparkSession.read.schema(f"province string, page int, {key} string, link string").parquet(path)
+    met = known.select(key).join(cards.select(key).distinct(), key, "left_semi")
+    return keys.keep_new(cards, met, key).select("province", "page", "link")
 
 
 def new_listings(
-    spark: SparkSession, searched: DataFrame, pages: DataFrame, known: DataFrame, site: P.Site,
-    now: datetime | None = None, link_hashes: int = LINK_HASHES, version: str | None = None,
+    searched: DataFrame, pages: DataFrame, known: DataFrame, site: P.Site, scratch: str,
+    now: datetime | None = None, version: str | None = None,
 ) -> DataFrame:
     """Raw listings of all new cards, one row per card that has a fetched page.
 
-    ``pages`` holds one page per url, or several of which the one with the
-    largest ``version`` counts. Detail fields are cut out of the markup before
-    any shuffle, so no markup is moved. Pages nobody asked for are kept
-    out of that work by the hashes of the links while those fit a broadcast;
-    beyond that all pages are parsed and the join alone decides.
+    Of several fetches of a url the one with the largest ``version`` counts. Only pages that cards ask for are parsed, and their
+    fields are cut out of the markup before rows are gathered by url.
     """
-    cards, count = new_cards(spark, searched, known, site)
-    if count <= link_hashes:
-        hashes = cards.select(F.xxhash64("link").alias("_hash")).distinct()
-        pages = pages.join(F.broadcast(hashes), F.xxhash64("url") == F.col("_hash"), "left_semi")
+    cards = new_cards(searched, known, site, scratch)
     keep = (version,) if version else ()
-    details = P.detail_records(pages.select("url", "html", *keep), site, now, keep=keep)
-    if version:
-        newest = F.max_by(F.struct(*details.columns), version).alias("_newest")
-        details = details.groupBy("link_rumah123").agg(newest).select("_newest.*").drop(version)
-    joined = cards.join(details.drop("provinsi"), F.col("link") == F.col("link_rumah123"))
+    wanted = fetched(pages, cards.select(F.col("link").alias("url")).distinct(), version)
+    details = P.detail_records(wanted.select("url", "html", *keep), site, now, keep=keep)
+    details = newest(details, "link_rumah123", version).drop("provinsi", *keep)
+    joined = cards.join(details, F.col("link") == F.col("link_rumah123"))
     return joined.withColumn("provinsi", F.col("province")).select(*listings.STORED.names)
 
 
 def extract_page(
-    spark: SparkSession, store: Store, pages: DataFrame, site: P.Site, now: datetime | None = None
+    spark: SparkSession, store: Store, pages: DataFrame, site: P.Site, now: datetime | None = None,
+    version: str | None = None,
 ) -> int:
     """Append the batch's new listings to the raw store; returns how many.
 
     Rows of an earlier run of the page stay, and their titles are known now: a
-    second run adds nothing.
+    second run adds nothing. ``version`` names the column of ``pages`` that grows with every fetch.
     """
-    writable(store)
     batch = select_batch(spark, store)
     if not batch.provinces:
         return 0
-    known = listings.read_all(spark, store.raw_listings).select("judul_iklan")
-    rows = new_listings(spark, search_pages(spark, pages, site, batch), pages, known, site, now)
-    return sinks.append_rows(rows, store.raw_listings, ["province", "page"])
+    if store.raw_format == "csv":
+        titles = listings.read_titles_csv(spark, store.raw_listings)
+        known = spark.createDataFrame([], "judul_iklan string") if titles is None else titles.select("judul_iklan")
+    else:
+        known = listings.read_all(spark, store.raw_listings).select("judul_iklan")
+    scratch = fresh(store.scratch_folder, "extract")
+    searched = search_pages(spark, pages, site, batch, version)
+    rows = new_listings(searched, pages, known, site, scratch, now, version)
+    if store.raw_format == "csv":
+        count = _into_files(spark, store, batch, rows, scratch)
+    else:
+        count = sinks.append_rows(rows, store.raw_listings, ["province", "page"])
+    remove(spark, scratch)
+    return count
+
+
+def _into_files(spark: SparkSession, store: Store, batch: Selection, rows: DataFrame, scratch: str) -> int:
+    """Add rows to the page files of their provinces; a file that is there keeps its rows."""
+    path = fresh(scratch, "rows")
+    count = sinks.append_rows(rows, path, [])
+    rows = spark.read.schema(listings.STORED).parquet(path)
+    stored = raw_page(spark, store, batch)
+    if stored is not None:
+        touched = stored.join(rows.select("province").distinct(), "province", "left_semi")
+        rows = keys.union_pages([touched, rows])
+    name = F.format_string("%s/page_%d_%s.csv", "province", "page", "province")
+    sinks.write_csv_files(
+        rows.withColumn("_into", name).drop("province", "page"), store.raw_listings, F.col("_into"), scratch)
+    return count

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import keys
-from ..schemas import LISTING_REQUIRED, RAW_FACILITY
+from ..schemas import PROGRESS, RAW_FACILITY
 from ..sources import facilities, listings, sinks
 from ..streaming import progress
 
@@ -17,8 +17,7 @@ from ..streaming import progress
 class Store:
     """Folders of one deployment.
 
-    ``raw_format`` is ``parquet`` for tables the jobs wrote themselves or ``csv``
-    for an existing tree of page and district files, which is read only.
+    ``raw_format`` is ``parquet``, or ``csv`` for a tree of page and district files.
     """
 
     raw_listings: str
@@ -28,11 +27,17 @@ class Store:
     progress: str
     raw_format: str = "parquet"
     clean_format: str = "parquet"
+    scratch: str = ""
 
     @classmethod
     def under(cls, root: str, **kwargs) -> Store:
         names = ("raw_listings", "raw_facilities", "clean_listings", "clean_facilities", "progress")
-        return cls(*[f"{root}/{n}" for n in names], **kwargs)
+        return cls(*[f"{root}/{n}" for n in names], **{"scratch": f"{root}/_scratch", **kwargs})
+
+    @property
+    def scratch_folder(self) -> str:
+        """Where jobs keep what they need until they are done; beside the raw listings if none is named."""
+        return self.scratch or f"{self.raw_listings}_scratch"
 
 
 @dataclass(frozen=True)
@@ -44,16 +49,10 @@ class Selection:
     state: DataFrame
 
 
-def writable(store: Store) -> None:
-    """Raw tables are written as Parquet only; a CSV tree has to be adopted first."""
-    if store.raw_format != "parquet":
-        raise ValueError("The raw CSV tree is read only; see adopt_csv_tree")
-
-
 def select_batch(spark: SparkSession, store: Store) -> Selection:
-    """Read the progress document; it is one row and names each province once."""
-    state = progress.read_progress(spark, store.progress)
-    row: Row = state.first()
+    """Read the progress document, once: it is one row and names each province once."""
+    row: Row = progress.newest_state(spark, store.progress)
+    state = spark.createDataFrame([(row["current_page"], row["provinces"])], PROGRESS)
     waiting = sorted(p for p, page in row["provinces"].items() if page == row["current_page"])
     return Selection(row["current_page"], waiting, state)
 
@@ -77,16 +76,27 @@ def page_districts(raw: DataFrame) -> DataFrame:
 
 
 def adopt_csv_tree(spark: SparkSession, store: Store, target: Store) -> tuple[int, int]:
-    """Copy the raw CSV files of ``store`` into the Parquet tables of ``target``."""
-    raw = listings.read_all_csv(spark, store.raw_listings, LISTING_REQUIRED)
+    """Copy the raw CSV files of ``store`` into the Parquet tables of ``target``.
+
+    All columns are kept. A file that lacks a required column or cannot be read raises. Pages that
+    are there already are replaced and districts that are there already are left, so a second call changes nothing.
+    """
+    raw = listings.read_all_csv(spark, store.raw_listings)
     found = facilities.read_facilities_csv(spark, store.raw_facilities)
-    return (
-        0 if raw is None else sinks.append_rows(_named(raw, listings.STORED), target.raw_listings, ["province", "page"]),
-        0 if found is None else sinks.append_rows(_named(found, RAW_FACILITY), target.raw_facilities, []),
-    )
+    pages = districts = 0
+    if raw is not None:
+        pages = sinks.overwrite_partitions(_named(raw, listings.STORED), target.raw_listings, ["province", "page"])
+    if found is not None:
+        rows = _named(found, RAW_FACILITY)
+        stored = facilities.read_facilities(spark, target.raw_facilities)
+        if stored is not None:
+            there = stored.select(F.col("kecamatan").alias("_there")).distinct()
+            rows = rows.join(there, F.col("kecamatan").eqNullSafe(F.col("_there")), "left_anti")
+        districts = sinks.append_rows(rows, target.raw_facilities, [])
+    return pages, districts
 
 
 def _named(df: DataFrame, schema) -> DataFrame:
-    """The columns of ``schema``; one the files lack is null."""
-    return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+    """The columns of ``schema``, null where the files lack one, then all others."""
+    named = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    return df.select(*named, *[c for c in df.columns if c not in schema.names])

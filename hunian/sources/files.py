@@ -1,14 +1,11 @@
-"""File access shared by the readers: exact paths, headers by name, scratch space."""
+"""File access shared by the readers: exact paths, headers by name, folders of a job."""
 
 from __future__ import annotations
 
 import csv
 import re
-import tempfile
 import uuid
-from collections import defaultdict
 from collections.abc import Callable
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,20 +20,39 @@ CSV_WRITE = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+#: Files of one tree may come with so many different headers.
+HEADERS = 100
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder path in the shared folder of ``spark.checkpoint.dir``.
-
-    Only where no such folder is configured (local tests) is a temporary one made.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="hunian-")
-        spark.conf.set("spark.checkpoint.dir", root)
+def fresh(root: str, name: str) -> str:
+    """A path under ``root`` that nothing else uses."""
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of ``path``."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file that may not be there."""
+    files, at = file_system(spark, path)
+    files.delete(at, True)
+
+
+def move_over(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file the name of another, which it replaces; readers see the one or the other."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    option = context._gateway.new_array(hadoop.Options.Rename, 1)
+    option[0] = hadoop.Options.Rename.OVERWRITE
+    files, at = file_system(spark, source)
+    hadoop.FileContext.getFileContext(files.getUri(), context._jsc.hadoopConfiguration()).rename(
+        at, hadoop.Path(target), option)
+
+
 def read_existing(read: Callable[[str], DataFrame], root: str, names: list[str]) -> DataFrame | None:
     """``read`` the given paths under ``root`` that exist; None when none does.
 
@@ -57,6 +73,17 @@ def escape_glob(name: str) -> str:
     return re.sub(r"([\\*?\[\]{},])", r"\\\1", name)
 
 
+# The characters that partition folders hold as a percent sign and two hexadecimal digits.
+_ESCAPED = re.compile("[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]")
+# Fixed value: the folder name of a partition without a value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_value(value: str | None) -> str:
+    """How a partition folder spells ``value``."""
+    return _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", value) if value else _NO_VALUE
+
+
 def read_csv_by_name(
     spark: SparkSession,
     path: str,
@@ -65,27 +92,31 @@ def read_csv_by_name(
 ) -> DataFrame | None:
     """All-string frame over CSV files whose headers may differ in order and width.
 
-    Spark binds a schema to CSV columns by position. So the distinct headers are
-    read first, in one job, and each gets a scan with a schema of its own names;
-    the usual case is one header and one scan. A header lacking a required
-    column raises, or with ``skip_bad`` its files are left out, as are
-    unreadable ones.
+    Spark binds a schema to CSV columns by position. So the distinct headers are read first and each gets
+    a scan with a schema of its own names; the usual case is one header and
+    one scan. A header lacking a required column raises, or with ``skip_bad`` its files are left out, as are
+    unreadable ones. More than ``HEADERS`` different headers raise.
     """
     bad = {"ignoreCorruptFiles": True, "ignoreMissingFiles": True} if skip_bad else {}
     headers = _headers(spark, path, bad)
+    lines = [r["line"] for r in headers.select("line").distinct().orderBy("line").limit(HEADERS + 1).collect()]
+    if len(lines) > HEADERS:
+        raise ValueError(f"more than {HEADERS} different headers under {path}")
     frames = []
-    for line, files in headers.items():
+    for line in lines:
         names = next(csv.reader([line]))
         missing = [c for c in required if c not in names]
         if missing and skip_bad:
             continue
         if missing:
-            raise ValueError(f"Required column {missing[0]} is missing from data.")
+            raise ValueError(f"no column {missing[0]!r} in a file under {path}; its header is {line}")
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        frames.append(
-            spark.read.options(**CSV_READ, **bad, enforceSchema=False).schema(schema)
-            .csv(path if len(headers) == 1 else files)
-            .select("*", F.col("_metadata.file_path").alias("_file")))
+        rows = spark.read.options(**CSV_READ, **bad, enforceSchema=len(lines) > 1).schema(schema).csv(path).select(
+            "*", F.col("_metadata.file_path").alias("_file"))
+        if len(lines) > 1:
+            # Which files have this header stays with the executors.
+            rows = rows.join(headers.filter(F.col("line") == line).select("_file"), "_file", "left_semi")
+        frames.append(rows.select(*names, "_file"))
     if not frames:
         return None
     result = frames[0]
@@ -94,20 +125,14 @@ def read_csv_by_name(
     return result
 
 
-def _headers(spark: SparkSession, path: str, options: dict) -> dict[str, list[str]]:
-    """Distinct header lines with their files, the first line of each file's first block."""
-    first_lines = (
-        spark.read.options(**options).text(path)
-        .filter("_metadata.file_block_start = 0")
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.first("value").alias("line"))
-        .filter(F.col("line").isNotNull()))
-    by_line = defaultdict(list)
-    distinct = first_lines.select("line").distinct().limit(2).collect()
-    if len(distinct) == 1:
-        return {distinct[0]["line"]: []}
-    # Several headers: the file names are needed, a list the driver's own file
-    # index holds already.
-    for row in first_lines.toLocalIterator():
-        by_line[row["line"]].append(escape_glob(unquote(row["file"])))
-    return by_line
+def _headers(spark: SparkSession, path: str, options: dict) -> DataFrame:
+    """``_file`` and ``line``, the first line of each file.
+
+    Lines get numbers that grow along a file; the smallest one of a file's first block is folded without its
+    text and joined back, so no text is sorted to find it.
+    """
+    lines = spark.read.options(**options).text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("start"),
+        F.col("value").alias("line"), F.monotonically_increasing_id().alias("n")).filter("start = 0")
+    first = lines.groupBy("_file").agg(F.min("n").alias("n"))
+    return lines.join(first, ["_file", "n"]).select("_file", "line")

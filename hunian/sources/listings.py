@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LISTING_REQUIRED, RAW_LISTING
-from .files import escape_glob, read_csv_by_name, read_existing
+from .files import escape_glob, partition_value, read_csv_by_name, read_existing
 
 #: Raw listing columns plus the two partition columns.
 STORED = T.StructType(
@@ -19,10 +19,17 @@ STORED = T.StructType(
 
 
 def read_page(spark: SparkSession, root: str, provinces: list[str], page: int) -> DataFrame | None:
-    """Stored listings of one page; provinces without data are simply absent."""
-    names = [f"province={escape_glob(p)}/page={page}" for p in provinces]
-    reader = spark.read.schema(STORED).option("basePath", root)
-    return read_existing(reader.parquet, root, names)
+    """Stored listings of one page with any further columns; provinces without data are simply absent."""
+    names = [f"province={escape_glob(partition_value(p))}/page={page}" for p in provinces]
+
+    def read(path: str) -> DataFrame:
+        # The files' own columns first, from their footers: a given schema alone would hide the further ones.
+        found = spark.read.option("basePath", root).option("mergeSchema", True).parquet(path).schema
+        further = [f for f in found if f.name not in STORED.names]
+        schema = T.StructType([*RAW_LISTING, *further, STORED["province"], STORED["page"]])
+        return spark.read.schema(schema).option("basePath", root).parquet(path)
+
+    return read_existing(read, root, names)
 
 
 def read_all(spark: SparkSession, root: str) -> DataFrame:
@@ -37,16 +44,21 @@ def read_page_csv(spark: SparkSession, root: str, provinces: list[str], page: in
     return read_existing(lambda path: _tree(spark, path, LISTING_REQUIRED, False), root, names)
 
 
-def read_all_csv(spark: SparkSession, root: str, required=("judul_iklan",)) -> DataFrame | None:
-    """The whole CSV tree; unreadable files are skipped."""
+def read_titles_csv(spark: SparkSession, root: str, required=("judul_iklan",)) -> DataFrame | None:
+    """The whole CSV tree; files that cannot be read or lack a required column are skipped."""
     return read_existing(lambda path: _tree(spark, path, list(required), True), root, ["*/page_*.csv"])
 
 
+def read_all_csv(spark: SparkSession, root: str) -> DataFrame | None:
+    """The whole CSV tree with all its columns; a file that cannot be read or lacks a column raises."""
+    return read_existing(lambda path: _tree(spark, path, LISTING_REQUIRED, False), root, ["*/page_*.csv"])
+
+
 def _tree(spark: SparkSession, path: str, required: list[str], skip_bad: bool) -> DataFrame | None:
     raw = read_csv_by_name(spark, path, required, skip_bad)
     if raw is None:
         return None
-    name = F.url_decode(F.regexp_extract("_file", "([^/]+)$", 1))
+    name = F.url_decode(F.regexp_replace(F.regexp_extract("_file", "([^/]+)$", 1), r"\+", "%2B"))
     pattern = r"^page_(\d+)_(.+)\.csv$"
     return raw.select(
         *[c for c in raw.columns if c != "_file"],

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .files import CSV_WRITE
+from .files import CSV_WRITE, file_system, fresh, move_over, remove
 
 
 def page_path(root: str, page: int, fmt: str = "parquet") -> str:
@@ -43,6 +45,30 @@ def append_rows(df: DataFrame, root: str, by: list[str]) -> int:
     return rows()
 
 
+def write_csv_files(df: DataFrame, root: str, name: Column, scratch: str) -> int:
+    """One CSV file with a header for each ``name`` (a path under ``root``), replacing what has that name.
+
+    The layout asks for whole files, so a file is written by one task; the driver handles one name per
+    file, as many as a batch has pages or districts.
+    """
+    spark, folder = df.sparkSession, fresh(scratch, "files")
+    inputs = [c for c in df.columns if c != "_into"]
+    counted, rows = _observed(df.select(*inputs, name.alias("_name")).repartition("_name"))
+    counted.write.options(**CSV_WRITE).partitionBy("_name").csv(folder)
+    files, at = file_system(spark, folder)
+    for part in files.listStatus(at):
+        value = part.getPath().getName().removeprefix("_name=")
+        if not part.isDirectory():
+            continue
+        target = f"{root}/{unquote(value)}"
+        above = file_system(spark, target)[1].getParent()
+        file_system(spark, root)[0].mkdirs(above)
+        for written in files.listStatus(part.getPath()):
+            move_over(spark, written.getPath().toString(), target)
+    remove(spark, folder)
+    return rows()
+
+
 def _gathered(df: DataFrame, by: list[str]) -> DataFrame:
     """Bring rows of a partition together for few files; AQE splits the large ones."""
     return df.hint("rebalance", *by) if by else df.hint("rebalance")

@@ -2,16 +2,20 @@
 
 A state is one small JSON document. Saving adds a document to a folder and
 reading takes the one with the highest counter, so a job that dies while saving
-leaves the previous state whole. A single ``progress.json`` reads just as well.
+leaves the previous state whole. A single ``progress.json`` is read and replaced just as well.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import advance_pages
 from ..schemas import PROGRESS, PROVINCES
+from ..sources.files import file_system, fresh, move_over, remove
+
+#: Documents that stay in a progress folder after a save.
+KEPT = 3
 
 
 def new_progress(spark: SparkSession, provinces=PROVINCES, page: int = 1) -> DataFrame:
@@ -24,14 +28,19 @@ def init_progress(spark: SparkSession, path: str, provinces=PROVINCES, page: int
     new_progress(spark, provinces, page).coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state as one row; raises when there is none or it is malformed."""
+def newest_state(spark: SparkSession, path: str) -> Row:
+    """The newest state; raises when there is none or it is malformed. One read of a few documents."""
     states = spark.read.schema(PROGRESS).json(path, multiLine=True, mode="FAILFAST")
-    newest = states.agg(F.max_by(F.struct("*"), "current_page").alias("s")).filter("s IS NOT NULL")
-    state = newest.select("s.current_page", "s.provinces")
-    if state.isEmpty():
-        raise ValueError(f"No progress state in {path}")
-    return state
+    newest = states.filter("current_page IS NOT NULL").orderBy(F.desc("current_page")).limit(1).collect()
+    if not newest or newest[0]["provinces"] is None:
+        raise ValueError(f"no progress state in {path}")
+    return newest[0]
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The newest state as one row."""
+    row = newest_state(spark, path)
+    return spark.createDataFrame([(row["current_page"], row["provinces"])], PROGRESS)
 
 
 def progress_rows(state: DataFrame) -> DataFrame:
@@ -52,4 +61,27 @@ def advance(state: DataFrame) -> DataFrame:
 
 
 def write_progress(state: DataFrame, path: str) -> None:
+    """Save a state.
+
+    In a folder it is a further document, and all but the newest ``KEPT`` are removed after. A single file is
+    replaced by a rename over it, so a reader sees the old or the new one.
+    """
+    spark = state.sparkSession
+    files, at = file_system(spark, path)
+    if files.exists(at) and files.getFileStatus(at).isFile():
+        _replace_file(spark, path, state.select(F.to_json(F.struct("*"))).first()[0])
+        return
     state.coalesce(1).write.mode("append").json(path)
+    saved = spark.read.schema(PROGRESS).json(path, multiLine=True, mode="FAILFAST").select(
+        "current_page", F.col("_metadata.file_path").alias("file")).orderBy(F.desc("current_page")).collect()
+    for row in saved[KEPT:]:
+        remove(spark, row["file"])
+
+
+def _replace_file(spark: SparkSession, path: str, document: str) -> None:
+    beside = fresh(path.rpartition("/")[0], ".progress")
+    files, new = file_system(spark, beside)
+    out = files.create(new)
+    out.write(bytearray(document.encode()))
+    out.close()
+    move_over(spark, beside, path)

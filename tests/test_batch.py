@@ -203,7 +203,7 @@ def test_missing_column_is_an_error_and_state_stays(spark, csv_store):
         clean_page(spark, csv_store)
     assert state(spark, csv_store)[0] == 1
     # The known-title scan takes what it can read.
-    titles = {r[0] for r in listings.read_all_csv(spark, csv_store.raw_listings).select("judul_iklan").collect()}
+    titles = {r[0] for r in listings.read_titles_csv(spark, csv_store.raw_listings).select("judul_iklan").collect()}
     assert titles == {'Rumah, "baru"\nluas', "No district", "Reversed", "Behind", "x"}
 
 
@@ -211,8 +211,11 @@ def test_adopted_csv_tree_cleans_alike(spark, csv_store, tmp_path):
     target = Store.under(str(tmp_path / "adopted"))
     assert adopt_csv_tree(spark, csv_store, target) == (4, 4)
     progress.write_progress(progress.read_progress(spark, csv_store.progress), target.progress)
-    with pytest.raises(ValueError, match="read only"):
-        extract_page(spark, csv_store, pages_table(spark), SITE, NOW)
+    # A second time changes nothing, and columns beyond the known ones are kept.
+    adopt_csv_tree(spark, csv_store, target)
+    assert listings.read_all(spark, target.raw_listings).count() == 4
+    assert spark.read.parquet(target.raw_facilities).count() == 4
+    assert "extra" in listings.read_page(spark, target.raw_listings, ["riau"], 1).columns
     for store in (csv_store, target):
         clean_page(spark, store)
     names = LISTING.names
@@ -220,22 +223,21 @@ def test_adopted_csv_tree_cleans_alike(spark, csv_store, tmp_path):
     assert one == two and len(one) == 3
 
 
-@pytest.mark.parametrize("link_hashes", [1_000_000, 0])
-def test_new_listings_with_and_without_link_hashes(spark, link_hashes):
+def test_new_listings_of_unknown_titles(spark, tmp_path):
     pages = pages_table(spark)
     searched = pages.filter("url LIKE '%/rumah/%'").withColumns({"province": F.lit("bali"), "page": F.lit(1)})
     known = spark.createDataFrame([("Rumah R",), (None,)], "judul_iklan string")
-    rows = new_listings(spark, searched, pages, known, SITE, NOW, link_hashes).collect()
+    rows = new_listings(searched, pages, known, SITE, str(tmp_path), NOW).collect()
     assert sorted(r["link_rumah123"][-2:] for r in rows) == ["/a", "a2", "ad"]
 
 
-def test_newest_fetch_of_a_page_counts(spark):
+def test_newest_fetch_of_a_page_counts(spark, tmp_path):
     pages = spark.createDataFrame([
         (f"{BASE}/properti/a", detail("Old"), 1), (f"{BASE}/properti/a", detail("New", pairs=[("Hook", "Ya")]), 2)],
         "url string, html string, fetched int")
     searched = spark.createDataFrame([("bali", 1, search(card("A", "/properti/a"), card("A", "/properti/a")))], "province string, page int, html string")
     known = spark.createDataFrame([], "judul_iklan string")
-    rows = new_listings(spark, searched, pages, known, SITE, NOW, version="fetched").collect()
+    rows = new_listings(searched, pages, known, SITE, str(tmp_path), NOW, "fetched").collect()
     assert [(r["judul_iklan"], r["hook"], r["provinsi"], r["page"]) for r in rows] == [("New", "Ya", "bali", 1)] * 2
 
 
@@ -250,3 +252,82 @@ def test_page_read_but_empty_replaces_old_page(spark, tmp_path):
     assert clean_page(spark, store).listings == 0
     assert spark.read.schema(LISTING).parquet(store.clean_listings).count() == 0
     assert set(FACILITY_REQUIRED) >= set(FACILITY_COUNTS)
+
+
+def test_adopting_a_file_without_a_required_column_raises(spark, csv_store, tmp_path):
+    header = [c for c in LISTING.names if c != "hook"]
+    write_csv(f"{csv_store.raw_listings}/riau/page_1_riau.csv", header, [listing_row(header, judul_iklan="x")])
+    with pytest.raises(ValueError, match="hook"):
+        adopt_csv_tree(spark, csv_store, Store.under(str(tmp_path / "adopted")))
+
+
+def test_batch_on_a_csv_tree(spark, tmp_path):
+    store = Store.under(str(tmp_path), raw_format="csv")
+    progress.init_progress(spark, store.progress, ["bali", "riau", "aceh", "jambi"])
+    write_csv(f"{store.raw_listings}/bali/page_1_bali.csv", LISTING.names, [
+        listing_row(LISTING.names, judul_iklan="There before", kecamatan="Old")])
+    result = run_batch(spark, store, pages_table(spark), places_table(spark), SITE, now=NOW)
+    assert (result.new_listings, result.new_facilities, result.clean.listings) == (3, 4, 4)
+    assert sorted(os.listdir(f"{store.raw_listings}/bali")) == [".page_1_bali.csv.crc", "page_1_bali.csv"] or \
+        "page_1_bali.csv" in os.listdir(f"{store.raw_listings}/bali")
+    assert {"Kuta.csv", "Tampan.csv", "Old.csv"} <= set(os.listdir(store.raw_facilities))
+    assert extract_page(spark, store, pages_table(spark), SITE, NOW) == 0 or state(spark, store)[0] == 2
+
+
+@pytest.mark.parametrize("name", ["a=b", "x%y", "p [1]", "q{2}", "c:d", "it's"])
+def test_odd_province_names_are_read_back(spark, tmp_path, name):
+    from hunian.sources import sinks
+    rows = spark.createDataFrame([(name, 1, "t")], "province string, page int, judul_iklan string")
+    sinks.append_rows(rows, str(tmp_path), ["province", "page"])
+    assert [r["province"] for r in listings.read_page(spark, str(tmp_path), [name], 1).collect()] == [name]
+
+
+def test_state_in_one_file(spark, tmp_path):
+    path = tmp_path / "progress.json"
+    path.write_text('{"current_page": 1,\n "provinces": {"bali": 1, "riau": 2}}')
+    store = Store(*[f"{tmp_path}/{n}" for n in "abcd"], str(path))
+    clean_page(spark, store)
+    assert path.is_file() and state(spark, store) == (2, {"bali": 2, "riau": 2})
+    clean_page(spark, store)
+    assert state(spark, store) == (3, {"bali": 3, "riau": 3})
+
+
+def test_old_states_go(spark, tmp_path):
+    store = Store.under(str(tmp_path))
+    progress.init_progress(spark, store.progress, ["bali"])
+    for _ in range(6):
+        clean_page(spark, store)
+    assert state(spark, store)[0] == 7
+    assert sum(f.endswith(".json") for f in os.listdir(store.progress)) == progress.KEPT
+
+
+def test_scratch_is_under_the_root_and_goes(spark, tmp_path):
+    store = Store.under(str(tmp_path))
+    progress.init_progress(spark, store.progress, ["bali"])
+    extract_page(spark, store, pages_table(spark), SITE, NOW)
+    assert store.scratch_folder.startswith(str(tmp_path)) and not any(os.scandir(store.scratch_folder))
+
+
+def test_pages_in_folders_are_pruned(spark, tmp_path):
+    from hunian.sources.pages import BUCKET, fetched, read_pages, write_pages
+    write_pages(pages_table(spark), str(tmp_path / "pages"))
+    pages = read_pages(spark, str(tmp_path / "pages"))
+    urls = spark.createDataFrame([(f"{BASE}/properti/a",)], "url string")
+    found = fetched(pages, urls)
+    assert found.count() == 1
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(" + BUCKET in text.replace("`", "") or BUCKET in text.split("PartitionFilters")[1][:200]
+    store = Store.under(str(tmp_path))
+    progress.init_progress(spark, store.progress, ["bali", "riau"])
+    assert extract_page(spark, store, pages, SITE, NOW) == 3
+
+
+def test_newest_fetch_in_the_job(spark, tmp_path):
+    old = pages_table(spark).withColumn("html", F.lit("<html><h1>Old</h1></html>")).withColumn("fetched", F.lit(1))
+    pages = pages_table(spark).withColumn("fetched", F.lit(2)).union(old)
+    store = Store.under(str(tmp_path))
+    progress.init_progress(spark, store.progress, ["bali", "riau"])
+    # The newest fetch of one page failed, so its last good one counts.
+    assert extract_page(spark, store, pages, SITE, NOW, "fetched") == 4
+    titles = [r[0] for r in listings.read_all(spark, store.raw_listings).select("judul_iklan").collect()]
+    assert sorted(titles) == ["Old", "Rumah R", "Villa A", "Villa A"]

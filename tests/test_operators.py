@@ -94,15 +94,6 @@ def test_counts_join_needs_two_shuffles(spark, conf):
     assert text.count("Exchange hashpartitioning") == 2 and "partial_count_if" in text or "partial_count" in text
 
 
-def test_selected_pages_broadcast_only_below_the_bound(spark, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    rows = spark.range(50).select(F.col("id").cast("string").alias("province"), F.lit(1).alias("page"))
-    assert K.on_selected_pages(rows, rows.filter("province < '2'")).count() == 12
-    assert "BroadcastHashJoin" in plan(K.on_selected_pages(rows, rows))
-    assert "hint" not in K.broadcast_if_small(rows, limit=49)._jdf.queryExecution().logical().toString().lower()
-    assert "hint" in K.broadcast_if_small(rows, limit=50)._jdf.queryExecution().logical().toString().lower()
-
-
 def test_facility_counts(spark):
     schema = "country string, admin_level int, kecamatan string, amenity string, shop string, aeroway string, railway string, leisure string"
     places = spark.createDataFrame([
@@ -216,7 +207,7 @@ def test_bad_file_is_skipped_in_the_title_scan(spark, tmp_path):
     (tmp_path / "bali" / "page_1_bali.csv").write_text("judul_iklan,kecamatan\nA,x\n")
     (tmp_path / "bali" / "page_2_bali.csv").write_text("other\n1\n")
     (tmp_path / "bali" / "page_3_bali.csv").write_text("")
-    rows = listings.read_all_csv(spark, str(tmp_path)).collect()
+    rows = listings.read_titles_csv(spark, str(tmp_path)).collect()
     assert [(r["judul_iklan"], r["province"], r["page"]) for r in rows] == [("A", "bali", 1)]
 
 

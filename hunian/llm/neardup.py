@@ -7,11 +7,12 @@
 3. Improved consistent weighted sampling draws ``BANDS * ROWS`` samples from each text; two texts share a sample
    with the probability of their weighted Jaccard similarity. Texts that share all samples of a band
    are in one bucket. Texts of similarity 0.8 share a bucket with probability 0.9989.
-4. Equal texts are one vertex from here on. In every bucket each vertex is compared with the bucket's first one by
-   the exact weighted similarity of the whole texts; those that reach ``LIKE`` are linked. Links make classes.
-5. Where a bucket still holds several classes, the vertices outside its first one's class are compared with all others of the
-   bucket that are in other classes, some of them at a time, until none is left. So every two texts
-   of a bucket end up in one class or have been compared, without all pairs of a class being formed.
+4. Equal texts are one vertex from here on. In every bucket each vertex is paired with the bucket's central one, the one in
+   the largest buckets. Pairs that could reach ``LIKE`` by their total weights and their samples are compared by the exact
+   weighted similarity of the whole texts; those that reach it are linked. Links make classes.
+5. A bucket that still holds several classes is cut into blocks, and every two blocks are compared in a task of their
+   own, likewise but for pairs of one class. So every two texts of a bucket end up in one class or have been
+   compared. Only links between classes leave a task, never the pairs.
 
 Texts of fewer words than a shingle are one shingle of all their words. Texts without words (null and empty
 ones included) are near only to equal texts, null counting as empty. Repeated rows are copies. An empty table gives no rows. Extra columns
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import cut, map_batches, text_or_empty, texts_of
@@ -40,8 +41,10 @@ SLOTS, SEED = 1 << 18, 3
 AT_ONCE = 30_000
 #: Words whose hash one worker remembers before it starts anew.
 REMEMBERED = 300_000
-#: Vertices of a bucket that are compared with the rest in the first extra round; four times as many in each further one.
-PIVOTS = 4
+#: Samples that two texts must share to be compared; the number shared by texts of similarity ``LIKE`` is binomial.
+SHARED = 26
+#: Vertices of a bucket that are compared with as many others in one task.
+BLOCK = 512
 
 _WORD = re.compile(r"\w+").findall
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -77,12 +80,13 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Documents that hold a word of each slot, and the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, rows = np.zeros(SLOTS + 1, np.int64), 0
+        counts = np.zeros(SLOTS + 1, np.int64)
         for batch in batches:
-            rows += batch.num_rows
-            for text in texts_of(batch):
-                counts[np.unique(_slots(_hashed(words_of(text))))] += 1
-        counts[SLOTS] = rows
+            counts[SLOTS] += batch.num_rows
+            texts = texts_of(batch)
+            for at in range(0, len(texts), 500):
+                words = [w for t in texts[at:at + 500] for w in set(words_of(t))]
+                counts[:SLOTS] += np.bincount(_slots(_hashed(words)), minlength=SLOTS)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(seen, pa.int32()), "docs": pa.array(counts[seen])})
 
@@ -97,11 +101,11 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return np.log((rows + 1) / (counts + 1)) + 1
 
 
-def shingles(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes in order and their weights."""
+def shingles(text: str, idf: np.ndarray, counts: bool = False) -> tuple[np.ndarray, ...]:
+    """Distinct shingle hashes in order, their weights and with ``counts`` how often each occurs."""
     hashed = _hashed(words_of(text))
     if not len(hashed):
-        return np.zeros(0, np.uint64), np.zeros(0)
+        return np.zeros(0, np.uint64), np.zeros(0), *([np.zeros(0, np.int64)] if counts else [])
     size = min(WORDS, len(hashed))
     weights = idf[_slots(hashed)]
     n = len(hashed) - size + 1
@@ -110,7 +114,7 @@ def shingles(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         joined = (joined ^ (joined >> np.uint64(29))) * _ONE + hashed[i:i + n]
         weight += weights[i:i + n]
     found, first, times = np.unique(joined, return_index=True, return_counts=True)
-    return found, weight[first] / size * times
+    return found, weight[first] / size * times, *([times] if counts else [])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -151,9 +155,10 @@ class Sampler:
         return made
 
 
-def bands(texts: list[str], idf: np.ndarray, sampler: Sampler) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (a row per text; 0 where the text has no words) and each text's total weight."""
+def bands(texts: list[str], idf: np.ndarray, sampler: Sampler) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Band keys and 16 bits of each sample (a row per text; 0 where it has no words), and each text's total weight."""
     keys = np.zeros((len(texts), BANDS), np.uint64)
+    marks = np.zeros((len(texts), BANDS * ROWS), np.uint16)
     totals = np.zeros(len(texts))
     group, places, size = [], [], 0
 
@@ -166,6 +171,7 @@ def bands(texts: list[str], idf: np.ndarray, sampler: Sampler) -> tuple[np.ndarr
             joined = np.zeros((len(group), BANDS), np.uint64)
             for row in range(ROWS):
                 joined = (joined ^ (joined >> np.uint64(31))) * _TWO + drawn[:, row::ROWS]
+            marks[places] = drawn >> np.uint64(48)
             keys[places] = (joined + np.arange(1, BANDS + 1, dtype=np.uint64) * _ONE) | np.uint64(1)
         group, places, size = [], [], 0
 
@@ -179,7 +185,7 @@ def bands(texts: list[str], idf: np.ndarray, sampler: Sampler) -> tuple[np.ndarr
         if size >= AT_ONCE:
             flush()
     flush()
-    return keys, totals
+    return keys, marks, totals
 
 
 def _identity(text: str) -> bytes:
@@ -188,23 +194,25 @@ def _identity(text: str) -> bytes:
 
 
 def signatures(docs: DataFrame, idf: Broadcast) -> DataFrame:
-    """``doc_id, place, ident, total, keys`` of each row; ``place`` finds the row's text again."""
+    """``doc_id, place, ident, total, keys, marks`` of each row; ``place`` finds the row's text again."""
     sampler: list[Sampler] = []
 
     def make(batch: pa.RecordBatch) -> dict:
         if not sampler:
             sampler.append(Sampler())
         texts = texts_of(batch)
-        keys, totals = bands(texts, idf.value, sampler[0])
+        keys, marks, totals = bands(texts, idf.value, sampler[0])
         return {
             "doc_id": batch.column("doc_id"), "place": batch.column("place"),
             "ident": pa.array([_identity(t) for t in texts], pa.binary()), "total": pa.array(totals),
             "keys": pa.ListArray.from_arrays(
                 pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(keys.view(np.int64).ravel())),
+            "marks": pa.ListArray.from_arrays(
+                pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS * ROWS), pa.array(marks.view(np.int16).ravel())),
         }
 
     return map_batches(docs.select("doc_id", _place().alias("place"), "text"), make,
-                       "doc_id long, place long, ident binary, total double, keys array<long>")
+                       "doc_id long, place long, ident binary, total double, keys array<long>, marks array<smallint>")
 
 
 def _place() -> Column:
@@ -242,10 +250,10 @@ def roots(links: DataFrame) -> DataFrame:
     """
     links = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
     state = None
-    while True:
+    while not links.isEmpty():
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(
             F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("x")).select(
@@ -258,9 +266,74 @@ def roots(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("ident"), F.col("b").alias("root"))
 
 
-def _possible(total: Column, other: Column) -> Column:
-    """The similarity is at most the smaller total over the larger."""
-    return F.least(total, other) >= F.greatest(total, other) * (LIKE - 1e-9)
+def _links_across(rows: pa.Table, idf: np.ndarray) -> pa.Table:
+    """Links that join classes (by their roots ``a``, ``b``) between the two blocks of a group, or within its one block.
+
+    Pairs that the totals and samples leave open are compared exactly: a shingle that occurs n times is
+    n elements of equal weight, so the common weight of two texts is a sum over the elements both have.
+    """
+    second = rows["second"].to_numpy()
+    one = bool(second.any() and not second.all())
+    roots_, totals = rows["root"].to_pylist(), rows["total"].to_numpy()
+    marks = rows["marks"].combine_chunks().flatten().to_numpy().reshape(len(totals), -1)
+    number = {r: n for n, r in enumerate(dict.fromkeys(roots_))}
+    of_root = np.array([number[r] for r in roots_])
+    left = np.flatnonzero(~second) if one else np.arange(len(totals))
+    right = np.flatnonzero(second) if one else left
+    open_pairs = []
+    for at in left:
+        others = right if one else right[right > at]
+        others = others[of_root[others] != of_root[at]]
+        others = others[np.minimum(totals[others], totals[at]) >= np.maximum(totals[others], totals[at]) * (LIKE - 1e-9)]
+        others = others[(marks[others] == marks[at]).sum(axis=1) >= SHARED]
+        open_pairs.append(np.stack([np.full(len(others), at), others], axis=1))
+    pairs = np.concatenate(open_pairs) if open_pairs else np.zeros((0, 2), np.int64)
+    links: dict[tuple[bytes, bytes], None] = {}
+    if len(pairs):
+        used = np.unique(pairs)
+        common = _common_weights([rows["text"][int(i)].as_py() for i in used], idf)
+        a, b = np.searchsorted(used, pairs[:, 0]), np.searchsorted(used, pairs[:, 1])
+        shared = common[a, b]
+        whole = totals[pairs[:, 0]] + totals[pairs[:, 1]] - shared
+        for x, y in pairs[shared >= LIKE * whole - 1e-9]:
+            links[max(roots_[x], roots_[y]), min(roots_[x], roots_[y])] = None
+    return pa.table({
+        "a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+
+def _common_weights(texts: list[str], idf: np.ndarray) -> np.ndarray:
+    """For every two of the texts the sum of the smaller weights."""
+    elements, weights, owners = [], [], []
+    for n, text in enumerate(texts):
+        hashes, weight, times = shingles(text, idf, counts=True)
+        level = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        elements.append(np.repeat(hashes, times) + level.astype(np.uint64) * _TWO)
+        weights.append(np.repeat(weight / times, times))
+        owners.append(np.full(len(level), n))
+    elements, weights, owners = map(np.concatenate, (elements, weights, owners))
+    _, first, column, times = np.unique(elements, return_index=True, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)
+    place = np.full(len(times), -1)
+    place[shared] = np.arange(len(shared))
+    column, weight = place[column], np.sqrt(weights[first[shared]])
+    made = np.zeros((len(texts), len(texts)))
+    for start in range(0, len(shared), 4096):
+        inside = (column >= start) & (column < start + 4096)
+        part = np.zeros((len(texts), min(4096, len(shared) - start)))
+        part[owners[inside], column[inside] - start] = weight[column[inside]]
+        made += part @ part.T
+    return made
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """Whether two vertices' infos (``total``, ``marks``) leave room for a similarity of ``LIKE``.
+
+    The similarity is at most the smaller total over the larger. Of two texts that reach ``LIKE``, fewer than
+    ``SHARED`` samples agree with a probability below one in a million.
+    """
+    equal = F.aggregate(
+        F.zip_with(a["marks"], b["marks"], lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    return (F.least(a["total"], b["total"]) >= F.greatest(a["total"], b["total"]) * (LIKE - 1e-9)) & (equal >= SHARED)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -275,10 +348,11 @@ def representatives(docs: DataFrame) -> DataFrame:
     # One place for each class: the vertices' first places are pre-aggregated, and texts are not moved for it.
     firsts = named.groupBy("root").agg(F.min("first").alias("first")).select(
         F.col("first.doc_id").alias("_doc_id"), F.col("first.place").alias("_place"))
-    placed = docs.withColumn("_place_of_row", F.xxhash64(F.col("doc_id").cast("long"), text_or_empty()))
-    kept = placed.join(firsts, placed["_place_of_row"] == firsts["_place"], "left_semi")
+    placed = docs.select(
+        F.struct("*").alias("row"), F.xxhash64(F.col("doc_id").cast("long"), text_or_empty()).alias("_row_place"))
+    kept = placed.join(firsts, placed["_row_place"] == firsts["_place"], "left_semi")
     # Rows that are equal in id and text are still several; any one of them stays.
-    return kept.dropDuplicates(["_place_of_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.dropDuplicates(["_row_place"]).select("row.*")
 
 
 def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -287,52 +361,47 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     idf = context.broadcast(inverse_frequencies(docs))
     rows = cut(signatures(docs, idf))
-    vertices = rows.groupBy("ident").agg(
-        F.min(F.struct("doc_id", "place")).alias("first"), F.min_by("keys", F.struct("doc_id", "place")).alias("keys"),
-        F.max("total").alias("total"), F.count("*").alias("copies"))
-    members = vertices.filter("total > 0").select("ident", "total", "first", F.explode("keys").alias("key"))
-    first = members.groupBy("key").agg(
-        F.min(F.struct("ident", "total")).alias("centre"), F.count("*").alias("size")).filter("size > 1")
-    # Buckets of several vertices: each vertex with the bucket's first one.
-    buckets = cut(members.join(first.select("key", "centre"), "key").select(
-        "key", "ident", "total", "first", F.col("centre.ident").alias("centre"), F.col("centre.total").alias("centre_total")))
-    needed = buckets.select("ident", "first.doc_id", "first.place").distinct()
+    vertices = cut(rows.groupBy("ident").agg(
+        F.min(F.struct("doc_id", "place")).alias("first"), F.first(F.struct("total", "marks")).alias("info"),
+        F.first("keys").alias("keys"), F.count("*").alias("copies")))
+    members = vertices.filter("info.total > 0").select("ident", F.explode("keys").alias("key"))
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    buckets = members.join(sizes, "key")
+    # The text others were made from shares more with each of them than they do with one another, so it is in large buckets.
+    rank = buckets.groupBy("ident").agg(F.sum("size").alias("rank"))
+    buckets = buckets.join(rank, "ident")
+    centres = buckets.groupBy("key").agg(F.max(F.struct("rank", "ident")).alias("centre")).select("key", "centre.ident")
+    # Buckets of several vertices: each vertex with the bucket's central one.
+    buckets = cut(buckets.join(centres.withColumnRenamed("ident", "centre"), "key").select("key", "ident", "size", "centre"))
+    info = vertices.select("ident", "info")
+
+    def with_info(rows: DataFrame, vertex: str, name: str) -> DataFrame:
+        return rows.join(info.select(F.col("ident").alias(vertex), F.col("info").alias(name)), vertex)
+
+    pairs = buckets.filter("ident != centre").select(F.col("ident").alias("a"), F.col("centre").alias("b")).distinct()
+    pairs = with_info(with_info(pairs, "a", "x"), "b", "y").filter(_alike(F.col("x"), F.col("y"))).select("a", "b")
     texts = cut(docs.withColumn("place", _place()).join(
-        needed.select("place", "ident"), "place").select("ident", "text").dropDuplicates(["ident"]))
-
-    candidates = buckets.filter((F.col("ident") != F.col("centre")) & _possible(F.col("total"), F.col("centre_total")))
-    # Most vertices reach their class by the first of their centres; the other pairs are compared only across classes.
-    nearest = candidates.groupBy(F.col("ident").alias("a")).agg(F.min("centre").alias("b"))
-    links = cut(verified(nearest, texts, idf))
-    found = cut(roots(links))
-    rest = _across(candidates.select(F.col("ident").alias("a"), F.col("centre").alias("b")).distinct(), found)
-    more = cut(verified(rest.join(nearest, ["a", "b"], "left_anti"), texts, idf))
-    links = links.union(more)
-    found = cut(roots(links))
-
-    def classed(rows: DataFrame) -> DataFrame:
-        return _with_root(_with_root(rows, found, "ident", "root"), found, "centre", "centre_root")
-
-    place = Window.partitionBy("key").orderBy("ident")
-    outside = cut(classed(buckets).filter("root != centre_root").select(
-        "key", "ident", "total", "centre", F.row_number().over(place).alias("n")))
-    low, high = 0, PIVOTS
-    while not outside.filter(F.col("n") > low).isEmpty():
-        # One that has joined the first one's class meanwhile is compared as the others' partner.
-        chosen = classed(outside.filter((F.col("n") > low) & (F.col("n") <= high))).filter("root != centre_root").select(
-            "key", F.col("ident").alias("b"), F.col("total").alias("b_total"), F.col("root").alias("b_root"))
-        pairs = classed(buckets).join(chosen, "key").filter(
-            (F.col("root") != F.col("b_root")) & (F.col("ident") != F.col("centre")) & _possible(F.col("total"), F.col("b_total"))
-        ).select(F.greatest("ident", "b").alias("a"), F.least("ident", "b").alias("b")).distinct()
-        more = cut(verified(pairs, texts, idf))
-        if not more.isEmpty():
-            links = links.union(more)
-            found = cut(roots(links))
-        low, high = high, high + 4 * (high - low)
-
-    root = F.coalesce("root", "ident")
-    grouped = cut(vertices.select("ident", "first", "copies").join(found, "ident", "left").select(
-        "ident", "first", "copies", root.alias("root")))
+        vertices.join(buckets.select("ident").distinct(), "ident", "left_semi").select("ident", "first.place"), "place",
+    ).select("ident", "text").dropDuplicates(["ident"]))
+    found = cut(roots(verified(pairs, texts, idf)))
+
+    # Buckets that still hold several classes, cut into pairs of blocks.
+    classed = cut(_with_root(buckets.select("key", "ident", "size"), found, "ident", "root"))
+    several = classed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least != most")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("ident"), F.col("blocks")).cast("int")
+    placed = with_info(classed.join(several.select("key"), "key"), "ident", "info").join(texts, "ident").withColumn(
+        "blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"),
+        "ident", "root", "info.total", "info.marks", "text")
+    late = placed.groupBy("key", "i", "j").applyInArrow(
+        lambda rows: _links_across(rows, idf.value), "a binary, b binary").distinct()
+    joined = roots(late).select(F.col("ident").alias("root"), F.col("root").alias("last"))
+
+    grouped = _with_root(vertices.select("ident", "first", "copies"), found, "ident", "root")
+    grouped = cut(grouped.join(joined, "root", "left").select(
+        "ident", "first", "copies", F.coalesce("last", "root").alias("root")))
     named = grouped.groupBy("root").agg(F.min("first.doc_id").alias("class_id"))
     return rows, grouped.join(named, "root").select("ident", "root", "first", "class_id", "copies")
 
@@ -342,7 +411,3 @@ def _with_root(rows: DataFrame, found: DataFrame, vertex: str, name: str) -> Dat
     return rows.join(named, rows[vertex] == F.col("_vertex"), "left").withColumn(
         name, F.coalesce("_root", vertex)).drop("_vertex", "_root")
 
-
-def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) that lie in different classes so far."""
-    return _with_root(_with_root(pairs, found, "a", "ra"), found, "b", "rb").filter("ra != rb").select("a", "b")

@@ -196,7 +196,9 @@ def search(
                 "vec": batch.column("vec"), "reach": pa.array(reach, pa.float64())}
 
     asked = map_batches(
-        queries.groupBy("key").agg(F.min("vec").alias("vec")).select("key", "vec"), visit,
+        # Spread as dealt: the traversal is the dear part, though its input is small.
+        queries.groupBy("key").agg(F.min("vec").alias("vec")).repartition(
+            int(spark.conf.get("spark.sql.shuffle.partitions")), "key").select("key", "vec"), visit,
         "blocks array<long>, key long, vec array<double>, reach double",
     ).select(F.explode("blocks").alias("block"), F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("group"),
              "key", "vec", "reach")

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
+    # Larger methods run interpreted; a wide projection is better split by not generating one method for it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,12 +71,16 @@ def let(value: Column, body) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Decode named and numeric entities in one pass, so ``&amp;lt;`` stays ``&lt;``."""
-    table = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'"}
+    table = {f"&{name}": text for name, text in html5.items() if name.endswith(";")}
     names = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
     token = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|\w+);|[^&]++|&"
-    tokens = F.regexp_extract_all(text, F.lit(token), F.lit(0))
-    return F.array_join(F.transform(tokens, lambda t: F.when(~t.startswith("&"), t).otherwise(
-        F.coalesce(_code_point(t), F.try_element_at(names, t), t))), "")
+
+    def decoded(text: Column) -> Column:
+        tokens = F.regexp_extract_all(text, F.lit(token), F.lit(0))
+        return F.array_join(F.transform(tokens, lambda t: F.when(~t.startswith("&"), t).otherwise(
+            F.coalesce(_code_point(t), F.try_element_at(names, t), t))), "")
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
 
 
 def _code_point(token: Column) -> Column:

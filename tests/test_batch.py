@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hunian.plans import clean as clean_job
 from hunian.plans.batch import run_batch
 from hunian.plans.clean import clean_page
-from hunian.plans.extract import extract_page, new_listings
+from hunian.plans.extract import extract_page, new_cards, new_listings
 from hunian.plans.store import Store, adopt_csv_tree, select_batch
 from hunian.schemas import FACILITY_COUNTS, FACILITY_REQUIRED, LISTING, LISTING_REQUIRED
 from hunian.sources import listings
@@ -331,3 +331,27 @@ def test_newest_fetch_in_the_job(spark, tmp_path):
     assert extract_page(spark, store, pages, SITE, NOW, "fetched") == 4
     titles = [r[0] for r in listings.read_all(spark, store.raw_listings).select("judul_iklan").collect()]
     assert sorted(titles) == ["Old", "Rumah R", "Villa A", "Villa A"]
+
+
+def test_known_titles_are_cut_before_the_anti_join(spark, tmp_path, capsys):
+    known = spark.range(1000).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("judul_iklan"))
+    known.write.parquet(str(tmp_path / "known"))
+    searched = pages_table(spark).filter("url LIKE '%/rumah/%'").withColumns({"province": F.lit("bali"), "page": F.lit(1)})
+    fresh_cards = new_cards(searched, spark.read.parquet(str(tmp_path / "known")), SITE, str(tmp_path))
+    fresh_cards.explain("formatted")
+    text = capsys.readouterr().out
+    # The history is scanned once and joined map-side with the cards' titles before any exchange.
+    assert "LeftSemi" in text and "BroadcastHashJoin" in text and "SortMergeJoin LeftSemi" not in text
+
+
+def test_places_are_cut_before_they_are_counted(spark, tmp_path):
+    from hunian.operators import facilities, keys
+    from hunian.plans import count
+    store = Store.under(str(tmp_path))
+    progress.init_progress(spark, store.progress, ["bali", "riau"])
+    extract_page(spark, store, pages_table(spark), SITE, NOW)
+    near = keys.keep_known(facilities.places_in(places_table(spark), "Indonesia"), spark.createDataFrame([("Kuta",)], "kecamatan string"), "kecamatan")
+    plan = facilities.count_places(near)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [kecamatan") < plan.index("LeftSemi")
+    assert count.count_districts(spark, store, places_table(spark), now=NOW) == 3
+    assert count.count_districts(spark, store, places_table(spark), now=NOW) == 0

@@ -646,6 +646,17 @@ def listing_tree(spark: SparkSession, folder: str) -> DataFrame:
     return L.read_page_csv(spark, store.raw_listings, ["F", "O", "P", "none"], 1)
 
 
+@_query(f"SELECT judul_iklan, province, page FROM ({_TREE_SQL})")
+def titles_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles of the whole tree; files that lack the title column are skipped."""
+    store = _csv_tree(spark, folder, "titles_tree")
+    untitled = _read(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("other"),
+        F.format_string("%s/page_2_%s.csv", "o_orderstatus", "o_orderstatus").alias("_into"))
+    sinks.write_csv_files(untitled, store.raw_listings, F.col("_into"), store.scratch_folder)
+    return L.read_titles_csv(spark, store.raw_listings).select("judul_iklan", "province", "page")
+
+
 @_query(f"SELECT {_FACILITY_RAW}, c_name AS kecamatan, '2024-05-01T00:00:00' AS timestamp, 'success' AS status FROM customer")
 def facility_tree(spark: SparkSession, folder: str) -> DataFrame:
     return RF.read_facilities_csv(spark, _csv_tree(spark, folder, "facility_tree").raw_facilities)

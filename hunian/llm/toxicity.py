@@ -235,11 +235,12 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Model of the labels whose id does not divide by 5 (by its crc32)."""
     trained = remainder(F.col("doc_id"), 5) != 0
-    share = labels.filter(trained & F.col("doc_id").isNotNull()).agg(
-        F.sum(F.col("toxic")).alias("toxic"), F.count("toxic").alias("all")).first()
+    marks = labels.filter(trained & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"))
+    share = marks.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("all")).first()
     share = ((share["toxic"] or 0) + 1) / (share["all"] + 2)
     found = [
-        labelled(docs, labels.filter(F.col("toxic") == value), "toxic", trained, rows // 2).toArrow().to_pandas()
+        labelled(docs, marks.filter(F.col("toxic") == value), "toxic", trained, rows // 2).toArrow().to_pandas()
         for value in (0, 1)]
     rows = sorted((t or "", int(y), bool(h)) for f in found for t, y, h in zip(f["text"], f["label"], f["held"]))
     softmax = train([t for t, _, _ in rows], np.array([y for _, y, _ in rows], np.int64),

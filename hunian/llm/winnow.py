@@ -183,10 +183,13 @@ def edited_fingerprints(docs: DataFrame, blocks: int | None = None, gram: int =
     the next text's beginning as half of its own length. Texts are
     moved once, by ranges of ids; the first row of each range goes to the range
     before it as well, so that every row meets its next one as the sorted rows pass by. The
-    number of ranges (``blocks``, by default the session's shuffle partitions) is all that the driver's work depends on.
+    number of ranges (``blocks``, by default twice as many as the scan has tasks, or the session's shuffle partitions if
+    those are more) is all that the driver's work depends on.
     """
     spark = docs.sparkSession
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not blocks:
+        scanned = docs.select("doc_id", "text").rdd.getNumPartitions()
+        blocks = max(2 * scanned, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col("doc_id").cast("long").alias("key"), text_or_empty().alias("text"))
     block, firsts = _blocks(rows.select("key"), blocks)
     guests = F.when(F.col("guest_block").isNotNull(), F.array(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from hunian.llm import bpe, mixing, neardup, pii, quality
 from hunian.llm.base import shared_path, table, text_or_empty
+from hunian.sources.files import remove
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +33,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind and ``n_chars`` of the new text."""
-    text = text_or_empty()
-    masked = pii.masked(text)
-    changed = {"text": F.when(F.col("text").isNotNull(), masked)}
-    docs = docs.withColumns(changed)
+    docs = docs.withColumn("text", F.when(F.col("text").isNotNull(), pii.masked(text_or_empty())))
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
@@ -63,9 +61,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; a stage's table goes as soon as the next one's is written."""
     docs = table(spark, sf_dir, "documents")
     root = shared_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
         docs = spark.read.parquet(f"{root}/{name}")
+        if before:
+            remove(spark, f"{root}/{before}")
+        before = name
     return docs

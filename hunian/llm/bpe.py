@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from .base import map_batches, texts_of
 
 #: Pieces and token pairs that one worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

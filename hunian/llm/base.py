@@ -35,10 +35,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{with_shared_folder(spark).sparkContext.getCheckpointDir()}/{name}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, so that a lost executor does not repeat what made it."""
-    with_shared_folder(df.sparkSession)
-    return df.checkpoint()
+def cut(df: DataFrame, small: bool = False) -> DataFrame:
+    """``df`` written to the shared folder, so that a lost executor does not repeat what made it.
+
+    A ``small`` table, of a few columns and far fewer rows than there are documents, is gathered to two
+    partitions for each of the cluster's cores, as a step that runs over and over would write very many tiny files.
+    """
+    context = with_shared_folder(df.sparkSession).sparkContext
+    return (df.coalesce(2 * context.defaultParallelism) if small else df).checkpoint()
 
 
 def text_or_empty(name: str = "text") -> Column:

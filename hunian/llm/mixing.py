@@ -64,7 +64,7 @@ def rake(cells: DataFrame, targets: dict[str, Callable[[Column], Column] | dict[
     Values without tokens are left out of the shares.
     """
     names = list(targets)
-    cells = cut(cells.withColumn("_fitted", F.col("_tokens").cast("double")))
+    cells = cut(cells.withColumn("_fitted", F.col("_tokens").cast("double")), small=True)
     total = cells.agg(F.sum("_tokens")).first()[0] or 0
     for name, rule in targets.items():
         margin = cells.groupBy(name).agg(F.sum("_tokens").cast("double").alias("_of_value")).filter("_of_value > 0")
@@ -73,15 +73,15 @@ def rake(cells: DataFrame, targets: dict[str, Callable[[Column], Column] | dict[
         else:
             pairs = [x for value, share in rule.items() for x in (F.lit(value), F.lit(float(share)))]
             wanted = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(name)), F.lit(0.0))
-        margin = cut(margin.select(name, wanted.alias("_wanted")))
+        margin = cut(margin.select(name, wanted.alias("_wanted")), small=True)
         whole = margin.agg(F.sum("_wanted")).first()[0] or 1.0
         cells = cells.join(margin.select(name, (F.col("_wanted") / whole * total).alias(f"_target_{name}")), name, "left")
-    cells = cut(cells)
+    cells = cut(cells, small=True)
     for _ in range(rounds):
         for name in names:
             sums = cells.groupBy(name).agg(F.sum("_fitted").alias("_sum"))
             cells = cut(cells.join(sums, name).withColumn("_fitted", F.when(
-                F.col("_sum") > 0, F.col("_fitted") * F.col(f"_target_{name}") / F.col("_sum")).otherwise(0.0)).drop("_sum"))
+                F.col("_sum") > 0, F.col("_fitted") * F.col(f"_target_{name}") / F.col("_sum")).otherwise(0.0)).drop("_sum"), small=True)
     return cells
 
 
@@ -126,7 +126,7 @@ def calibrated(
     cells = rake(rows.groupBy(*inner).agg(F.sum("_tokens").alias("_tokens")), inner, rounds)
     found = rate(cells, share)
     weight = F.when(F.col("_tokens") > 0, F.coalesce("_fitted", F.lit(0.0)) / F.col("_tokens")).otherwise(1.0)
-    weights = cut(cells.select(*inner, weight.alias("weight")))
+    weights = cut(cells.select(*inner, weight.alias("weight")), small=True)
     if weights.count() <= BROADCAST_CELLS:
         weights = F.broadcast(weights)
     return rows.join(weights, list(inner)).withColumn(

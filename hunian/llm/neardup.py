@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +39,7 @@ SLOTS, SEED = 1 << 18, 3
 #: Shingles sampled at a time, so that the arrays stay in the processor's caches.
 AT_ONCE = 30_000
 #: Words whose hash one worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Samples that two texts must share to be compared; the number shared by texts of similarity ``LIKE`` is binomial.
 SHARED = 26
 #: Vertices of a bucket that are compared with as many others in one task.
@@ -56,8 +55,8 @@ class _Hashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        data = word.encode()
-        value = self[word] = zlib.crc32(data) << 32 | zlib.crc32(data, 0x5BD1E995)
+        digest = hashlib.blake2b(word.encode(), digest_size=8).digest()
+        value = self[word] = int.from_bytes(digest, "little")
         return value
 
 
@@ -248,7 +247,7 @@ def roots(links: DataFrame) -> DataFrame:
     Stars are drawn to the smallest neighbour, of all and then of the smaller ones, until
     the links repeat. Folds are map-side, so a vertex with very many links is no burden.
     """
-    links = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
+    links = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), small=True)
     state = None
     while not links.isEmpty():
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -258,7 +257,7 @@ def roots(links: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(
             F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("x")).select(
             F.col("x.a").alias("a"), F.col("x.m").alias("b")).filter("a != b").distinct()
-        links = cut(small)
+        links = cut(small, small=True)
         now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1_000_003)).first()
         if now == state:
             break
@@ -383,7 +382,7 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = cut(docs.withColumn("place", _place()).join(
         vertices.join(buckets.select("ident").distinct(), "ident", "left_semi").select("ident", "first.place"), "place",
     ).select("ident", "text").dropDuplicates(["ident"]))
-    found = cut(roots(verified(pairs, texts, idf)))
+    found = roots(verified(pairs, texts, idf))
 
     # Buckets that still hold several classes, cut into pairs of blocks.
     classed = cut(_with_root(buckets.select("key", "ident", "size"), found, "ident", "root"))

@@ -3,8 +3,10 @@
 Documents are folded to cells, one for each combination of the dimensions' values, with the sum of tokens.
 Iterative proportional fitting scales the cells to the target shares of one dimension after the other, a fixed
 number of rounds. A cell's ratio of fitted to counted tokens is its documents' calibrated
-weight. A document is kept with probability ``min(1, rate * weight)``; the rate is the one at which the expected
-tokens are ``share`` of all. Chance comes from a hash of the id, so a document's draw
+weight. ``report`` and ``sample`` keep a document with probability ``min(1, rate * weight)``; the rate is the one at which the expected
+tokens are ``share`` of all. Cells that stop at one then fall short, and the sample misses the targets of values that are rare.
+``balanced`` rakes again with a cell's own tokens as its upper bound, so the expected sample has the margins that the raking
+met; it keeps the largest share found up to ``share`` at which they can be met. Chance comes from a hash of the id, so a document's draw
 does not depend on the others, and repeated ids are kept or left together.
 
 The cells stay distributed and are cut to the shared folder after each step; the driver sees a few sums. A null value
@@ -23,6 +25,9 @@ from pyspark.sql import functions as F
 from .base import cut
 
 ROUNDS, SHARE, SEED = 8, 0.5, 17
+#: Raking under upper bounds: rounds for a share, the relative miss that a margin may have, and the part of the largest share
+#: that is tried first, as at that share itself a value's cells reach one only in the limit.
+BOUND_ROUNDS, MISS, SLACK = 12, 1e-3, 0.98
 #: Up to this many cells go to the documents by broadcast; more are joined by a shuffle.
 BROADCAST_CELLS = 100_000
 
@@ -108,6 +113,47 @@ def rate(cells: DataFrame, share: float = SHARE) -> float:
         full, found = row["full"], max(found, (share * total - row["held"]) / row["open"])
 
 
+def bounded(cells: DataFrame, names: list[str], share: float = SHARE, rounds: int = BOUND_ROUNDS) -> tuple[DataFrame, float]:
+    """Raked cells with ``_kept`` tokens, never more than a cell has, and the share at which their margins are those of ``_fitted``.
+
+    A value of which the share asks for more tokens than there are lowers the share for all. Steps scale a value's open cells to
+    what its full ones leave. A share whose margins are not met is lowered, at last to that at which no cell is full.
+    """
+    cells = cut(cells.select(*names, "_tokens", F.coalesce("_fitted", F.lit(0.0)).alias("_fitted")), small=True)
+    some = F.when(F.col("_fitted") > 0, F.col("_tokens")).otherwise(0)
+    for name in names:
+        margin = cut(cells.groupBy(name).agg(
+            F.sum("_fitted").alias(f"_margin_{name}"), F.sum(some).alias(f"_of_{name}")), small=True)
+        cells = cells.join(margin, name)
+    cells = cut(cells, small=True)
+    row = cells.filter("_fitted > 0").agg(
+        F.max(F.col("_fitted") / F.col("_tokens")), *[F.min(F.col(f"_of_{n}") / F.col(f"_margin_{n}")) for n in names]).first()
+    if row[0] is None:
+        return cells.withColumn("_kept", F.lit(0.0)), share
+    free, found, lower = min(share, 1 / row[0]), min(share, SLACK * min(row[1:])), 0.8
+    while found > free:
+        raw = cells.withColumn("_raw", F.col("_fitted") * found)
+        kept, full = F.least(F.col("_tokens"), F.col("_raw")), F.col("_raw") >= F.col("_tokens")
+        for _ in range(rounds):
+            for name in names:
+                sums = raw.groupBy(name).agg(
+                    F.sum(F.when(full, F.col("_tokens")).otherwise(0)).alias("_held"),
+                    F.sum(F.when(full, 0.0).otherwise(F.col("_raw"))).alias("_open"))
+                left = F.col(f"_margin_{name}") * found - F.col("_held")
+                factor = F.when((left > 0) & (F.col("_open") > 0), left / F.col("_open")).when(
+                    F.col("_held") + F.col("_open") > 0,
+                    F.col(f"_margin_{name}") * found / (F.col("_held") + F.col("_open"))).otherwise(0.0)
+                raw = cut(raw.join(sums, name).withColumn("_raw", F.col("_raw") * factor).drop("_held", "_open"), small=True)
+            margins = raw.select(kept.alias("_kept"), F.inline(F.array(*[F.struct(
+                F.lit(n).alias("_name"), F.col(n).alias("_value"), (F.col(f"_margin_{n}") * found).alias("_wanted")) for n in names])))
+            missed = margins.groupBy("_name", "_value", "_wanted").agg(F.sum("_kept").alias("_sum")).filter("_wanted > 0").agg(
+                F.max(F.abs(F.col("_sum") / F.col("_wanted") - 1))).first()[0]
+            if missed <= MISS:
+                return raw.withColumn("_kept", kept), found
+        found, lower = found * lower, lower * lower
+    return cells.withColumn("_kept", F.least(F.col("_tokens").cast("double"), F.col("_fitted") * free)), free
+
+
 def draw(doc_id: Column, seed: int = SEED) -> Column:
     """A number from 0 to below 1 out of the id."""
     digits = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
@@ -116,32 +162,38 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
 
 def calibrated(
     docs: DataFrame, dimensions: dict[str, Column], counted: Column, targets: dict, share: float = SHARE,
-    rounds: int = ROUNDS,
+    rounds: int = ROUNDS, bound: bool = False,
 ) -> DataFrame:
-    """Each row of ``docs`` as a struct ``row``, its dimensions, ``tokens``, ``weight``, ``probability`` and ``kept``."""
+    """Each row of ``docs`` as a struct ``row``, its dimensions, ``tokens``, ``weight``, ``probability`` and ``kept``.
+
+    With ``bound`` the expected sample has the raked margins, else it has the share. Rows of a cell without tokens are kept like a weight of 1.
+    """
     value = {n: F.coalesce(c.cast("string"), F.lit("(none)")) for n, c in dimensions.items()}
     rows = docs.select(
         F.struct("*").alias("row"), counted.alias("_tokens"), *[v.alias(f"_{n}") for n, v in value.items()])
     inner = {f"_{n}": targets[n] for n in dimensions}
     cells = rake(rows.groupBy(*inner).agg(F.sum("_tokens").alias("_tokens")), inner, rounds)
-    found = rate(cells, share)
     weight = F.when(F.col("_tokens") > 0, F.coalesce("_fitted", F.lit(0.0)) / F.col("_tokens")).otherwise(1.0)
-    weights = cut(cells.select(*inner, weight.alias("weight")), small=True)
+    if bound:
+        cells, found = bounded(cells, list(inner), share)
+        chance = F.when(F.col("_tokens") > 0, F.col("_kept") / F.col("_tokens")).otherwise(found)
+    else:
+        chance = F.least(F.lit(1.0), weight * rate(cells, share))
+    weights = cut(cells.select(*inner, weight.alias("weight"), chance.alias("probability")), small=True)
     if weights.count() <= BROADCAST_CELLS:
         weights = F.broadcast(weights)
     return rows.join(weights, list(inner)).withColumn(
-        "probability", F.least(F.lit(1.0), F.col("weight") * found)
-    ).withColumn("kept", draw(F.col("row.doc_id")) < F.col("probability")).withColumnRenamed("_tokens", "tokens")
+        "kept", draw(F.col("row.doc_id")) < F.col("probability")).withColumnRenamed("_tokens", "tokens")
 
 
 #: Production targets: large sources, languages and topics shrink.
 TARGETS = {"source": tempered(0.5), "lang": tempered(0.7), "topic": tempered(0.7)}
 
 
-def _production(docs: DataFrame) -> DataFrame:
+def _production(docs: DataFrame, bound: bool = False) -> DataFrame:
     text = F.col("text")
     return calibrated(
-        docs, {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(text)}, tokens(text), TARGETS)
+        docs, {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(text)}, tokens(text), TARGETS, bound=bound)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -153,5 +205,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """The documents that the production mix keeps, with the columns of ``docs``."""
+    """The documents that ``report`` keeps, with the columns of ``docs``."""
     return _production(docs).filter("kept").select("row.*")
+
+
+def balanced(docs: DataFrame) -> DataFrame:
+    """The documents of a sample whose expected margins are the production targets, with the columns of ``docs``."""
+    return _production(docs, bound=True).filter("kept").select("row.*")

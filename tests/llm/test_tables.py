@@ -78,6 +78,24 @@ def test_sampled_tokens_follow_the_probabilities(spark):
     assert kept == pytest.approx(expected, rel=0.15)
 
 
+def test_expected_sample_of_the_pipeline_meets_the_targets(spark):
+    """With a third of all rows in one source."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").withColumn(
+        "source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source")))
+    text = F.col("text")
+    rows = mixing.calibrated(
+        docs, {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(text)}, mixing.tokens(text), mixing.TARGETS,
+        bound=True).select("row.doc_id", "_source", "_lang", "_topic", "tokens", "probability", "kept").toPandas()
+    rows["expected"] = rows["tokens"] * rows["probability"]
+    assert rows["probability"].between(0, 1).all() and 0.3 < rows["expected"].sum() / rows["tokens"].sum() <= mixing.SHARE
+    for name, power in (("_source", 0.5), ("_lang", 0.7), ("_topic", 0.7)):
+        sums = rows.groupby(name)[["tokens", "expected"]].sum()
+        wanted = sums["tokens"] ** power / (sums["tokens"] ** power).sum()
+        assert (sums["expected"] / sums["expected"].sum()).to_dict() == pytest.approx(wanted.to_dict(), rel=3e-3)
+    kept = [r["doc_id"] for r in corpus_pipeline.mix(spark, docs, FOLDER).select("doc_id").collect()]
+    assert sorted(kept) == sorted(rows["doc_id"][rows["kept"]])
+
+
 # Conversations
 
 def test_turns_and_loss_read_back(spark):

@@ -3,7 +3,8 @@
 Every run of ``GRAM`` code points is hashed by a rolling polynomial, and of every
 ``WINDOW`` hashes in a row the smallest is kept, the rightmost on ties, with its position. Two
 texts that share ``GRAM + WINDOW - 1`` code points in a row therefore share a
-fingerprint entry, and no run shorter than ``GRAM`` makes one. A text with fewer hashes
+fingerprint entry, and no run shorter than ``GRAM`` makes one. An edited copy that keeps the first half is
+so found from ``2 * (GRAM + WINDOW - 1)`` code points on. A text with fewer hashes
 than a window keeps its smallest one, a text shorter than ``GRAM`` one hash
 of the whole, the empty text none. Null texts read as empty. Repeated rows have equal
 fingerprints; extra columns of the input are not read.
@@ -22,7 +23,7 @@ from pyspark.sql.functions import pandas_udf
 
 from .base import map_batches, text_or_empty, texts_of
 
-GRAM, WINDOW = 32, 64
+GRAM, WINDOW = 12, 12
 #: A hash has so many bits, twelve hexadecimal digits.
 BITS = 48
 #: Code points worked on at a time, so that the arrays stay in the processor's caches.

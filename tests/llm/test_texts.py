@@ -139,6 +139,14 @@ def test_edited_fingerprints(spark, blocks):
         assert row["near_edited"] == winnow.likeness(own[0], edited[0])
 
 
+def test_edited_copies_of_short_texts_are_found():
+    random.seed(3)
+    for size in range(46, 200):
+        text, after = ("".join(random.choice("abcdefghij ") for _ in range(size)) for _ in range(2))
+        own, edited = winnow.winnow([text, text[:size - size // 2] + after[:size // 2]])
+        assert winnow.likeness(own[0], edited[0]) > 0, size
+
+
 def test_fingerprints_of_odd_rows(spark):
     rows = winnow.edited_fingerprints(odd_documents(spark), 3).collect()
     assert len(rows) == 16 and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)

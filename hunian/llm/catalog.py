@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mixing, nearest, neardup, pii, quality, secrets, toxicity, winnow
+from . import (
+    bestpos, bpe, chat, gridjoin, hardneg, mixing, nearest, neardup, pii, quality, secrets, toxicity, winnow,
+)
 from .base import table
 
 QUERIES: dict = {}
@@ -137,3 +139,69 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
+
+
+@_query(f"""
+    WITH RECURSIVE vectors AS MATERIALIZED (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    taking AS MATERIALIZED (
+        SELECT * FROM vectors WHERE label IS NOT NULL AND v IS NOT NULL
+           AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    links AS MATERIALIZED (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM taking a JOIN taking b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) >= {gridjoin.LIKE}),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    named AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = n.vec_id) AS n_links, component_id, vec_id = component_id AS kept
+    FROM named n""")
+def op11_grid_join(spark: SparkSession, folder: str) -> DataFrame:
+    return gridjoin.components(table(spark, folder, "embeddings"))
+
+
+def _terms_sql(text: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{upper.lower()}'), "
+            r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
+@_query(f"""
+    WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_terms_sql('text')} AS t FROM documents),
+    totals AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM docs),
+    asked AS MATERIALIZED (SELECT DISTINCT item_id, unnest({_terms_sql('text')}) AS term FROM benchmark),
+    postings AS MATERIALIZED (
+        SELECT r, doc_id, term, any_value(n) AS n, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM docs)
+        WHERE term IN (SELECT term FROM asked) GROUP BY r, doc_id, term),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+        FROM postings, totals GROUP BY term, n_docs),
+    impacts AS (
+        SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS impact
+        FROM postings JOIN weights USING (term), totals),
+    scores AS (
+        SELECT item_id, r, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM asked JOIN impacts USING (term) GROUP BY ALL)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= {bestpos.COUNT}""")
+def op12_best_position(spark: SparkSession, folder: str) -> DataFrame:
+    return bestpos.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@_query(f"""
+    WITH typed AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    vectors AS MATERIALIZED (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(v, lambda x: floor({hardneg.SCALE} * x)) AS q
+        FROM typed WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hardneg.POSITIVES})
+    SELECT p.anchor_id, p.positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank,
+           s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    WHERE 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+    QUALIFY rank <= {hardneg.NEGATIVES}""")
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hardneg.mined(table(spark, folder, "embeddings"))

@@ -33,37 +33,36 @@ def _mixing_sql() -> str:
     most = f"greatest({counts})"
     topic = " ".join(
         f"WHEN len(regexp_extract_all(text, '{pattern}')) = {most} THEN '{name}'" for name, pattern in mixing.TOPICS)
+    powers = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+    margins = ", ".join(f"""
+    v_{d} AS (SELECT c_{d}, sum(w) AS v, pow(sum(w), {p}) AS g FROM cells GROUP BY c_{d}),
+    u_{d} AS (SELECT *, coalesce(sum(v) OVER (ORDER BY g / v DESC, c_{d} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+                     sum(g) OVER (ORDER BY g / v DESC, c_{d} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free, sum(v) OVER () AS total
+              FROM v_{d}),
+    m_{d} AS MATERIALIZED (SELECT c_{d}, least(v, g * max(({mixing.SHARE} * total - held) / free) OVER ()) AS t_{d} FROM u_{d})"""
+        for d, p in powers.items())
     steps, last = [], "targets"
     for n in range(mixing.ROUNDS):
-        for name in ("source", "lang", "topic"):
-            steps.append(
-                f"s{n}_{name} AS MATERIALIZED (SELECT * REPLACE (f * t_{name} / sum(f) OVER (PARTITION BY c_{name}) AS f) FROM {last})")
-            last = f"s{n}_{name}"
-    powers = {"source": 0.5, "lang": 0.7, "topic": 0.7}
-    margins = ", ".join(
-        f"m_{d} AS MATERIALIZED (SELECT c_{d}, v / sum(v) OVER () * total AS t_{d} FROM (SELECT c_{d}, pow(sum(w), {p}) AS v, "
-        f"(SELECT sum(w) FROM cells) AS total FROM cells GROUP BY c_{d}))" for d, p in powers.items())
+        for d in powers:
+            order = f"PARTITION BY c_{d} ORDER BY f / w DESC, c_source, c_lang, c_topic ROWS BETWEEN"
+            steps.append(f"""
+    h{n}_{d} AS (SELECT *, coalesce(sum(w) OVER ({order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+                        sum(f) OVER ({order} CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM {last}),
+    s{n}_{d} AS MATERIALIZED (SELECT * EXCLUDE (held, free) REPLACE (
+        f * greatest(max((t_{d} - held) / free) OVER (PARTITION BY c_{d}), 0) AS f) FROM h{n}_{d})""")
+            last = f"s{n}_{d}"
     return f"""
     WITH base AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
     docs AS MATERIALIZED (
         SELECT doc_id, source, lang, CASE WHEN {most} = 0 THEN '{mixing.OTHER}' {topic} END AS topic,
                CAST(len(regexp_extract_all(text, '[^ \t\r\n]+')) AS BIGINT) AS tokens FROM base),
     keyed AS MATERIALIZED (SELECT *, coalesce(source, '(none)') AS c_source, coalesce(lang, '(none)') AS c_lang, topic AS c_topic FROM docs),
-    cells AS MATERIALIZED (SELECT c_source, c_lang, c_topic, CAST(sum(tokens) AS DOUBLE) AS w FROM keyed GROUP BY ALL),
+    cells AS MATERIALIZED (SELECT c_source, c_lang, c_topic, CAST(sum(tokens) AS DOUBLE) AS w FROM keyed GROUP BY ALL HAVING sum(tokens) > 0),
     {margins},
     targets AS MATERIALIZED (SELECT *, w AS f FROM cells JOIN m_source USING (c_source) JOIN m_lang USING (c_lang) JOIN m_topic USING (c_topic)),
     {", ".join(steps)},
-    ranked AS MATERIALIZED (
-        SELECT c_source, c_lang, c_topic, f / w AS weight,
-               coalesce(sum(w) OVER (ORDER BY f / w DESC, c_source, c_lang, c_topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
-               sum(f) OVER (ORDER BY f / w DESC, c_source, c_lang, c_topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free,
-               sum(w) OVER () AS total
-        FROM {last} WHERE w > 0),
-    rate AS (SELECT ({mixing.SHARE} * total - held) / free AS rate FROM ranked WHERE ({mixing.SHARE} * total - held) / free * weight < 1
-             ORDER BY weight DESC, c_source, c_lang, c_topic LIMIT 1),
-    done AS (SELECT k.*, coalesce(r.weight, 1) AS weight, least(1.0, coalesce(r.weight, 1) * (SELECT rate FROM rate)) AS p
-             FROM keyed k LEFT JOIN ranked r USING (c_source, c_lang, c_topic))
-    SELECT doc_id, source, lang, topic, tokens, round(weight, 6) AS weight, round(p, 6) AS probability,
+    done AS (SELECT k.*, coalesce(least(w, f) / w, {mixing.SHARE}) AS p FROM keyed k LEFT JOIN {last} USING (c_source, c_lang, c_topic))
+    SELECT doc_id, source, lang, topic, tokens, round(p / {mixing.SHARE}, 6) AS weight, round(p, 6) AS probability,
            CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 < p AS kept
     FROM done"""
 

@@ -1,15 +1,18 @@
-"""Mixing sources to target weights: raking, then sampling by calibrated probabilities.
+"""Mixing sources to target weights: raking under upper bounds, then sampling by calibrated probabilities.
 
 Documents are folded to cells, one for each combination of the dimensions' values, with the sum of tokens.
-Iterative proportional fitting scales the cells to the target shares of one dimension after the other, a fixed
-number of rounds. A cell's ratio of fitted to counted tokens is its documents' calibrated
-weight. ``report`` and ``sample`` keep a document with probability ``min(1, rate * weight)``; the rate is the one at which the expected
-tokens are ``share`` of all. Cells that stop at one then fall short, and the sample misses the targets of values that are rare.
-``balanced`` rakes again with a cell's own tokens as its upper bound, so the expected sample has the margins that the raking
-met; it keeps the largest share found up to ``share`` at which they can be met. Chance comes from a hash of the id, so a document's draw
-does not depend on the others, and repeated ids are kept or left together.
-
-The cells stay distributed and are cut to the shared folder after each step; the driver sees a few sums. A null value
+A dimension's targets share out ``share`` of all tokens among its values. No value can give more tokens than it
+has: a target above that stops there, and what is missing goes to the other values in proportion (water filling), so a
+rare value costs the others nothing but its shortfall; ``margins`` reports it. Iterative proportional fitting then scales the cells
+to the targets of one dimension after the other, a fixed number of rounds. A cell counts for at most its own tokens, and the factor of a
+value is worked out with its full cells held, so the expected sample meets the targets. A document is kept with the probability that its
+cell's fitted tokens are of its tokens, at most one; the weight is that over ``share``. Chance comes from a hash of the id, so a
+document's draw does not depend on the others, and repeated ids are kept or left together.
+
+The share kept does not change with the input's size or with rare values. Targets of several dimensions that no sample can meet together
+(a value wholly inside another one whose target is smaller) are met for the last dimension and come near for the others.
+
+The cells stay distributed and are cut to the shared folder after each round; the driver sees a few sums. A null value
 is a value of its own, "(none)". Texts without tokens add nothing to a cell and are kept like the
 others of it; a cell without any tokens keeps weight 1. Null ids share one draw. An empty table gives no rows. The
 input's rows travel as one struct, so its column names cannot clash with others.
@@ -19,15 +22,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import cut
 
 ROUNDS, SHARE, SEED = 8, 0.5, 17
-#: Raking under upper bounds: rounds for a share, the relative miss that a margin may have, and the part of the largest share
-#: that is tried first, as at that share itself a value's cells reach one only in the limit.
-BOUND_ROUNDS, MISS, SLACK = 12, 1e-3, 0.98
 #: Up to this many cells go to the documents by broadcast; more are joined by a shuffle.
 BROADCAST_CELLS = 100_000
 
@@ -62,96 +62,71 @@ def tempered(power: float) -> Callable[[Column], Column]:
     return lambda total: F.pow(total, F.lit(power))
 
 
-def rake(cells: DataFrame, targets: dict[str, Callable[[Column], Column] | dict[str, float]], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with ``_fitted`` tokens. ``cells`` has the dimensions of ``targets`` and ``_tokens``.
-
-    A target is a rule on a value's tokens or shares by value; a value that is not named has none, and its cells get no tokens.
-    Values without tokens are left out of the shares.
-    """
-    names = list(targets)
-    cells = cut(cells.withColumn("_fitted", F.col("_tokens").cast("double")), small=True)
-    total = cells.agg(F.sum("_tokens")).first()[0] or 0
-    for name, rule in targets.items():
-        margin = cells.groupBy(name).agg(F.sum("_tokens").cast("double").alias("_of_value")).filter("_of_value > 0")
-        if callable(rule):
-            wanted = rule(F.col("_of_value"))
-        else:
-            pairs = [x for value, share in rule.items() for x in (F.lit(value), F.lit(float(share)))]
-            wanted = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(name)), F.lit(0.0))
-        margin = cut(margin.select(name, wanted.alias("_wanted")), small=True)
-        whole = margin.agg(F.sum("_wanted")).first()[0] or 1.0
-        cells = cells.join(margin.select(name, (F.col("_wanted") / whole * total).alias(f"_target_{name}")), name, "left")
-    cells = cut(cells, small=True)
-    for _ in range(rounds):
-        for name in names:
-            sums = cells.groupBy(name).agg(F.sum("_fitted").alias("_sum"))
-            cells = cut(cells.join(sums, name).withColumn("_fitted", F.when(
-                F.col("_sum") > 0, F.col("_fitted") * F.col(f"_target_{name}") / F.col("_sum")).otherwise(0.0)).drop("_sum"), small=True)
-    return cells
+Targets = dict[str, Callable[[Column], Column] | dict[str, float]]
 
 
-def rate(cells: DataFrame, share: float = SHARE) -> float:
-    """The rate at which documents are expected to give ``share`` of the tokens that have a target, probabilities stopping at one.
+def rate(rows: DataFrame, kept: float) -> float:
+    """The factor at which rows of ``_tokens`` and ``_fitted`` give ``kept`` tokens, none more than it has.
 
-    Cells that reach one at a rate still do so at the larger rate that makes up for them, so
-    the rate only grows and at last stays.
+    Rows that are full at a factor still are at the larger one that makes up for them, so it only grows and at last stays.
     """
-    weight = F.col("_fitted") / F.col("_tokens")
-    cells = cells.filter("_tokens > 0 and _fitted > 0")
-    total = cells.agg(F.sum("_tokens")).first()[0]
-    if not total:
-        return share
+    rows = rows.filter("_tokens > 0 and _fitted > 0")
     found, full = 0.0, -1
     while True:
-        capped = weight * found >= 1
-        row = cells.agg(
+        capped = F.col("_fitted") * found >= F.col("_tokens")
+        row = rows.agg(
             F.sum(F.when(capped, F.col("_tokens")).otherwise(0)).alias("held"),
             F.sum(F.when(capped, 0.0).otherwise(F.col("_fitted"))).alias("open"),
             F.sum(F.when(capped, 1).otherwise(0)).alias("full")).first()
-        if row["full"] == full or row["open"] <= 0:
+        if row["full"] == full or not row["open"]:
             return found
-        full, found = row["full"], max(found, (share * total - row["held"]) / row["open"])
+        full, found = row["full"], max(found, (kept - row["held"]) / row["open"])
+
+
+def targets_of(cells: DataFrame, targets: Targets, share: float) -> dict[str, DataFrame]:
+    """For each dimension its values with ``_tokens``, ``_wanted`` by the rule, and ``_target`` after water filling.
+
+    A rule works on a value's tokens, or names shares by value; a value that is not named gets no tokens. The dimensions share out
+    the same sum: ``share`` of the tokens that have a target in each.
+    """
+    margins, totals = {}, []
+    for name, rule in targets.items():
+        margin = cells.groupBy(name).agg(F.sum("_tokens").alias("_tokens")).filter("_tokens > 0")
+        if callable(rule):
+            wanted = rule(F.col("_tokens").cast("double"))
+        else:
+            pairs = [x for value, part in rule.items() for x in (F.lit(value), F.lit(float(part)))]
+            wanted = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(name)), F.lit(0.0))
+        margins[name] = cut(margin.select(name, "_tokens", wanted.alias("_fitted")), small=True)
+        totals.append(margins[name].filter("_fitted > 0").agg(F.sum("_tokens"), F.sum("_fitted")).first())
+    kept = share * min((t[0] or 0 for t in totals), default=0)
+    return {name: margin.select(
+        name, "_tokens", (F.col("_fitted") / F.lit(float(whole or 1)) * kept).alias("_wanted"),
+        F.least(F.col("_tokens").cast("double"), F.col("_fitted") * rate(margin, kept)).alias("_target"),
+    ) for (name, margin), (_, whole) in zip(margins.items(), totals)}
 
 
-def bounded(cells: DataFrame, names: list[str], share: float = SHARE, rounds: int = BOUND_ROUNDS) -> tuple[DataFrame, float]:
-    """Raked cells with ``_kept`` tokens, never more than a cell has, and the share at which their margins are those of ``_fitted``.
+def rake(cells: DataFrame, targets: Targets, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
+    """Cells that have tokens with ``_fitted``: as many as the expected sample holds of them.
 
-    A value of which the share asks for more tokens than there are lowers the share for all. Steps scale a value's open cells to
-    what its full ones leave. A share whose margins are not met is lowered, at last to that at which no cell is full.
+    ``cells`` has the dimensions of ``targets`` and ``_tokens``. Of a value's cells in the order in which they are full, the factor that
+    takes the first n as full and scales the others to what is left is too small for any wrong n, so the largest one is right.
     """
-    cells = cut(cells.select(*names, "_tokens", F.coalesce("_fitted", F.lit(0.0)).alias("_fitted")), small=True)
-    some = F.when(F.col("_fitted") > 0, F.col("_tokens")).otherwise(0)
-    for name in names:
-        margin = cut(cells.groupBy(name).agg(
-            F.sum("_fitted").alias(f"_margin_{name}"), F.sum(some).alias(f"_of_{name}")), small=True)
-        cells = cells.join(margin, name)
-    cells = cut(cells, small=True)
-    row = cells.filter("_fitted > 0").agg(
-        F.max(F.col("_fitted") / F.col("_tokens")), *[F.min(F.col(f"_of_{n}") / F.col(f"_margin_{n}")) for n in names]).first()
-    if row[0] is None:
-        return cells.withColumn("_kept", F.lit(0.0)), share
-    free, found, lower = min(share, 1 / row[0]), min(share, SLACK * min(row[1:])), 0.8
-    while found > free:
-        raw = cells.withColumn("_raw", F.col("_fitted") * found)
-        kept, full = F.least(F.col("_tokens"), F.col("_raw")), F.col("_raw") >= F.col("_tokens")
-        for _ in range(rounds):
-            for name in names:
-                sums = raw.groupBy(name).agg(
-                    F.sum(F.when(full, F.col("_tokens")).otherwise(0)).alias("_held"),
-                    F.sum(F.when(full, 0.0).otherwise(F.col("_raw"))).alias("_open"))
-                left = F.col(f"_margin_{name}") * found - F.col("_held")
-                factor = F.when((left > 0) & (F.col("_open") > 0), left / F.col("_open")).when(
-                    F.col("_held") + F.col("_open") > 0,
-                    F.col(f"_margin_{name}") * found / (F.col("_held") + F.col("_open"))).otherwise(0.0)
-                raw = cut(raw.join(sums, name).withColumn("_raw", F.col("_raw") * factor).drop("_held", "_open"), small=True)
-            margins = raw.select(kept.alias("_kept"), F.inline(F.array(*[F.struct(
-                F.lit(n).alias("_name"), F.col(n).alias("_value"), (F.col(f"_margin_{n}") * found).alias("_wanted")) for n in names])))
-            missed = margins.groupBy("_name", "_value", "_wanted").agg(F.sum("_kept").alias("_sum")).filter("_wanted > 0").agg(
-                F.max(F.abs(F.col("_sum") / F.col("_wanted") - 1))).first()[0]
-            if missed <= MISS:
-                return raw.withColumn("_kept", kept), found
-        found, lower = found * lower, lower * lower
-    return cells.withColumn("_kept", F.least(F.col("_tokens").cast("double"), F.col("_fitted") * free)), free
+    names = list(targets)
+    cells = cut(cells.filter("_tokens > 0"), small=True)
+    for name, margin in targets_of(cells, targets, share).items():
+        cells = cells.join(margin.select(name, F.col("_target").alias(f"_target_{name}")), name, "left")
+    cells = cells.withColumn("_raw", F.col("_tokens").cast("double"))
+    for _ in range(rounds):
+        for name in names:
+            order = Window.partitionBy(name).orderBy(F.desc(F.col("_raw") / F.col("_tokens")), *names)
+            cells = cells.withColumns({
+                "_held": F.coalesce(F.sum("_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+                "_open": F.sum("_raw").over(order.rowsBetween(0, Window.unboundedFollowing))})
+            factor = F.max(F.try_divide(F.col(f"_target_{name}") - F.col("_held"), F.col("_open"))).over(Window.partitionBy(name))
+            cells = cells.withColumn("_raw", F.col("_raw") * F.greatest(F.coalesce(factor, F.lit(0.0)), F.lit(0.0))).drop("_held", "_open")
+        cells = cut(cells, small=True)
+    return cells.withColumn("_fitted", F.least(F.col("_tokens").cast("double"), F.col("_raw")))
 
 
 def draw(doc_id: Column, seed: int = SEED) -> Column:
@@ -160,55 +135,67 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
     return F.conv(F.substring(digits, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def _valued(docs: DataFrame, dimensions: dict[str, Column], counted: Column) -> DataFrame:
+    values = [F.coalesce(c.cast("string"), F.lit("(none)")).alias(f"_{n}") for n, c in dimensions.items()]
+    return docs.select(F.struct("*").alias("row"), counted.alias("_tokens"), *values)
+
+
 def calibrated(
-    docs: DataFrame, dimensions: dict[str, Column], counted: Column, targets: dict, share: float = SHARE,
-    rounds: int = ROUNDS, bound: bool = False,
+    docs: DataFrame, dimensions: dict[str, Column], counted: Column, targets: Targets, share: float = SHARE, rounds: int = ROUNDS,
 ) -> DataFrame:
-    """Each row of ``docs`` as a struct ``row``, its dimensions, ``tokens``, ``weight``, ``probability`` and ``kept``.
+    """Each row of ``docs`` as a struct ``row``, its dimensions, ``tokens``, ``weight``, ``probability`` and ``kept``."""
+    rows = _valued(docs, dimensions, counted)
+    inner = {f"_{n}": targets[n] for n in dimensions}
+    cells = rake(rows.groupBy(*inner).agg(F.sum("_tokens").alias("_tokens")), inner, share, rounds)
+    chances = cut(cells.select(*inner, (F.col("_fitted") / F.col("_tokens")).alias("_chance")), small=True)
+    if chances.count() <= BROADCAST_CELLS:
+        chances = F.broadcast(chances)
+    return rows.join(chances, list(inner), "left").withColumn("probability", F.coalesce("_chance", F.lit(share))).drop("_chance").withColumn(
+        "weight", F.col("probability") / share).withColumn(
+        "kept", draw(F.col("row.doc_id")) < F.col("probability")).withColumnRenamed("_tokens", "tokens")
+
 
-    With ``bound`` the expected sample has the raked margins, else it has the share. Rows of a cell without tokens are kept like a weight of 1.
+def margins(
+    docs: DataFrame, dimensions: dict[str, Column], counted: Column, targets: Targets, share: float = SHARE, rounds: int = ROUNDS,
+) -> DataFrame:
+    """Of every value: ``tokens``, those ``wanted`` by its rule, the ``target`` it can reach, and what is ``expected`` of the sample.
+
+    ``wanted`` above ``target`` is a shortfall.
     """
-    value = {n: F.coalesce(c.cast("string"), F.lit("(none)")) for n, c in dimensions.items()}
-    rows = docs.select(
-        F.struct("*").alias("row"), counted.alias("_tokens"), *[v.alias(f"_{n}") for n, v in value.items()])
     inner = {f"_{n}": targets[n] for n in dimensions}
-    cells = rake(rows.groupBy(*inner).agg(F.sum("_tokens").alias("_tokens")), inner, rounds)
-    weight = F.when(F.col("_tokens") > 0, F.coalesce("_fitted", F.lit(0.0)) / F.col("_tokens")).otherwise(1.0)
-    if bound:
-        cells, found = bounded(cells, list(inner), share)
-        chance = F.when(F.col("_tokens") > 0, F.col("_kept") / F.col("_tokens")).otherwise(found)
-    else:
-        chance = F.least(F.lit(1.0), weight * rate(cells, share))
-    weights = cut(cells.select(*inner, weight.alias("weight"), chance.alias("probability")), small=True)
-    if weights.count() <= BROADCAST_CELLS:
-        weights = F.broadcast(weights)
-    return rows.join(weights, list(inner)).withColumn(
-        "kept", draw(F.col("row.doc_id")) < F.col("probability")).withColumnRenamed("_tokens", "tokens")
+    cells = cut(_valued(docs, dimensions, counted).groupBy(*inner).agg(F.sum("_tokens").alias("_tokens")), small=True)
+    found, parts = rake(cells, inner, share, rounds), None
+    for name, margin in targets_of(cells, inner, share).items():
+        part = margin.join(found.groupBy(name).agg(F.sum("_fitted").alias("expected")), name).select(
+            F.lit(name[1:]).alias("dimension"), F.col(name).alias("value"), F.col("_tokens").alias("tokens"),
+            F.col("_wanted").alias("wanted"), F.col("_target").alias("target"), "expected")
+        parts = part if parts is None else parts.union(part)
+    return parts
 
 
 #: Production targets: large sources, languages and topics shrink.
 TARGETS = {"source": tempered(0.5), "lang": tempered(0.7), "topic": tempered(0.7)}
 
 
-def _production(docs: DataFrame, bound: bool = False) -> DataFrame:
+def production() -> dict:
+    """Arguments of ``calibrated`` and ``margins`` for documents."""
     text = F.col("text")
-    return calibrated(
-        docs, {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(text)}, tokens(text), TARGETS, bound=bound)
+    return {"dimensions": {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(text)}, "counted": tokens(text), "targets": TARGETS}
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Dimensions, tokens, weight, probability and decision of every document."""
     # The topic needs the text, the rows that are joined do not.
-    return _production(docs.select("doc_id", "source", "lang", "text")).select(
+    return calibrated(docs.select("doc_id", "source", "lang", "text"), **production()).select(
         "row.doc_id", "row.source", "row.lang", F.col("_topic").alias("topic"), "tokens",
         F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
 
 
 def sample(docs: DataFrame) -> DataFrame:
     """The documents that ``report`` keeps, with the columns of ``docs``."""
-    return _production(docs).filter("kept").select("row.*")
+    return calibrated(docs, **production()).filter("kept").select("row.*")
 
 
 def balanced(docs: DataFrame) -> DataFrame:
-    """The documents of a sample whose expected margins are the production targets, with the columns of ``docs``."""
-    return _production(docs, bound=True).filter("kept").select("row.*")
+    """``sample`` by its former name."""
+    return sample(docs)

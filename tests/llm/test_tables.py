@@ -30,35 +30,68 @@ def test_every_operator_is_registered():
 
 # Mixing
 
-def plain_rake(cells, shares, rounds):
-    fitted = dict(cells)
+def plain_factor(tokens, fitted, kept):
+    """Bisection for the factor at which values of at most ``tokens`` give ``kept``."""
+    low, high = 0.0, 1e12
+    for _ in range(200):
+        half = (low + high) / 2
+        low, high = (half, high) if sum(min(w, half * f) for w, f in zip(tokens, fitted)) < kept else (low, half)
+    return high
+
+
+def plain_rake(cells, weights, share, rounds):
+    """Targets by water filling and the cells' fitted tokens."""
+    kept, targets = share * sum(cells.values()), []
+    for d, rule in enumerate(weights):
+        sums = Counter()
+        for cell, w in cells.items():
+            sums[cell[d]] += w
+        wanted = {v: rule(v, w) for v, w in sums.items()}
+        factor = plain_factor(sums.values(), [wanted[v] for v in sums], kept)
+        targets.append({v: min(w, factor * wanted[v]) for v, w in sums.items()})
+    raw = dict(cells)
     for _ in range(rounds):
-        for d in range(len(shares)):
-            sums = Counter()
-            for cell, w in fitted.items():
-                sums[cell[d]] += w
-            fitted = {c: w * shares[d][c[d]] / sums[c[d]] for c, w in fitted.items()}
-    return fitted
-
-
-def test_raking_equals_the_plain_loop_and_meets_the_margins(spark):
-    random.seed(2)
+        for d, target in enumerate(targets):
+            for value, t in target.items():
+                own = [c for c in cells if c[d] == value]
+                full = t >= sum(cells[c] for c in own) * (1 - 1e-12)
+                factor = max(cells[c] / raw[c] for c in own) if full else plain_factor([cells[c] for c in own], [raw[c] for c in own], t)
+                for c in own:
+                    raw[c] *= factor
+    return targets, {c: min(w, raw[c]) for c, w in cells.items()}
+
+
+def made_cells(seed):
+    """A hot value, rare ones, and one of a single token."""
+    random.seed(seed)
     cells = {(a, b): random.randint(1, 900) for a in "xyz" for b in "pqrs"}
-    total = sum(cells.values())
-    targets = {"one": {"x": 0.5, "y": 0.3, "z": 0.2}, "two": {"p": 0.1, "q": 0.2, "r": 0.3, "s": 0.4}}
+    cells["hot", "p"], cells["hot", "q"], cells["rare", "p"], cells["x", "odd"] = 6000, 5000, 7, 1
+    return cells
+
+
+def test_raking_under_bounds_equals_the_plain_loop_and_meets_the_targets(spark):
+    cells = made_cells(2)
+    rows = spark.createDataFrame([(*k, v) for k, v in cells.items()] + [("x", "empty", 0)], "one string, two string, _tokens long")
+    rules = {"one": mixing.tempered(0.5), "two": mixing.tempered(0.7)}
+    found = {(r["one"], r["two"]): r["_fitted"] for r in mixing.rake(rows, rules, 0.5).collect()}
+    targets, plain = plain_rake(cells, [lambda _, w: w ** 0.5, lambda _, w: w ** 0.7], 0.5, mixing.ROUNDS)
+    assert found == pytest.approx(plain, rel=1e-6)
+    assert targets[0]["rare"] == 7 and targets[1]["odd"] == 1 and found["rare", "p"] == pytest.approx(7)
+    assert sum(found.values()) == pytest.approx(0.5 * sum(cells.values()))
+    for d in range(2):
+        for value, target in targets[d].items():
+            assert sum(w for c, w in found.items() if c[d] == value) == pytest.approx(target, rel=2e-3)
+
+
+def test_targets_by_value(spark):
+    cells = made_cells(3)
     rows = spark.createDataFrame([(*k, v) for k, v in cells.items()], "one string, two string, _tokens long")
-    found = {(r["one"], r["two"]): r["_fitted"] for r in mixing.rake(rows, targets).collect()}
-    plain = plain_rake(cells, [{k: v * total for k, v in t.items()} for t in targets.values()], mixing.ROUNDS)
-    assert found == pytest.approx(plain)
-    for value, share in targets["one"].items():
-        assert sum(w for (a, _), w in found.items() if a == value) == pytest.approx(share * total, rel=1e-3)
-
-
-def test_rate_gives_the_expected_share(spark):
-    cells = spark.createDataFrame([(100, 400.0), (300, 150.0), (600, 450.0), (5, 0.0), (0, 0.0)], "_tokens long, _fitted double")
-    rate = mixing.rate(cells, 0.5)
-    assert sum(t * min(1, rate * f / t) for t, f in ((100, 400), (300, 150), (600, 450))) == pytest.approx(500)
-    assert mixing.rate(cells, 1.0) >= 2.0
+    shares = {"one": {"x": 0.5, "y": 0.3, "z": 0.2}, "two": mixing.tempered(0)}
+    found = mixing.rake(rows, shares, 0.1).groupBy("one").agg(F.sum("_fitted").alias("n")).collect()
+    sums = {r["one"]: r["n"] for r in found}
+    assert sums["hot"] == sums["rare"] == 0
+    kept = sum(sums.values())
+    assert [sums[v] / kept for v in "xyz"] == pytest.approx([0.5, 0.3, 0.2], rel=0.05)
 
 
 def test_mixing_odd_rows(spark):
@@ -78,24 +111,51 @@ def test_sampled_tokens_follow_the_probabilities(spark):
     assert kept == pytest.approx(expected, rel=0.15)
 
 
-def test_expected_sample_of_the_pipeline_meets_the_targets(spark):
-    """With a third of all rows in one source."""
+def expectations(docs):
+    rows = mixing.calibrated(docs, **mixing.production()).select(
+        "row.doc_id", "_source", "_lang", "_topic", "tokens", "probability", "kept").toPandas()
+    rows["expected"] = rows["tokens"] * rows["probability"]
+    return rows
+
+
+def test_expected_sample_meets_the_targets_with_a_hot_source(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents").withColumn(
         "source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source")))
-    text = F.col("text")
-    rows = mixing.calibrated(
-        docs, {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(text)}, mixing.tokens(text), mixing.TARGETS,
-        bound=True).select("row.doc_id", "_source", "_lang", "_topic", "tokens", "probability", "kept").toPandas()
-    rows["expected"] = rows["tokens"] * rows["probability"]
-    assert rows["probability"].between(0, 1).all() and 0.3 < rows["expected"].sum() / rows["tokens"].sum() <= mixing.SHARE
-    for name, power in (("_source", 0.5), ("_lang", 0.7), ("_topic", 0.7)):
-        sums = rows.groupby(name)[["tokens", "expected"]].sum()
-        wanted = sums["tokens"] ** power / (sums["tokens"] ** power).sum()
-        assert (sums["expected"] / sums["expected"].sum()).to_dict() == pytest.approx(wanted.to_dict(), rel=3e-3)
+    rows = expectations(docs)
+    assert rows["probability"].between(0, 1).all()
+    assert rows["expected"].sum() / rows["tokens"].sum() == pytest.approx(mixing.SHARE, rel=1e-6)
+    reported = {(r["dimension"], r["value"]): r for r in mixing.margins(docs, **mixing.production()).collect()}
+    for name, power in (("source", 0.5), ("lang", 0.7), ("topic", 0.7)):
+        sums = rows.groupby(f"_{name}")[["tokens", "expected"]].sum()
+        kept = mixing.SHARE * sums["tokens"].sum()
+        factor = plain_factor(sums["tokens"], sums["tokens"] ** power, kept)
+        target = (factor * sums["tokens"] ** power).clip(upper=sums["tokens"])
+        assert sums["expected"].to_dict() == pytest.approx(target.to_dict(), rel=5e-3)
+        for value in sums.index:
+            row = reported[name, value]
+            assert (row["tokens"], row["target"], row["expected"]) == pytest.approx(
+                (sums["tokens"][value], target[value], sums["expected"][value]), rel=1e-6)
+            assert row["wanted"] >= row["target"] * (1 - 1e-9) or row["target"] < row["tokens"]
     kept = [r["doc_id"] for r in corpus_pipeline.mix(spark, docs, FOLDER).select("doc_id").collect()]
     assert sorted(kept) == sorted(rows["doc_id"][rows["kept"]])
 
 
+@pytest.mark.parametrize("source, lang", [("new", "en"), ("src1", "new"), ("new", "new")])
+def test_one_stray_document_changes_next_to_nothing(spark, source, lang):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    stray = spark.createDataFrame([(-1, "one " * 10, lang, source, 40)], docs.schema)
+    before, after = expectations(docs).set_index("doc_id"), expectations(docs.union(stray)).set_index("doc_id")
+    assert after["probability"][-1] == pytest.approx(1, rel=1e-3)
+    assert (after["probability"].drop(-1) - before["probability"]).abs().max() < 0.01
+    assert after["kept"].sum() == pytest.approx(before["kept"].sum(), rel=0.01)
+
+
+def test_the_kept_share_is_the_same_at_two_sizes(spark):
+    shares = [rows["expected"].sum() / rows["tokens"].sum() for rows in (
+        expectations(table(spark, folder, "documents")) for folder in (FOLDER, "/root/testdata/sf0.01"))]
+    assert shares == pytest.approx([mixing.SHARE] * 2, rel=1e-6)
+
+
 # Conversations
 
 def test_turns_and_loss_read_back(spark):

@@ -194,8 +194,3 @@ def report(docs: DataFrame) -> DataFrame:
 def sample(docs: DataFrame) -> DataFrame:
     """The documents that ``report`` keeps, with the columns of ``docs``."""
     return calibrated(docs, **production()).filter("kept").select("row.*")
-
-
-def balanced(docs: DataFrame) -> DataFrame:
-    """``sample`` by its former name."""
-    return sample(docs)

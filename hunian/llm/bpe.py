@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterable
 
 import numpy as np
@@ -26,8 +27,10 @@ from pyspark.sql import DataFrame
 
 from .base import map_batches, texts_of
 
-#: Pieces and token pairs that one worker remembers before it starts anew.
-REMEMBERED = 200_000
+#: Pieces or token pairs in each of the two generations that a worker remembers.
+REMEMBERED = 150_000
+#: Code points whose pieces are worked on together.
+AT_ONCE = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -36,6 +39,31 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class Recent(dict):
+    """What was used of late: a full generation becomes the old one, and what is asked for there moves over.
+
+    So frequent entries stay while rare ones go.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def put(self, key, value):
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def find(self, key):
+        """The value, or None."""
+        value = self.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+
 class Vocabulary:
     """Ranks with the test whether two tokens may be neighbours."""
 
@@ -44,7 +72,11 @@ class Vocabulary:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
         self.unranked = max(ranks.values(), default=0) + 1
-        self.stable: dict[tuple[int | None, int], bool] = {}
+        #: By ``(before + 1) * unranked + token``, where nothing before is -1: 1 if the token may follow, else 0.
+        self.stable = Recent()
+        self.bytes_of = np.empty(self.unranked, object)
+        for rank, token in self.tokens.items():
+            self.bytes_of[rank] = token
 
     def merged(self, data: bytes) -> list[int]:
         """Plain merging, lowest rank first and leftmost on ties; for short inputs."""
@@ -62,13 +94,13 @@ class Vocabulary:
                 joined[at] = rank(parts[at] + parts[at + 1], never)
         return [self.ranks[p] for p in parts]
 
-    def follows(self, before: int | None, token: int) -> bool:
-        """Whether ``token`` may follow ``before`` (None: stand first); remembered in ``stable``."""
-        joined = [token] if before is None else [before, token]
-        if len(self.stable) >= REMEMBERED:
-            self.stable.clear()
-        known = self.merged(b"".join(map(self.tokens.__getitem__, joined))) == joined
-        self.stable[before, token] = known
+    def follows(self, before: int, token: int) -> int:
+        """1 if ``token`` may follow ``before`` (-1: stand first), else 0; remembered in ``stable``."""
+        key = (before + 1) * self.unranked + token
+        known = self.stable.find(key)
+        if known is None:
+            joined = [token] if before < 0 else [before, token]
+            known = self.stable.put(key, int(self.merged(b"".join(map(self.tokens.__getitem__, joined))) == joined))
         return known
 
 
@@ -115,15 +147,15 @@ class Prefixes:
 
     def _extend(self, to: int) -> None:
         data, last, vocabulary = self.data, self.last, self.vocabulary
-        rank, known, longest = vocabulary.ranks.get, vocabulary.stable.get, vocabulary.longest
+        rank, known, longest, unranked = vocabulary.ranks.get, vocabulary.stable.get, vocabulary.longest, vocabulary.unranked
         for end in range(len(last) + 1, to + 1):
             # Short tokens first: the one that fits is mostly a few bytes long.
             for start in range(end - 1, max(0, end - longest) - 1, -1):
                 token = rank(data[start:end])
                 if token is None:
                     continue
-                before = last[start - 1] if start else None
-                stable = known((before, token))
+                before = last[start - 1] if start else -1
+                stable = known((before + 1) * unranked + token)
                 if stable or stable is None and vocabulary.follows(before, token):
                     last.append(token)
                     break
@@ -131,39 +163,73 @@ class Prefixes:
                 raise ValueError("The vocabulary lacks a single byte")
 
 
+def _shared(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    end = min(len(a), len(b))
+    if a[:end] == b[:end]:
+        return end
+    for at in range(end):
+        if a[at] != b[at]:
+            return at
+    return end
+
+
 class Tokenizer:
-    """Encoding of whole texts; remembers the pieces it has seen."""
+    """Encoding of whole texts; remembers pieces it has seen of late."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.vocabulary = Vocabulary(ranks)
         self.split = regex.compile(pattern).findall
-        self._packed = _Packed(self.vocabulary)
-
-    def packed(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if len(self._packed) > REMEMBERED:
-            self._packed.clear()
-        return b"".join(map(self._packed.__getitem__, self.split(text)))
-
-    def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.packed(text), "<u4").tolist()
+        self._packed = Recent()
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        made, at = [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= AT_ONCE):
+                size += len(texts[end])
+                end += 1
+            pieces = [self.split(t) for t in texts[at:end]]
+            packed = self._learn(set().union(*pieces))
+            made += [b"".join(map(packed.__getitem__, p)) for p in pieces]
+            at = end
+        return made
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """The packed ids of the pieces.
 
+        New pieces are taken in the order of their bytes, so each keeps the entries of the beginning that it shares with
+        the one before and only appends the rest.
+        """
+        found, ranks = {}, self.vocabulary.ranks.get
+        new = []
+        for piece in pieces:
+            packed = self._packed.find(piece)
+            if packed is None:
+                new.append((piece.encode(), piece))
+            else:
+                found[piece] = packed
+        new.sort()
+        prefixes = Prefixes(self.vocabulary)
+        for data, piece in new:
+            whole = ranks(data)
+            if whole is None:
+                same = _shared(prefixes.data, data)
+                del prefixes.last[same:]
+                prefixes.data = data
+                prefixes._extend(len(data))
+                ids = prefixes.ids()
+            else:
+                ids = [whole]
+            found[piece] = self._packed.put(piece, struct.pack(f"<{len(ids)}I", *ids))
+        return found
 
-class _Packed(dict):
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed([text])[0], "<u4").tolist()
 
-    def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else Prefixes(self.vocabulary, data).ids()
-        packed = np.array(ids, "<u4").tobytes()
-        self[piece] = packed
-        return packed
+    def decode(self, ids: Iterable[int] | np.ndarray) -> bytes:
+        return b"".join(self.vocabulary.bytes_of[np.asarray(ids, np.int64)])
 
 
 _WORKER: dict[str, Tokenizer] = {}
@@ -190,8 +256,8 @@ def encode_documents(
 
     def make(batch: pa.RecordBatch) -> dict:
         tokenizer = _tokenizer(f"{path}\0{pattern}", ranks.value, pattern)
-        packed = [tokenizer.packed(t) for t in texts_of(batch)]
-        decoded = [tokenizer.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
+        packed = tokenizer.packed(texts_of(batch))
+        decoded = [tokenizer.decode(np.frombuffer(p, "<u4")) for p in packed]
         made = {
             key: batch.column("key"),
             "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()),

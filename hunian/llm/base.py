@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,48 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+_CACHES: list[Callable[[], None]] = []
+
+
+def emptied_with_task(cache: dict) -> dict:
+    """A module's cache that ``ending`` empties."""
+    _CACHES.append(cache.clear)
+    return cache
+
+
+def give_back() -> None:
+    """Empty the caches and give free memory back to the system: a worker outlives its task, idle beside those of later stages."""
+    for clear in _CACHES:
+        clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def ending(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, with ``give_back`` when they end."""
+
+    def ended(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return ended
+
+
+def series_udf(run: Callable[[Iterator[pd.Series]], Iterator[pd.Series]]) -> Callable[[Column], Column]:
+    """A double column out of ``run`` over the series of a task's batches, with ``give_back`` at their end."""
+    ended = ending(run)
+
+    def made(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from ended(batches)
+
+    made.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(made, "double")
+
+
 def map_batches(
     df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array | np.ndarray]], schema: str,
 ) -> DataFrame:
@@ -60,7 +104,7 @@ def map_batches(
                 made = {k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in make(batch).items()}
                 yield pa.RecordBatch.from_pydict(made)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(ending(run), schema)
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

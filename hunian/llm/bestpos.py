@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import cut
+from .base import cut, ending
 
 #: Documents in a shard, and tokens from which on one is closed earlier.
 SHARD, SHARD_TOKENS = 16_384, 8_000_000
@@ -118,7 +118,7 @@ def shards(docs: DataFrame, asked) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
-        run, "term binary, doc binary, times binary, ids binary, lengths binary, docs long, tokens long")
+        ending(run), "term binary, doc binary, times binary, ids binary, lengths binary, docs long, tokens long")
 
 
 def document_frequencies(made: DataFrame, terms_: int) -> np.ndarray:
@@ -132,7 +132,7 @@ def document_frequencies(made: DataFrame, terms_: int) -> np.ndarray:
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"term": pa.array(seen, pa.int32()), "df": pa.array(counts[seen])})
 
-    total = made.select("term").mapInArrow(run, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    total = made.select("term").mapInArrow(ending(run), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     counts = np.zeros(terms_, np.int64)
     counts[total["term"].to_numpy()] = total["df"].to_numpy()
     return counts
@@ -232,7 +232,7 @@ def _answers(made: DataFrame, asked, statistics, count: int, floors=None) -> Dat
             "doc_id": pa.array(np.concatenate([k[0] for k in kept]) if kept else [], pa.int64()),
             "score": pa.array(np.concatenate([k[1] for k in kept]) if kept else [], pa.int64())})
 
-    rows = made.select("term", "doc", "times", "ids", "lengths").mapInArrow(run, "item int, doc_id long, score long")
+    rows = made.select("term", "doc", "times", "ids", "lengths").mapInArrow(ending(run), "item int, doc_id long, score long")
     order = Window.partitionBy("item").orderBy(F.desc("score"), "doc_id")
     return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= count)
 

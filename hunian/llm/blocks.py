@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import ending
+
 #: Asked rows that one copy of a block serves.
 AT_MOST = 1 << 16
 
@@ -72,4 +74,4 @@ def meet(
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return left.union(right).repartition(tasks, "block", "part").sortWithinPartitions("block", "part", "kind").mapInArrow(
-        run, schema)
+        ending(run), schema)

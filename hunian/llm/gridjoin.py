@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import cut, map_batches
+from .base import cut, ending, map_batches
 from .blocks import matrix, meet
 from .neardup import roots
 
@@ -87,7 +87,7 @@ def principal(found: DataFrame, dims: int = DIMS) -> Turn | None:
             at = np.arange(total.size)
             yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int32()), "value": pa.array(total.ravel())})
 
-    sums = found.select("vec").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    sums = found.select("vec").mapInArrow(ending(run), "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
     if not sums.num_rows:
         return None
     total = np.zeros(sums.num_rows)
@@ -124,7 +124,7 @@ def ordered(found: DataFrame, turn: Turn, eps: float) -> DataFrame:
                 ["task", "at", *batch.schema.names])
 
     numbered = cut(along.drop("cells").mapInArrow(
-        run, "task int, at long, vertex string, label long, copies long, vec array<double>, low array<double>"))
+        ending(run), "task int, at long, vertex string, label long, copies long, vec array<double>, low array<double>"))
     # One row for each task: how many blocks lie before its first.
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = numbered.groupBy("task").agg((F.max("at") + 1).alias("n")).withColumn(

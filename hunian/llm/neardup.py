@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, map_batches, text_or_empty, texts_of
+from .base import cut, emptied_with_task, ending, give_back, map_batches, text_or_empty, texts_of
 
 WORDS, LIKE = 5, 0.8
 BANDS, ROWS = 13, 4
@@ -60,7 +60,7 @@ class _Hashes(dict):
         return value
 
 
-_HASHES = _Hashes()
+_HASHES = emptied_with_task(_Hashes())
 
 
 def words_of(text: str) -> list[str]:
@@ -89,7 +89,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(seen, pa.int32()), "docs": pa.array(counts[seen])})
 
-    total = docs.select("text").mapInArrow(run, "slot int, docs long").groupBy("slot").agg(F.sum("docs").alias("docs")).toArrow()
+    total = docs.select("text").mapInArrow(ending(run), "slot int, docs long").groupBy("slot").agg(F.sum("docs").alias("docs")).toArrow()
     counts = np.zeros(SLOTS + 1, np.int64)
     counts[total["slot"].to_numpy()] = total["docs"].to_numpy()
     return counts[:SLOTS], int(counts[SLOTS])
@@ -238,7 +238,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
                 "a": pa.array([a[i] for i in kept], pa.binary()), "b": pa.array([b[i] for i in kept], pa.binary())})
 
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        run, "a binary, b binary").distinct()
+        ending(run), "a binary, b binary").distinct()
 
 
 def roots(links: DataFrame) -> DataFrame:
@@ -296,6 +296,8 @@ def _links_across(rows: pa.Table, idf: np.ndarray) -> pa.Table:
         whole = totals[pairs[:, 0]] + totals[pairs[:, 1]] - shared
         for x, y in pairs[shared >= LIKE * whole - 1e-9]:
             links[max(roots_[x], roots_[y]), min(roots_[x], roots_[y])] = None
+    if len(totals) >= BLOCK // 4:
+        give_back()
     return pa.table({
         "a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
 

@@ -22,13 +22,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from .base import map_batches, remainder, texts_of
+from .base import emptied_with_task, ending, map_batches, remainder, series_udf, texts_of
 
 SLOTS, DIM, NONZERO, REACH = 1 << 15, 32, 4, 2
 #: Labelled documents that the network is fitted on, at most.
@@ -51,7 +51,7 @@ class _Slots(dict):
         return slot
 
 
-_SLOTS = _Slots()
+_SLOTS = emptied_with_task(_Slots())
 
 
 def word_slots(text: str) -> np.ndarray:
@@ -114,7 +114,7 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_pydict(
             {"slot": pa.array(seen)} | {n: pa.array(table[seen, i]) for i, n in enumerate(names)})
 
-    parts = docs.select(docs[text].alias("text")).mapInArrow(run, "slot int, " + ", ".join(f"{n} int" for n in names))
+    parts = docs.select(docs[text].alias("text")).mapInArrow(ending(run), "slot int, " + ", ".join(f"{n} int" for n in names))
     total = parts.groupBy("slot").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     vectors = np.zeros((SLOTS + 1, DIM), np.float32)
     if total.num_rows:
@@ -205,12 +205,12 @@ class Model:
         """Probability that the text is good, a column that fits any frame."""
         parts = self.parts
 
-        @pandas_udf("double")
-        def score(texts):
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             vectors, network = parts.value
-            return type(texts)(network.scores(pooled(texts.fillna("").tolist(), vectors)))
+            for texts in batches:
+                yield pd.Series(network.scores(pooled(texts.fillna("").tolist(), vectors)))
 
-        return score(text)
+        return series_udf(run)(text)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, trained: Column, rows: int) -> DataFrame:

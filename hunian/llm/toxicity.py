@@ -17,15 +17,16 @@ the smoothed share of toxic labels. Repeated rows are scored alike, extra column
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from .base import remainder
+from .base import remainder, series_udf
 from .quality import labelled
 
 BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
@@ -208,28 +209,22 @@ def _line(values: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[f
     return float(line[0] / scale), float(line[1])
 
 
-_KNOWN: dict[int, dict[str, float]] = {}
-
-
 @dataclass
 class Model:
     """The trained softmax as a broadcast of fixed size."""
 
     softmax: Broadcast
-    number: int
 
     def score(self, text: Column) -> Column:
         """Probability that the text is toxic, a column that fits any frame."""
-        softmax, number = self.softmax, self.number
+        softmax = self.softmax
 
-        @pandas_udf("double")
-        def score(texts):
-            if number not in _KNOWN:
-                _KNOWN.clear()
-            known = _KNOWN.setdefault(number, {})
-            return type(texts)(softmax.value.scores(texts.fillna("").tolist(), known))
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known: dict[str, float] = {}
+            for texts in batches:
+                yield pd.Series(softmax.value.scores(texts.fillna("").tolist(), known))
 
-        return score(text)
+        return series_udf(run)(text)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
@@ -245,8 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     rows = sorted((t or "", int(y), bool(h)) for f in found for t, y, h in zip(f["text"], f["label"], f["held"]))
     softmax = train([t for t, _, _ in rows], np.array([y for _, y, _ in rows], np.int64),
                     np.array([h for _, _, h in rows], bool), share)
-    shared = docs.sparkSession.sparkContext.broadcast(softmax)
-    return Model(shared, shared._jbroadcast.id())
+    return Model(docs.sparkSession.sparkContext.broadcast(softmax))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .base import map_batches, text_or_empty, texts_of
+from .base import ending, map_batches, text_or_empty, texts_of
 
 GRAM, WINDOW = 12, 12
 #: A hash has so many bits, twelve hexadecimal digits.
@@ -219,7 +219,7 @@ def edited_fingerprints(docs: DataFrame, blocks: int | None = None, gram: int =
                     yield _compared(pairs, gram, window)
 
     return placed.mapInArrow(
-        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        ending(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
              "near_edited double, near_next double, positions array<int>")
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import scalars as S
 from ..functions.scalars import WHITESPACE
-from ..operators import clean as C, facilities as A, keys as K, pages as P
-from ..schemas import FACILITY_COUNTS, LISTING, PROVINCE_COLUMNS, RAW_FACILITY
+from ..operators import areas as AR, clean as C, facilities as A, keys as K, pages as P
+from ..schemas import FACILITY_COUNTS, LISTING, PROVINCE_COLUMNS, PROVINCES, RAW_FACILITY
 from ..sources import facilities as RF, listings as L, provinces as PR, sinks
 from ..sources.files import fresh, read_csv_by_name
 from ..streaming import progress as G
@@ -138,6 +138,49 @@ def places_of_districts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.join(districts, "kecamatan").select("kecamatan", "n_places")
 
 
+# Fixed shape of the made districts: a star of eight corners, and a square hole in every third.
+_STAR = ((4, 0), (1, 1), (0, 4), (-1, 1), (-4, 0), (-1, -1), (0, -4), (1, -1))
+_HOLE = ((-0.5, -0.5), (0.5, -0.5), (0.5, 0.5), (-0.5, 0.5))
+_DISTRICT_X, _DISTRICT_Y = "CAST(s_suppkey * 37 % 100 AS DOUBLE)", "CAST(s_suppkey * 61 % 100 AS DOUBLE)"
+_DISTRICT_SIZE = "CAST(1 + s_nationkey % 4 AS DOUBLE)"
+# A third of the places and more lie on two spots.
+_PLACE_X = "CASE WHEN l_linenumber <= 2 THEN 37.5 + l_linenumber ELSE CAST(l_partkey * 13 % 1000 AS DOUBLE) / 10 + l_quantity / 100 END"
+_PLACE_Y = "CASE WHEN l_linenumber <= 2 THEN 61.0 ELSE CAST((l_suppkey * 29 + l_orderkey * 7) % 1000 AS DOUBLE) / 10 + l_discount END"
+
+
+def _edges_sql() -> str:
+    made = []
+    for ring, only in ((_STAR, "true"), (_HOLE, "s_suppkey % 3 = 0")):
+        for (a, b), (c, d) in zip(ring, (*ring[1:], ring[0])):
+            made.append(f"SELECT s_suppkey, {_DISTRICT_X} + ({a}) * {_DISTRICT_SIZE} AS x1, {_DISTRICT_Y} + ({b}) * {_DISTRICT_SIZE} AS y1, "
+                        f"{_DISTRICT_X} + ({c}) * {_DISTRICT_SIZE} AS x2, {_DISTRICT_Y} + ({d}) * {_DISTRICT_SIZE} AS y2 "
+                        f"FROM supplier WHERE s_nationkey % 2 = 0 AND {only}")
+    return " UNION ALL ".join(made)
+
+
+@_query(f"""
+    WITH edges AS MATERIALIZED ({_edges_sql()}),
+    places AS (SELECT l_orderkey, l_linenumber, {_PLACE_X} AS x, {_PLACE_Y} AS y FROM lineitem),
+    points AS MATERIALIZED (SELECT x, y, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM places GROUP BY x, y),
+    inside AS (
+        SELECT p.x, p.y, p.n, p.lines, e.s_suppkey FROM points p JOIN edges e
+        ON (e.y1 > p.y) <> (e.y2 > p.y) AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1
+        GROUP BY ALL HAVING count(*) % 2 = 1)
+    SELECT s_suppkey AS kecamatan, CAST(sum(n) AS BIGINT) AS n_places, CAST(sum(lines) AS BIGINT) AS n_lines FROM inside GROUP BY s_suppkey""")
+def places_by_area(spark: SparkSession, folder: str) -> DataFrame:
+    """Places counted by the district whose area they lie in, districts being areas with holes that overlap."""
+    def ring(corners):
+        return F.array(*[F.struct((F.expr(_DISTRICT_X) + F.lit(float(a)) * F.expr(_DISTRICT_SIZE)).alias("x"),
+                                  (F.expr(_DISTRICT_Y) + F.lit(float(b)) * F.expr(_DISTRICT_SIZE)).alias("y")) for a, b in corners])
+
+    areas = _read(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("kecamatan"), F.lit("Indonesia").alias("country"), (F.col("s_nationkey") % 2 + 6).alias("admin_level"),
+        F.when(F.col("s_suppkey") % 3 == 0, F.array(ring(_STAR), ring(_HOLE))).otherwise(F.array(ring(_STAR))).alias("rings"))
+    places = _read(spark, folder, "lineitem").select("l_linenumber", F.expr(_PLACE_X).alias("lon"), F.expr(_PLACE_Y).alias("lat"))
+    located = AR.places_within(places, A.places_in(areas, "Indonesia"), cell=1.0)
+    return located.groupBy("kecamatan").agg(F.count("*").alias("n_places"), F.sum("l_linenumber").alias("n_lines"))
+
+
 # Scalars --------------------------------------------------------------------
 
 _PRICE_TEXT = """
@@ -734,37 +777,44 @@ def _event_places(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(6).alias("admin_level"))
 
 
+_SEARCHED = f"list_value({', '.join(repr(p) for p in PROVINCES)})[1 + CAST(c.page_id % {len(PROVINCES)} AS INT)]"
+
 _EXTRACTED = f"""
     WITH cards AS ({_CARDS}),
          detail AS (SELECT link, min(page_id) AS page_id FROM cards WHERE pos = 0 GROUP BY link),
          known AS (SELECT judul_iklan FROM cards WHERE pos = 5)
-    SELECT x.* EXCLUDE (link_rumah123), c.link AS link_rumah123, concat('p', CAST(c.page_id AS STRING)) AS provinsi,
-           concat('p', CAST(c.page_id AS STRING)) AS province, 1 AS page, '2024-05-01T00:00:00.000000' AS waktu_scraping
+    SELECT x.* EXCLUDE (link_rumah123), c.link AS link_rumah123, {_SEARCHED} AS provinsi,
+           {_SEARCHED} AS province, 1 AS page, '2024-05-01T00:00:00.000000' AS waktu_scraping
     FROM cards c JOIN detail d ON d.link = c.link JOIN pages p ON p.page_id = d.page_id
     JOIN ({_DETAILS}) x ON x.link_rumah123 = p.url
-    WHERE c.judul_iklan <> '' AND NOT EXISTS (SELECT 1 FROM known k WHERE k.judul_iklan = c.judul_iklan)"""
+    WHERE c.judul_iklan <> '' AND NOT EXISTS (SELECT 1 FROM known k WHERE k.judul_iklan = c.judul_iklan)
+      AND c.page_id IN (SELECT max(page_id) FROM pages GROUP BY page_id % {len(PROVINCES)})"""
 
 
 def _fetched_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page twice as a search page of a province of its own and twice as a detail page; the older fetch is another text."""
+    """Every page as two fetches of its province's search page, the largest ``page_id`` the newest, and as two of a detail page.
+
+    The older of the two is another text. There are as many provinces as the site has, whatever the table's size.
+    """
     pages = _read(spark, folder, "pages").select("page_id", "html")
     first = H.let(H.element(H.visible_markup(F.col("html")), SITE.card_link), lambda a: H.attribute(a, "href"))
-    search = F.concat(F.lit(f"{SITE.base_url}/jual/p"), F.col("page_id").cast("string"), F.lit("/rumah/?page=1"))
+    province = F.get(F.array(*map(F.lit, PROVINCES)), F.col("page_id") % len(PROVINCES))
+    search = F.concat(F.lit(f"{SITE.base_url}/jual/"), province, F.lit("/rumah/?page=1"))
     frames = []
-    for url, version in ((search, F.lit(1)), (F.concat(F.lit(SITE.base_url), first), -F.col("page_id"))):
+    for url, version in ((search, F.col("page_id")), (F.concat(F.lit(SITE.base_url), first), -F.col("page_id"))):
         rows = pages.select(url.alias("url"), "html", version.cast("long").alias("fetched"))
         frames += [rows, rows.withColumns({"html": F.lit("<h1>old</h1>"), "fetched": F.col("fetched") - 1_000_000_000})]
     return K.union_pages(frames)
 
 
 def _extract_store(spark: SparkSession, folder: str, name: str) -> Store:
-    """A store whose known titles are those of sixth cards, with every page's province at page 1."""
+    """A store whose known titles are those of sixth cards, with all provinces at page 1."""
     store = Store.under(_scratch(spark, name))
     pages = _read(spark, folder, "pages")
     known = P.page_cards(pages.select("html"), SITE).filter(F.col("pos") == 5).select(
         "judul_iklan", F.lit("known").alias("province"), F.lit(0).alias("page"))
     sinks.append_rows(known, store.raw_listings, ["province", "page"])
-    G.init_progress(spark, store.progress, [f"p{r[0]}" for r in pages.select("page_id").collect()])
+    G.init_progress(spark, store.progress)
     return store
 
 

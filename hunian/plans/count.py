@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import facilities as A, keys
 from ..schemas import RAW_FACILITY
 from ..sources import sinks
+from ..sources.files import file_name
 from .store import Store, page_districts, raw_facilities, raw_page, select_batch
 
 
@@ -37,7 +38,7 @@ def count_districts(
     rows = A.facility_rows(A.counts_for(wanted, counts), now)
     text = rows.select(*[F.col(c).cast("string").alias(c) for c in RAW_FACILITY.names])
     if store.raw_format == "csv":
-        # The district is read from its column, so a name only has to be one a file can have.
-        name = F.concat(F.regexp_replace("kecamatan", r"[/\\\\:]", "_"), F.lit(".csv"))
+        # The district is read from its column; its file only has to be its own.
+        name = F.concat(file_name(F.col("kecamatan")), F.lit(".csv"))
         return sinks.write_csv_files(text, store.raw_facilities, name, store.scratch_folder)
     return sinks.append_rows(text, store.raw_facilities, [])

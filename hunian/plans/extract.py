@@ -14,16 +14,22 @@ from ..sources.pages import fetched, newest
 from .store import Selection, Store, raw_page, select_batch
 
 
+#: Up to this many urls go to the scan as literals.
+LITERALS = 200
+
+
 def search_pages(
     spark: SparkSession, pages: DataFrame, site: P.Site, batch: Selection, version: str | None = None,
 ) -> DataFrame:
     """Newest fetch of each search page of the batch, with ``province`` and ``page``.
 
-    The urls go to the scan as literals, so Parquet skips row groups by them.
+    The urls of a usual batch, one a province, go to the scan as literals, so Parquet skips row groups by them; more are joined.
     """
     rows = [(p, batch.page, site.search_url(p, batch.page)) for p in batch.provinces]
     targets = spark.createDataFrame(rows, "province string, page int, url string")
-    found = fetched(pages.filter(F.col("url").isin([url for _, _, url in rows])), targets.select("url").distinct(), version)
+    if len(rows) <= LITERALS:
+        pages = pages.filter(F.col("url").isin([url for _, _, url in rows]))
+    found = fetched(pages, targets.select("url").distinct(), version)
     return newest(found.filter(F.col("html").isNotNull()), "url", version).join(targets, "url")
 
 

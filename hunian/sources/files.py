@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,17 @@ def partition_value(value: str | None) -> str:
     return _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", value) if value else _NO_VALUE
 
 
+def file_name(value: Column) -> Column:
+    """A name that one file can have for each text, different ones for different texts: ``%`` and two hexadecimal digits
+    stand for what a path cannot hold, and for a first character that would hide the file. The empty text is a lone ``%``.
+    """
+    for character in "%/\\:":
+        value = F.replace(value, F.lit(character), F.lit(f"%{ord(character):02X}"))
+    first = F.substring(value, 1, 1)
+    shown = F.when(first.isin(".", "_"), F.concat(F.lit("%"), F.hex(F.ascii(first)))).otherwise(first)
+    return F.when(value == "", F.lit("%")).otherwise(F.concat(shown, F.substring(value, 2, 1 << 30)))
+
+
 def read_csv_by_name(
     spark: SparkSession,
     path: str,

@@ -8,6 +8,7 @@ without Spark gives for the same tables. Every query reads its tables whole.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,13 @@ from ..functions import scalars as S
 from ..functions.scalars import WHITESPACE
 from ..operators import areas as AR, clean as C, facilities as A, keys as K, pages as P
 from ..schemas import FACILITY_COUNTS, LISTING, PROVINCE_COLUMNS, PROVINCES, RAW_FACILITY
-from ..sources import facilities as RF, listings as L, provinces as PR, sinks
+from ..sources import facilities as RF, listings as L, provinces as PR, sinks, titles as TI
 from ..sources.files import fresh, read_csv_by_name
 from ..streaming import progress as G
 from .batch import run_batch
 from .clean import clean_page
 from .count import count_districts
-from .extract import extract_page, new_listings
+from .extract import extract_page, index_titles, new_listings
 from .store import Store, adopt_csv_tree
 
 QUERIES: dict = {}
@@ -829,6 +830,31 @@ def extract_batch(spark: SparkSession, folder: str) -> DataFrame:
         "provinsi", "province", "page", "waktu_scraping")
 
 
+@_query(_EXTRACTED)
+def extract_batch_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """The extract job with a title store: only buckets that may hold a card's title are read."""
+    store = _extract_store(spark, folder, "extract_batch_indexed")
+    store = replace(store, titles=f"{store.raw_listings}_titles")
+    index_titles(spark, store)
+    extract_page(spark, store, _fetched_pages(spark, folder), SITE, datetime(2024, 5, 1), "fetched")
+    rows = L.read_all(spark, store.raw_listings).filter("province <> 'known'")
+    return rows.select(
+        "judul_iklan", "harga", "kecamatan", "kabupaten_kota", "terakhir_diperbarui", "agen", *SITE.labels, "link_rumah123",
+        "provinsi", "province", "page", "waktu_scraping")
+
+
+@_query("""
+    SELECT DISTINCT c_name AS judul_iklan FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_mktsegment <> 'BUILDING'""")
+def titles_in_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Known titles among those asked for: names of customers, stored segment by segment and some twice, asked for by orders."""
+    root = _scratch(spark, "titles")
+    names = _read(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    for segments in (["AUTOMOBILE", "MACHINERY"], ["FURNITURE", "MACHINERY"], ["HOUSEHOLD"]):
+        TI.add(spark, root, names.filter(F.col("c_mktsegment").isin(segments)), "c_name")
+    asked = _read(spark, folder, "orders").join(names, F.col("o_custkey") == F.col("c_custkey")).select("c_name")
+    return TI.known_among(spark, root, asked.union(asked.select(F.concat("c_name", F.lit("?")))), "c_name")
+
+
 @_query(f"""
     WITH x AS ({_EXTRACTED})
     SELECT (SELECT count(*) FROM x) AS new_listings,

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import keys, pages as P
-from ..sources import listings, sinks
+from ..sources import listings, sinks, titles
 from ..sources.files import fresh, remove
 from ..sources.pages import fetched, newest
 from .store import Selection, Store, raw_page, select_batch
@@ -33,22 +34,26 @@ def search_pages(
     return newest(found.filter(F.col("html").isNotNull()), "url", version).join(targets, "url")
 
 
-def new_cards(searched: DataFrame, known: DataFrame, site: P.Site, scratch: str, key: str = "judul_iklan") -> DataFrame:
+def new_cards(
+    searched: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame], site: P.Site, scratch: str, key: str = "judul_iklan",
+) -> DataFrame:
     """Cards whose title is not known: ``province``, ``page``, ``link``.
 
     Search pages are parsed a single time; later steps read the small table in ``scratch``. The long
-    list of known titles is first cut to those on the cards, map-side while the cards are few.
+    list of known titles is first cut to those on the cards, map-side while the cards are few. ``known`` may also be
+    a function that gives the known ones among some distinct titles.
     """
     path = fresh(scratch, "cards")
     cards = P.page_cards(searched.select("province", "page", "html"), site).select("province", "page", key, "link")
     sinks.append_rows(cards, path, [])
     cards = searched.sparkSession.read.schema(f"province string, page int, {key} string, link string").parquet(path)
-    met = known.select(key).join(cards.select(key).distinct(), key, "left_semi")
+    asked = cards.select(key).distinct()
+    met = known(asked) if callable(known) else known.select(key).join(asked, key, "left_semi")
     return keys.keep_new(cards, met, key).select("province", "page", "link")
 
 
 def new_listings(
-    searched: DataFrame, pages: DataFrame, known: DataFrame, site: P.Site, scratch: str,
+    searched: DataFrame, pages: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame], site: P.Site, scratch: str,
     now: datetime | None = None, version: str | None = None,
 ) -> DataFrame:
     """Raw listings of all new cards, one row per card that has a fetched page.
@@ -73,13 +78,21 @@ def extract_page(
 
     Rows of an earlier run of the page stay, and their titles are known now: a
     second run adds nothing. ``version`` names the column of ``pages`` that grows with every fetch.
+    With a title store only the buckets that may hold a card's title are read, and the page's own rows, as a run that died
+    may not have added their titles.
     """
     batch = select_batch(spark, store)
     if not batch.provinces:
         return 0
-    if store.raw_format == "csv":
-        titles = listings.read_titles_csv(spark, store.raw_listings)
-        known = spark.createDataFrame([], "judul_iklan string") if titles is None else titles.select("judul_iklan")
+    if store.titles:
+        own = raw_page(spark, store, batch)
+
+        def known(cards: DataFrame) -> DataFrame:
+            stored = titles.known_among(spark, store.titles, cards)
+            return stored if own is None else keys.union_keys([stored, own.join(cards, "judul_iklan", "left_semi")], "judul_iklan")
+    elif store.raw_format == "csv":
+        found = listings.read_titles_csv(spark, store.raw_listings)
+        known = spark.createDataFrame([], "judul_iklan string") if found is None else found.select("judul_iklan")
     else:
         known = listings.read_all(spark, store.raw_listings).select("judul_iklan")
     scratch = fresh(store.scratch_folder, "extract")
@@ -90,9 +103,18 @@ def extract_page(
     else:
         count = sinks.append_rows(rows, store.raw_listings, ["province", "page"])
     remove(spark, scratch)
+    if store.titles and (own := raw_page(spark, store, batch)) is not None:
+        titles.add(spark, store.titles, own)
     return count
 
 
+def index_titles(spark: SparkSession, store: Store) -> None:
+    """Put the titles of all stored listings into the title store; for a history from before it."""
+    stored = listings.read_titles_csv(spark, store.raw_listings) if store.raw_format == "csv" else listings.read_all(spark, store.raw_listings)
+    if stored is not None:
+        titles.add(spark, store.titles, stored)
+
+
 def _into_files(spark: SparkSession, store: Store, batch: Selection, rows: DataFrame, scratch: str) -> int:
     """Add rows to the page files of their provinces; a file that is there keeps its rows."""
     path = fresh(scratch, "rows")

@@ -17,7 +17,8 @@ from ..streaming import progress
 class Store:
     """Folders of one deployment.
 
-    ``raw_format`` is ``parquet``, or ``csv`` for a tree of page and district files.
+    ``raw_format`` is ``parquet``, or ``csv`` for a tree of page and district files. ``titles`` is a title
+    store, if there is one; without it every extract run reads the titles of all stored listings.
     """
 
     raw_listings: str
@@ -28,6 +29,7 @@ class Store:
     raw_format: str = "parquet"
     clean_format: str = "parquet"
     scratch: str = ""
+    titles: str = ""
 
     @classmethod
     def under(cls, root: str, **kwargs) -> Store:

@@ -6,18 +6,19 @@ cells it has met hold ``SHARE`` of all entries; what lies in them is ranked by t
 inner product. The codebooks are fitted on at most ``FIT_ROWS`` vectors, every row is indexed.
 
 Cells are laid out one after the other and cut into blocks of about ``BLOCK`` entries, so a cell
-of any size is spread over blocks and small ones share one. Queries are sent to the blocks they need and are cut into groups as
-well, so a task holds one block and one group. The driver holds a count for each cell.
+of any size is spread over blocks and small ones share one. Queries are sent to the blocks they need; a block is gathered once, or
+a few times where very many queries need it, and the queries stream past. The driver holds a count for each cell.
 
 Vectors that are null, zero, of another length than most, or that hold a null or a number that is
-not finite take no part. Entries with the query's own id are not its candidates;
-a repeated entry is found as often as it is there; a repeated query is asked once. Ties go to
+not finite, and rows without an id take no part. Rows count, not ids: every row that is asked is a query of its own and has all other rows as candidates.
+Of rows with equal vectors only those that may be among the first by id are entries, as all score alike. Ties go to
 the smaller id. An empty table gives no rows. Extra columns of the input are not read.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import map_batches
+from .base import cut, map_batches
+from .blocks import matrix, meet
 
 CENTROIDS, FIT_ROWS, ROUNDS, SEED = 64, 20_000, 10, 5
 #: Share of all entries in the cells that a query looks through. Measured recall: see README.
@@ -35,20 +37,15 @@ BLOCK = 4096
 AT_ONCE = 128
 
 
-def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``key`` and ``vec array<double>`` of the vectors that take part."""
-    rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vec"))
+def usable(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """``row``, ``key``, ``vec array<double>`` and ``asked`` of the vectors that take part."""
+    rows = vectors.select(
+        F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vec"), F.coalesce(is_query, F.lit(False)).alias("asked"))
     rows = rows.filter(
         F.col("key").isNotNull() & F.exists("vec", lambda x: x != 0)
         & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     size = rows.agg(F.mode(F.size("vec"), True)).first()[0]
-    return rows.filter(F.size("vec") == F.lit(size))
-
-
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return np.asarray(column.flatten()).reshape(len(column), -1)
+    return cut(rows.filter(F.size("vec") == F.lit(size)).select(F.monotonically_increasing_id().alias("row"), "key", "vec", "asked"))
 
 
 def _centroids(half: np.ndarray) -> np.ndarray:
@@ -95,10 +92,10 @@ class Codebooks:
 
 def fit(entries: DataFrame) -> Codebooks | None:
     """Codebooks of at most ``FIT_ROWS`` entries, chosen by a hash of the id."""
-    sample = entries.orderBy(F.xxhash64("key"), "key", "vec").limit(FIT_ROWS).toArrow()
+    sample = entries.orderBy(F.xxhash64("key"), "key", "vec").limit(FIT_ROWS).select("vec").toArrow()
     if not sample.num_rows:
         return None
-    rows = _matrix(sample["vec"])
+    rows = matrix(sample["vec"])
     half = rows.shape[1] // 2
     return Codebooks(_centroids(rows[:, :half]), _centroids(rows[:, half:]))
 
@@ -156,35 +153,35 @@ def search(
     Returns ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``, the inner product in double precision.
     """
     spark = vectors.sparkSession
-    entries = usable(vectors, key, vector)
-    queries = usable(vectors.filter(is_query), key, vector)
-    books = fit(entries)
+    rows = usable(vectors, is_query, key, vector)
+    books = fit(rows)
     if books is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(books)
-
-    placed = map_batches(
-        entries.select("key", "vec", (F.pmod(F.xxhash64("key", "vec"), F.lit(1 << 20)) / (1 << 20)).alias("share")),
-        lambda b: {"cell": pa.array(shared.value.cell(_matrix(b.column("vec"))), pa.int32()),
-                   "key": b.column("key"), "vec": b.column("vec"), "share": b.column("share")},
-        "cell int, key long, vec array<double>, share double")
+    # One more than asked for, as the query's own row may be among them.
+    copies = Window.partitionBy("vec").orderBy("key", "row")
+    entries = rows.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= count + 1)
+
+    placed = cut(map_batches(
+        entries.select("row", "key", "vec", (F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / (1 << 20)).alias("share")),
+        lambda b: {"cell": pa.array(shared.value.cell(matrix(b.column("vec"))), pa.int32()),
+                   **{n: b.column(n) for n in ("row", "key", "vec", "share")}},
+        "cell int, row long, key long, vec array<double>, share double"))
     counts = np.zeros(books.cells, np.int64)
-    for row in placed.groupBy("cell").count().collect():
-        counts[row["cell"]] = row["count"]
+    for found in placed.groupBy("cell").count().collect():
+        counts[found["cell"]] = found["count"]
     layout = Layout(counts)
-    groups = max(1, -(-queries.count() // BLOCK))
     wanted = max(int(np.ceil(share * counts.sum())), count + 1)
 
     blocked = map_batches(
         placed,
         lambda b: {"block": pa.array(layout.block(np.asarray(b.column("cell")), np.asarray(b.column("share"))), pa.int64()),
-                   "cell": b.column("cell"), "key": b.column("key"), "vec": b.column("vec")},
-        "block long, cell int, key long, vec array<double>",
-    ).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+                   **{n: b.column(n) for n in ("cell", "row", "key", "vec")}},
+        "block long, cell int, row long, key long, vec array<double>")
 
     def visit(batch: pa.RecordBatch) -> dict:
         books = shared.value
-        first, second = books.distances(_matrix(batch.column("vec")))
+        first, second = books.distances(matrix(batch.column("vec")))
         blocks, reach = [], []
         for a, b in zip(first, second):
             cells, last = traverse(a, b, layout.counts, wanted)
@@ -192,50 +189,53 @@ def search(
             blocks.append(np.unique(np.concatenate([start, end, *[
                 np.arange(s, e) for s, e in zip(start, end) if e - s > 1]])))
             reach.append(last)
-        return {"blocks": pa.array(blocks, pa.list_(pa.int64())), "key": batch.column("key"),
-                "vec": batch.column("vec"), "reach": pa.array(reach, pa.float64())}
-
-    asked = map_batches(
-        # Spread as dealt: the traversal is the dear part, though its input is small.
-        queries.groupBy("key").agg(F.min("vec").alias("vec")).repartition(
-            int(spark.conf.get("spark.sql.shuffle.partitions")), "key").select("key", "vec"), visit,
-        "blocks array<long>, key long, vec array<double>, reach double",
-    ).select(F.explode("blocks").alias("block"), F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("group"),
-             "key", "vec", "reach")
-
-    def rank(entry: pa.Table, query: pa.Table) -> pa.Table:
-        found = [[], [], []]
-        if entry.num_rows and query.num_rows:
-            for ids in _block_nearest(entry, query, shared.value, count):
-                for part, more in zip(found, ids):
-                    part.append(more)
-        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        return pa.table({n: np.concatenate(p or [e]) for n, p, e in zip(("query_id", "vec_id", "score"), found, empty)})
-
-    best = blocked.groupBy("block", "group").cogroup(asked.groupBy("block", "group")).applyInArrow(
-        rank, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return {"blocks": pa.array(blocks, pa.list_(pa.int64())), **{n: batch.column(n) for n in ("row", "key", "vec")},
+                "reach": pa.array(reach, pa.float64())}
+
+    # Spread as dealt, by another expression than rows are kept by: the traversal is the dear part, though its input is small.
+    dealt = rows.filter("asked").select("row", "key", "vec").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(F.lit(SEED), "row"))
+    asked = cut(map_batches(dealt, visit, "blocks array<long>, row long, key long, vec array<double>, reach double"))
+    best = meet(
+        blocked, asked, _Block.of, lambda block, batch: block.nearest(batch, shared.value, count),
+        "query_row long, query_id long, row long, vec_id long, score double", "row")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= count).select(
         "query_id", "rank", "vec_id", "score")
 
 
-def _block_nearest(entry: pa.Table, query: pa.Table, books: Codebooks, count: int):
-    """(query ids, entry ids, scores) of the nearest entries of one block, for some queries at a time."""
-    rows, ids, cells = _matrix(entry["vec"]), entry["key"].to_numpy(), entry["cell"].to_numpy()
-    asked, names, reach = _matrix(query["vec"]), query["key"].to_numpy(), query["reach"].to_numpy()
-    width = len(books.second)
-    for at in range(0, len(asked), AT_ONCE):
-        part = slice(at, at + AT_ONCE)
-        first, second = books.distances(asked[part])
-        # A little slack, for a matrix product may round the same sum differently elsewhere.
-        met = first[:, cells // width] + second[:, cells % width] <= reach[part, None] + 1e-9
-        scores = np.where(met & (ids != names[part, None]), asked[part] @ rows.T, -np.inf)
-        for n, score in enumerate(scores):
-            kept = min(count, len(score))
-            least = np.partition(score, len(score) - kept)[len(score) - kept]
-            near = np.flatnonzero((score >= least - 1e-9 * max(1.0, abs(least))) & (score > -np.inf)) \
-                if least > -np.inf else np.flatnonzero(score > -np.inf)
-            # Row by row, so that equal vectors get equal scores wherever they lie.
-            exact = (rows[near] * asked[at + n]).sum(axis=1)
-            order = np.lexsort((ids[near], -exact))[:count]
-            yield np.full(len(order), names[at + n]), ids[near][order], exact[order]
+@dataclass
+class _Block:
+    cells: np.ndarray
+    rows: np.ndarray
+    keys: np.ndarray
+    vectors: np.ndarray
+
+    @classmethod
+    def of(cls, entry: pa.Table) -> _Block:
+        return cls(*[entry[n].to_numpy() for n in ("cell", "row", "key")], matrix(entry["vec"]))
+
+    def nearest(self, batch: pa.RecordBatch, books: Codebooks, count: int) -> Iterator[dict]:
+        """The nearest entries of the block, for some queries at a time."""
+        asked, names, ids, reach = matrix(batch.column("vec")), *[batch.column(n).to_numpy() for n in ("row", "key", "reach")]
+        width = len(books.second)
+        for at in range(0, len(asked), AT_ONCE):
+            part = slice(at, at + AT_ONCE)
+            first, second = books.distances(asked[part])
+            # A little slack, for a matrix product may round the same sum differently elsewhere.
+            met = first[:, self.cells // width] + second[:, self.cells % width] <= reach[part, None] + 1e-9
+            scores = np.where(met & (self.rows != names[part, None]), asked[part] @ self.vectors.T, -np.inf)
+            made = [[], [], [], [], []]
+            for n, score in enumerate(scores):
+                kept = min(count, len(score))
+                least = np.partition(score, len(score) - kept)[len(score) - kept]
+                near = np.flatnonzero((score >= least - 1e-9 * max(1.0, abs(least))) & (score > -np.inf)) \
+                    if least > -np.inf else np.flatnonzero(score > -np.inf)
+                # Row by row, so that equal vectors get equal scores wherever they lie.
+                exact = (self.vectors[near] * asked[at + n]).sum(axis=1)
+                order = np.lexsort((self.rows[near], self.keys[near], -exact))[:count]
+                for column, values in zip(made, (
+                        np.full(len(order), names[at + n]), np.full(len(order), ids[at + n]), self.rows[near][order],
+                        self.keys[near][order], exact[order])):
+                    column.append(values)
+            yield {n: np.concatenate(v) for n, v in zip(("query_row", "query_id", "row", "vec_id", "score"), made)}

@@ -327,6 +327,23 @@ def test_odd_vectors(spark):
     assert nearest.search(spark.createDataFrame([], schema), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_rows_of_one_id_are_queries_and_candidates_of_their_own(spark, monkeypatch):
+    """Repeated ids with other vectors, repeated rows, and queries mostly of another length than all rows."""
+    monkeypatch.setattr(nearest, "BLOCK", 16)
+    random.seed(9)
+    rows = [(random.choice([0, 20, 40, i, i]), [float(random.randint(-3, 3)) for _ in range(4)] + [0.5]) for i in range(200)]
+    rows += rows[:20] + [(60, [1.0, 2.0]), (80, [2.0, 1.0]), (100, [2.0, 1.0])] * 10
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(n, i, v) for n, (i, v) in enumerate(rows) if len(v) == 5]
+    wanted = []
+    for n, i, v in whole:
+        if i % 20 == 0:
+            others = sorted((-sum(a * b for a, b in zip(v, w)), k) for m, k, w in whole if m != n)[:7]
+            wanted += [(i, rank + 1, k, -score) for rank, (score, k) in enumerate(others)]
+    found = [tuple(r) for r in nearest.search(vectors, F.col("vec_id") % 20 == 0, 7, share=1.0).collect()]
+    assert sorted(found) == sorted(wanted)
+
+
 # Pipeline
 
 def test_stages_keep_columns_and_rows_follow(spark, tmp_path):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import scalars as S
 from ..functions.scalars import WHITESPACE
-from ..operators import areas as AR, clean as C, facilities as A, keys as K, pages as P
+from ..operators import areas as AR, clean as C, facilities as A, keys as K, pages as P, similar as SM
 from ..schemas import FACILITY_COUNTS, LISTING, PROVINCE_COLUMNS, PROVINCES, RAW_FACILITY
 from ..sources import facilities as RF, listings as L, provinces as PR, sinks, titles as TI
 from ..sources.files import fresh, read_csv_by_name
@@ -830,6 +830,34 @@ def extract_batch(spark: SparkSession, folder: str) -> DataFrame:
         "provinsi", "province", "page", "waktu_scraping")
 
 
+_HEADING = "concat(p_name, ' ', p_brand, ' ', p_type, ' ', CAST(p_size % 5 AS STRING))"
+_STORED_TITLE = "concat(upper(p_type), ' - ', p_name, ', ', p_brand, CASE WHEN p_size % 3 = 0 THEN ' (new!)' ELSE '' END)"
+_WORDS_SQL = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))"
+
+
+def _alike_sql(like: float) -> str:
+    return f"""
+    WITH a AS (SELECT text, {_WORDS_SQL.format('text')} AS s FROM (SELECT DISTINCT {_HEADING} AS text FROM part)),
+         b AS (SELECT text, {_WORDS_SQL.format('text')} AS s FROM (SELECT DISTINCT {_STORED_TITLE} AS text FROM part)),
+         pairs AS (SELECT a.text, b.text AS other, len(a.s) AS n, len(b.s) AS m, len(list_intersect(a.s, b.s)) AS c FROM a CROSS JOIN b)
+    SELECT text, other, CAST(c AS DOUBLE) / (n + m - c) AS similarity FROM pairs WHERE CAST(c AS DOUBLE) / (n + m - c) >= {like}"""
+
+
+@_query(_alike_sql(SM.LIKE))
+def titles_alike(spark: SparkSession, folder: str) -> DataFrame:
+    """Headings against stored titles that differ slightly: all pairs of similarity 0.8 or more."""
+    parts = _read(spark, folder, "part")
+    return SM.alike(parts.select(F.expr(_HEADING).alias("judul_iklan")), parts.select(F.expr(_STORED_TITLE).alias("judul_iklan")))
+
+
+@_query(f"SELECT p_partkey, {_HEADING} AS judul_iklan FROM part WHERE {_HEADING} NOT IN (SELECT text FROM ({_alike_sql(0.7)}))")
+def headings_unlike(spark: SparkSession, folder: str) -> DataFrame:
+    """Listings whose heading is like no stored title at 0.7."""
+    parts = _read(spark, folder, "part")
+    known = parts.select(F.expr(_STORED_TITLE).alias("judul_iklan"))
+    return SM.keep_unlike(parts.select("p_partkey", F.expr(_HEADING).alias("judul_iklan")), known, like=0.7)
+
+
 @_query(_EXTRACTED)
 def extract_batch_indexed(spark: SparkSession, folder: str) -> DataFrame:
     """The extract job with a title store: only buckets that may hold a card's title are read."""

@@ -49,6 +49,15 @@ def missing_keys(keys: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return distinct_keys(keys, key).join(distinct_keys(stored, key), key, "left_anti")
 
 
+def stored_rows(stored: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows of a table that is bucketed by ``key`` whose key is wanted.
+
+    Unlike ``keep_known`` the join is on the key alone, as the buckets are, so only the wanted keys move. The
+    table should hold few rows of any one key.
+    """
+    return stored.join(distinct_keys(wanted, key), key, "left_semi").select(*stored.columns)
+
+
 def _membership(rows: DataFrame, known: DataFrame, key: str, how: str) -> DataFrame:
     """Semi or anti join of possibly skewed ``rows`` with a deduplicated key set.
 

@@ -19,7 +19,7 @@ from ..functions import scalars as S
 from ..functions.scalars import WHITESPACE
 from ..operators import areas as AR, clean as C, facilities as A, keys as K, pages as P, similar as SM
 from ..schemas import FACILITY_COUNTS, LISTING, PROVINCE_COLUMNS, PROVINCES, RAW_FACILITY
-from ..sources import facilities as RF, listings as L, provinces as PR, sinks, titles as TI
+from ..sources import bucketed as BK, facilities as RF, listings as L, provinces as PR, sinks, titles as TI
 from ..sources.files import fresh, read_csv_by_name
 from ..streaming import progress as G
 from .batch import run_batch
@@ -527,6 +527,35 @@ def missing_keys(spark: SparkSession, folder: str) -> DataFrame:
     return K.missing_keys(districts, _read(spark, folder, "events").select(F.col("user_id").alias("key")), "key")
 
 
+def _bucketed_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as a table bucketed by district, in two batches."""
+    root = _scratch(spark, "bucketed")
+    rows = _read(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("kecamatan"), "c_mktsegment")
+    for batch in (rows.filter("c_mktsegment < 'G'"), rows.filter("c_mktsegment >= 'G'")):
+        BK.append(batch, root, "kecamatan", 16)
+    return BK.attach(spark, root, rows.schema, "kecamatan")
+
+
+def _order_districts(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of customers that order, every third made one that is not stored."""
+    key = F.col("o_custkey")
+    return _read(spark, folder, "orders").select(
+        F.when(key % 3 != 0, F.format_string("Customer#%09d", key)).otherwise(F.format_string("Other#%09d", key)).alias("kecamatan"))
+
+
+@_query("SELECT c_custkey, c_name AS kecamatan, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey IN (SELECT o_custkey FROM orders)")
+def bucketed_semi(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored districts that are wanted; the stored side is not moved."""
+    return K.stored_rows(_bucketed_customers(spark, folder), _order_districts(spark, folder), "kecamatan")
+
+
+@_query("""
+    SELECT DISTINCT concat('Other#', lpad(CAST(o_custkey AS STRING), 9, '0')) AS kecamatan FROM orders WHERE o_custkey % 3 = 0""")
+def bucketed_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Wanted districts that are not stored, against the bucketed table."""
+    return K.missing_keys(_order_districts(spark, folder), _bucketed_customers(spark, folder), "kecamatan")
+
+
 @_query("SELECT o_custkey AS key FROM orders WHERE o_custkey IS NOT NULL "
         "UNION SELECT user_id FROM events WHERE user_id IS NOT NULL")
 def distinct_keys(spark: SparkSession, folder: str) -> DataFrame:

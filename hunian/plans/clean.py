@@ -48,7 +48,10 @@ def _facilities(spark: SparkSession, store: Store, page: int, districts) -> int:
     raw = raw_facilities(spark, store)
     if raw is None:
         return 0
-    kept = keys.keep_known(C.clean_facilities(raw), districts, "kecamatan")
+    if store.facilities_format == "bucketed":
+        kept = C.clean_facilities(keys.stored_rows(raw, districts, "kecamatan"))
+    else:
+        kept = keys.keep_known(C.clean_facilities(raw), districts, "kecamatan")
     if store.clean_format == "csv":
         return 0 if kept.isEmpty() else sinks.write_page(kept, store.clean_facilities, page, "csv")
     return sinks.overwrite_partitions(kept.withColumn("page", F.lit(page)), store.clean_facilities, ["page"])

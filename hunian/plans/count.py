@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import facilities as A, keys
 from ..schemas import RAW_FACILITY
-from ..sources import sinks
+from ..sources import bucketed, sinks
 from ..sources.files import file_name
 from .store import Store, page_districts, raw_facilities, raw_page, select_batch
 
@@ -37,6 +37,10 @@ def count_districts(
     counts = A.count_places(near, **options)
     rows = A.facility_rows(A.counts_for(wanted, counts), now)
     text = rows.select(*[F.col(c).cast("string").alias(c) for c in RAW_FACILITY.names])
+    if store.facilities_format == "bucketed":
+        counted, written = sinks.observed(text)
+        bucketed.append(counted, store.raw_facilities, "kecamatan")
+        return written()
     if store.raw_format == "csv":
         # The district is read from its column; its file only has to be its own.
         name = F.concat(file_name(F.col("kecamatan")), F.lit(".csv"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import keys
 from ..schemas import PROGRESS, RAW_FACILITY
-from ..sources import facilities, listings, sinks
+from ..sources import bucketed, facilities, listings, sinks
 from ..streaming import progress
 
 
@@ -18,7 +18,8 @@ class Store:
     """Folders of one deployment.
 
     ``raw_format`` is ``parquet``, or ``csv`` for a tree of page and district files. ``titles`` is a title
-    store, if there is one; without it every extract run reads the titles of all stored listings.
+    store, if there is one; without it every extract run reads the titles of all stored listings. ``facilities_format`` is that of the
+    raw facilities where it differs: ``bucketed`` for a table bucketed by district, which joins do not move.
     """
 
     raw_listings: str
@@ -30,6 +31,7 @@ class Store:
     clean_format: str = "parquet"
     scratch: str = ""
     titles: str = ""
+    facilities_format: str = ""
 
     @classmethod
     def under(cls, root: str, **kwargs) -> Store:
@@ -69,6 +71,8 @@ def raw_page(spark: SparkSession, store: Store, batch: Selection) -> DataFrame |
 
 
 def raw_facilities(spark: SparkSession, store: Store) -> DataFrame | None:
+    if store.facilities_format == "bucketed":
+        return bucketed.attach(spark, store.raw_facilities, RAW_FACILITY, "kecamatan")
     read = facilities.read_facilities_csv if store.raw_format == "csv" else facilities.read_facilities
     return read(spark, store.raw_facilities)
 

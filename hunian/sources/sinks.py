@@ -21,7 +21,7 @@ def write_page(df: DataFrame, root: str, page: int, fmt: str = "parquet") -> int
     the rows is written by as many tasks as read it.
     """
     options = CSV_WRITE if fmt == "csv" else {}
-    counted, rows = _observed(df)
+    counted, rows = observed(df)
     counted.write.options(**options).mode("overwrite").format(fmt).save(page_path(root, page, fmt))
     return rows()
 
@@ -29,7 +29,7 @@ def write_page(df: DataFrame, root: str, page: int, fmt: str = "parquet") -> int
 def overwrite_partitions(df: DataFrame, root: str, by: list[str], fmt: str = "parquet") -> int:
     """Replace just the partitions ``df`` has rows for; an empty frame touches nothing."""
     options = {**(CSV_WRITE if fmt == "csv" else {}), "partitionOverwriteMode": "dynamic"}
-    counted, rows = _observed(_gathered(df, by))
+    counted, rows = observed(_gathered(df, by))
     counted.write.options(**options).mode("overwrite").partitionBy(*by).format(fmt).save(root)
     return rows()
 
@@ -40,7 +40,7 @@ def append_rows(df: DataFrame, root: str, by: list[str]) -> int:
     The commit is the job's: tasks lost with their executor are run again and
     leave no rows behind.
     """
-    counted, rows = _observed(_gathered(df, by))
+    counted, rows = observed(_gathered(df, by))
     counted.write.mode("append").partitionBy(*by).parquet(root)
     return rows()
 
@@ -53,7 +53,7 @@ def write_csv_files(df: DataFrame, root: str, name: Column, scratch: str) -> int
     """
     spark, folder = df.sparkSession, fresh(scratch, "files")
     inputs = [c for c in df.columns if c != "_into"]
-    counted, rows = _observed(df.select(*inputs, name.alias("_name")).repartition("_name"))
+    counted, rows = observed(df.select(*inputs, name.alias("_name")).repartition("_name"))
     counted.write.options(**CSV_WRITE).partitionBy("_name").csv(folder)
     files, at = file_system(spark, folder)
     for part in files.listStatus(at):
@@ -74,7 +74,7 @@ def _gathered(df: DataFrame, by: list[str]) -> DataFrame:
     return df.hint("rebalance", *by) if by else df.hint("rebalance")
 
 
-def _observed(df: DataFrame):
+def observed(df: DataFrame):
     """``df`` that counts its rows while it is written, and the way to ask for it."""
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get["rows"]

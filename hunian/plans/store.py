@@ -81,13 +81,17 @@ def page_districts(raw: DataFrame) -> DataFrame:
     return keys.distinct_keys(raw, "kecamatan")
 
 
-def adopt_csv_tree(spark: SparkSession, store: Store, target: Store) -> tuple[int, int]:
+def adopt_csv_tree(spark: SparkSession, store: Store, target: Store, split: str = "") -> tuple[int, int]:
     """Copy the raw CSV files of ``store`` into the Parquet tables of ``target``.
 
-    All columns are kept. A file that lacks a required column or cannot be read raises. Pages that
+    All columns are kept. A file that lacks a required column or cannot be read raises. With ``split``, a folder, bad rows of
+    page files are left there instead, with their file and the reason, and only good ones are copied. Pages that
     are there already are replaced and districts that are there already are left, so a second call changes nothing.
     """
-    raw = listings.read_all_csv(spark, store.raw_listings)
+    if split:
+        raw = listings.read_good_rows(spark, store.raw_listings, split)
+    else:
+        raw = listings.read_all_csv(spark, store.raw_listings)
     found = facilities.read_facilities_csv(spark, store.raw_facilities)
     pages = districts = 0
     if raw is not None:

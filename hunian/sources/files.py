@@ -136,8 +136,52 @@ def read_csv_by_name(
     return result
 
 
+def read_rows(spark: SparkSession, path: str, required: list[str]) -> DataFrame | None:
+    """Every row under ``path``, good or bad: the columns by name, ``_file``, ``_reason`` (null for a good row) and ``_line``, a bad row as it is.
+
+    A row is bad if it has not as many fields as its header, or nothing in a required column. In a file whose header lacks a required column
+    every line after the header is a bad row. Files that cannot be read at all raise. Files with different headers are one scan each.
+    Take all columns before anything else: Spark parses only what is asked for, and notices bad rows only then.
+    """
+    headers = _headers(spark, path, {})
+    lines = [r["line"] for r in headers.select("line").distinct().orderBy("line").limit(HEADERS + 1).collect()]
+    if len(lines) > HEADERS:
+        raise ValueError(f"more than {HEADERS} different headers under {path}")
+    frames = []
+    for line in lines:
+        names = next(csv.reader([line]))
+        missing = [c for c in required if c not in names]
+        own = headers.filter(F.col("line") == line).select("_file")
+        if missing:
+            first = headers.select(F.col("_file"), F.col("n").alias("_n"))
+            rows = spark.read.text(path).select(
+                F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_n"), F.col("value").alias("_line"))
+            rows = rows.join(own, "_file", "left_semi").join(first, ["_file", "_n"], "left_anti").filter("_line <> ''").select(
+                "_file", F.lit(f"no column {missing[0]}").alias("_reason"), "_line")
+        else:
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_line"]])
+            rows = spark.read.options(**CSV_READ, mode="PERMISSIVE", columnNameOfCorruptRecord="_line").schema(schema).csv(path).select(
+                "*", F.col("_metadata.file_path").alias("_file"))
+            if len(lines) > 1:
+                rows = rows.join(own, "_file", "left_semi")
+            reason = F.when(F.col("_line").isNotNull(), "fields")
+            for name in required:
+                reason = reason.when(F.col(name).isNull(), f"no value of {name}")
+            # What is kept of a row without a value is its fields, quoted.
+            whole = F.coalesce("_line", F.to_csv(F.struct(*names)))
+            rows = rows.withColumn("_reason", reason).withColumn("_line", F.when(F.col("_reason").isNotNull(), whole))
+            rows = rows.select(*[F.when(F.col("_reason").isNull(), F.col(n)).alias(n) for n in names], "_file", "_reason", "_line")
+        frames.append(rows)
+    if not frames:
+        return None
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame, allowMissingColumns=True)
+    return result
+
+
 def _headers(spark: SparkSession, path: str, options: dict) -> DataFrame:
-    """``_file`` and ``line``, the first line of each file.
+    """``_file``, ``line`` and ``n``, the first line of each file and its number.
 
     Lines get numbers that grow along a file; the smallest one of a file's first block is folded without its
     text and joined back, so no text is sorted to find it.
@@ -146,4 +190,4 @@ def _headers(spark: SparkSession, path: str, options: dict) -> DataFrame:
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("start"),
         F.col("value").alias("line"), F.monotonically_increasing_id().alias("n")).filter("start = 0")
     first = lines.groupBy("_file").agg(F.min("n").alias("n"))
-    return lines.join(first, ["_file", "n"]).select("_file", "line")
+    return lines.join(first, ["_file", "n"]).select("_file", "line", "n")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LISTING_REQUIRED, RAW_LISTING
-from .files import escape_glob, partition_value, read_csv_by_name, read_existing
+from . import sinks
+from .files import escape_glob, partition_value, read_csv_by_name, read_existing, read_rows
 
 #: Raw listing columns plus the two partition columns.
 STORED = T.StructType(
@@ -54,10 +55,22 @@ def read_all_csv(spark: SparkSession, root: str) -> DataFrame | None:
     return read_existing(lambda path: _tree(spark, path, LISTING_REQUIRED, False), root, ["*/page_*.csv"])
 
 
+def read_good_rows(spark: SparkSession, root: str, split: str) -> DataFrame | None:
+    """Good rows of the whole CSV tree; they and the bad ones are written under ``split`` first."""
+    rows = read_existing(lambda path: read_rows(spark, path, LISTING_REQUIRED[:1]), root, ["*/page_*.csv"])
+    if rows is None:
+        return None
+    sinks.write_split(rows, split)
+    return _named_by_file(spark.read.schema(rows.schema).parquet(sinks.split_path(split, good=True)).drop("_reason", "_line"))
+
+
 def _tree(spark: SparkSession, path: str, required: list[str], skip_bad: bool) -> DataFrame | None:
     raw = read_csv_by_name(spark, path, required, skip_bad)
-    if raw is None:
-        return None
+    return None if raw is None else _named_by_file(raw)
+
+
+def _named_by_file(raw: DataFrame) -> DataFrame:
+    """``province`` and ``page`` from the files' names."""
     name = F.url_decode(F.regexp_replace(F.regexp_extract("_file", "([^/]+)$", 1), r"\+", "%2B"))
     pattern = r"^page_(\d+)_(.+)\.csv$"
     return raw.select(

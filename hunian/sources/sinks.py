@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from .files import CSV_WRITE, file_system, fresh, move_over, remove
 
 
+#: Folder name that tells good rows from bad ones.
+SPLIT = "split"
+
+
 def page_path(root: str, page: int, fmt: str = "parquet") -> str:
     return f"{root}/page_{page}" if fmt == "csv" else f"{root}/page={page}"
 
@@ -45,6 +49,21 @@ def append_rows(df: DataFrame, root: str, by: list[str]) -> int:
     return rows()
 
 
+def write_split(rows: DataFrame, root: str) -> DataFrame:
+    """Good and bad rows of ``read_rows`` in two folders under ``root``, written in one pass and one commit.
+
+    Returns ``file``, ``reason`` (null for good rows) and ``rows``; they add up to the input.
+    """
+    part = F.when(F.col("_reason").isNull(), "good").otherwise("bad")
+    rows.withColumn(SPLIT, part).write.mode("overwrite").partitionBy(SPLIT).parquet(root)
+    return rows.sparkSession.read.parquet(root).groupBy(F.col("_file").alias("file"), F.col("_reason").alias("reason")).agg(
+        F.count("*").alias("rows"))
+
+
+def split_path(root: str, good: bool) -> str:
+    return f"{root}/{SPLIT}={'good' if good else 'bad'}"
+
+
 def write_csv_files(df: DataFrame, root: str, name: Column, scratch: str) -> int:
     """One CSV file with a header for each ``name`` (a path under ``root``), replacing what has that name.
 

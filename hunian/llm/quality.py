@@ -214,16 +214,18 @@ class Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, trained: Column, rows: int) -> DataFrame:
-    """At most ``rows`` labelled documents of ``trained`` ids, in the order of a hash of the id.
+    """At most ``rows`` labelled documents of ``trained`` ids, in the order of a hash of the id, one for each id.
 
     The labels alone are sorted and cut to that bound; so they can be broadcast
-    and the texts stay where they are. ``held`` marks every fifth by another hash.
+    and the texts of others stay where they are. Of rows with one id the text with the smallest hash counts. ``held`` marks every fifth by another hash.
     """
     kept = (
         labels.filter(trained & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max(label).alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select("doc_id", "text").join(F.broadcast(kept), "doc_id").select(
+    one = docs.select("doc_id", "text").join(F.broadcast(kept), "doc_id").groupBy("doc_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label"))
+    return one.select(
         "text", F.col("label").cast("int").alias("label"), (F.pmod(F.hash("doc_id"), F.lit(5)) == 0).alias("held"))
 
 

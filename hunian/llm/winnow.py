@@ -155,8 +155,8 @@ def fingerprints(
                        f"`{key}` {kind}, hashes array<bigint>, positions array<int>")
 
 
-def _blocks(docs: DataFrame, blocks: int) -> tuple[Column, DataFrame]:
-    """The block of a key, and each block's first key with the block that ends before it.
+def _blocks(docs: DataFrame, blocks: int) -> tuple[Column, DataFrame, int]:
+    """The block of a key, each block's first key with the block that ends before it, and the number of blocks.
 
     Blocks are key ranges of about equal row counts, the largest keys in block 0 and
     null keys in a block of their own. The driver holds one number per block.
@@ -173,7 +173,7 @@ def _blocks(docs: DataFrame, blocks: int) -> tuple[Column, DataFrame]:
     firsts = docs.select(block_of("key").alias("block"), "key").groupBy("block").agg(F.max("key").alias("key"))
     order = sorted(firsts.collect(), key=lambda row: row["block"])
     rows = [(row["key"], order[i - 1]["block"]) for i, row in enumerate(order)]
-    return block_of("key"), docs.sparkSession.createDataFrame(rows, "guest_key long, guest_block int")
+    return block_of("key"), docs.sparkSession.createDataFrame(rows, "guest_key long, guest_block int"), len(bounds) + 2
 
 
 def edited_fingerprints(docs: DataFrame, blocks: int | None = None, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
@@ -192,7 +192,7 @@ def edited_fingerprints(docs: DataFrame, blocks: int | None = None, gram: int =
         scanned = docs.select("doc_id", "text").rdd.getNumPartitions()
         blocks = max(2 * scanned, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col("doc_id").cast("long").alias("key"), text_or_empty().alias("text"))
-    block, firsts = _blocks(rows.select("key"), blocks)
+    block, firsts, ranges = _blocks(rows.select("key"), blocks)
     guests = F.when(F.col("guest_block").isNotNull(), F.array(
         F.struct(F.col("own").alias("block"), F.lit(False).alias("guest")),
         F.struct(F.col("guest_block").alias("block"), F.lit(True).alias("guest")))
@@ -201,7 +201,7 @@ def edited_fingerprints(docs: DataFrame, blocks: int | None = None, gram: int =
         rows.join(F.broadcast(firsts), F.col("key").eqNullSafe(F.col("guest_key")), "left")
         .withColumn("own", block)
         .select("key", "text", F.inline(guests))
-        .repartition(blocks, "block")
+        .repartitionById(ranges, F.col("block").cast("int"))
         .sortWithinPartitions("block", "guest", F.desc_nulls_last("key"), "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -137,12 +137,16 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def _grams(rules: tuple[Rule, ...]) -> list[str]:
+    """The trigrams that some rule asks for."""
+    return sorted(set().union(*[_needed(trigrams(r.pattern)) for r in rules]))
+
+
 def postings(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text") -> DataFrame:
     """The index: ``gram``, ``key`` for each trigram the rules ask for and each text that has it."""
-    grams = sorted(set().union(*[_needed(trigrams(r.pattern)) for r in rules]))
     plain = docs.select(text_or_empty(text).alias("text"))
     lower = plain.select(text_key(F.col("text")).alias("key"), F.lower("text").alias("lower"))
-    present = F.array(*[F.when(F.contains("lower", F.lit(g)), F.lit(g)) for g in grams])
+    present = F.array(*[F.when(F.contains("lower", F.lit(g)), F.lit(g)) for g in _grams(rules)])
     return lower.select("key", F.explode(F.array_compact(present)).alias("gram"))
 
 
@@ -158,7 +162,14 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 def find(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     """``doc_id`` and ``found``, the spans (``kind``, ``start``, ``end``) of each row by start and rule."""
     found = candidates(postings(docs, rules), rules)
-    texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("key", text_key(F.col("text")))
+    texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("lower", F.lower("text"))
+    # Only texts with a posting have candidates to ask for; the others stay where they are.
+    met = reduce(lambda a, b: a | b, [F.contains("lower", F.lit(g)) for g in _grams(rules)], F.lit(False))
+    # By two hashes, so that both sides of the join come straight from a shuffle and AQE can split a text with very many copies.
+    some = texts.filter(met).select("doc_id", "text", text_key(F.col("text")).alias("key")).withColumn("again", F.xxhash64(F.lit(1), "key"))
+    found = found.select(F.col("key").alias("_key"), F.xxhash64(F.lit(1), "key").alias("_again"), "kinds")
+    joined = some.join(found, (F.col("key") == F.col("_key")) & (F.col("again") == F.col("_again")), "left").select("doc_id", "text", "kinds")
+    others = texts.filter(~met).select("doc_id", "text", F.lit(None).cast("array<string>").alias("kinds"))
     scanned = {r.kind for r in rules if trigrams(r.pattern) == ANYTHING}
 
     def of_rule(rule: Rule) -> Column:
@@ -173,7 +184,7 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
             F.array().cast("array<struct<kind:string,start:int,end:int>>"))
 
     spans = in_order(F.concat(*[of_rule(r) for r in rules]), [r.kind for r in rules])
-    return texts.join(found, "key", "left").select("doc_id", spans.alias("found"))
+    return joined.union(others).select("doc_id", spans.alias("found"))
 
 
 def report(docs: DataFrame) -> DataFrame:

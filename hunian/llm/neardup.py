@@ -84,8 +84,11 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
             counts[SLOTS] += batch.num_rows
             texts = texts_of(batch)
             for at in range(0, len(texts), 500):
-                words = [w for t in texts[at:at + 500] for w in set(words_of(t))]
-                counts[:SLOTS] += np.bincount(_slots(_hashed(words)), minlength=SLOTS)
+                sets = [set(words_of(t)) for t in texts[at:at + 500]]
+                slots = _slots(_hashed([w for words in sets for w in words]))
+                # A document counts once for a slot, however many of its words share it.
+                once = np.unique(np.repeat(np.arange(len(sets)), [len(words) for words in sets]) * SLOTS + slots)
+                counts[:SLOTS] += np.bincount(once % SLOTS, minlength=SLOTS)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(seen, pa.int32()), "docs": pa.array(counts[seen])})
 
@@ -367,13 +370,13 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.first("keys").alias("keys"), F.count("*").alias("copies")))
     members = vertices.filter("info.total > 0").select("ident", F.explode("keys").alias("key"))
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    buckets = members.join(sizes, "key")
+    buckets = _by_key(members, sizes)
     # The text others were made from shares more with each of them than they do with one another, so it is in large buckets.
     rank = buckets.groupBy("ident").agg(F.sum("size").alias("rank"))
     buckets = buckets.join(rank, "ident")
     centres = buckets.groupBy("key").agg(F.max(F.struct("rank", "ident")).alias("centre")).select("key", "centre.ident")
     # Buckets of several vertices: each vertex with the bucket's central one.
-    buckets = cut(buckets.join(centres.withColumnRenamed("ident", "centre"), "key").select("key", "ident", "size", "centre"))
+    buckets = cut(_by_key(buckets, centres.withColumnRenamed("ident", "centre")).select("key", "ident", "size", "centre"))
     info = vertices.select("ident", "info")
 
     def with_info(rows: DataFrame, vertex: str, name: str) -> DataFrame:
@@ -391,7 +394,7 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     several = classed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least != most")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("ident"), F.col("blocks")).cast("int")
-    placed = with_info(classed.join(several.select("key"), "key"), "ident", "info").join(texts, "ident").withColumn(
+    placed = with_info(_by_key(classed, several.select("key")), "ident", "info").join(texts, "ident").withColumn(
         "blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"),
@@ -407,6 +410,17 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, grouped.join(named, "root").select("ident", "root", "first", "class_id", "copies")
 
 
+def _by_key(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rows`` of buckets joined with one row for each of some buckets.
+
+    Those come from an aggregate by key. Joined by the key and its hash, both sides come straight from a shuffle,
+    so AQE can split the rows of a large bucket.
+    """
+    others = [c for c in buckets.columns if c != "key"]
+    named = buckets.select(F.col("key").alias("_key"), F.xxhash64("key").alias("_hash"), *others)
+    return rows.join(named, (F.col("key") == F.col("_key")) & (F.xxhash64("key") == F.col("_hash"))).select(*rows.columns, *others)
+
+
 def _with_root(rows: DataFrame, found: DataFrame, vertex: str, name: str) -> DataFrame:
     named = found.select(F.col("ident").alias("_vertex"), F.col("root").alias("_root"))
     return rows.join(named, rows[vertex] == F.col("_vertex"), "left").withColumn(

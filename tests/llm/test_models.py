@@ -102,6 +102,19 @@ def test_toxic_recall_over_several_splits():
     assert np.mean(recall) >= 0.85 and min(recall) >= 0.7 and np.mean(precision) >= 0.75, (recall, precision)
 
 
+def plain_quality(text, vectors, network):
+    """Score of one text word by word; the vectors are those of slots."""
+    rows = [vectors[zlib.crc32(w.encode()) % quality.SLOTS].astype(float) for w in re.findall(r"\w+|[^\w\s]+", text.lower())]
+    pooled = np.zeros(3 * quality.DIM)
+    if rows:
+        mean = sum(rows) / len(rows)
+        spread = np.sqrt(np.maximum(sum(r * r for r in rows) / len(rows) - mean * mean, 0))
+        pooled = np.concatenate([mean, spread, sum((a * b for a, b in zip(rows, rows[1:])), np.zeros(quality.DIM)) / len(rows)])
+    first, bias, second, shift = network.layers
+    z = np.tanh((pooled - network.centre) / network.scale @ first + bias) @ second + shift
+    return 1 / (1 + np.exp(-z / network.temperature))
+
+
 def test_scores_equal_plain_versions():
     """Pooled vectors with the network, and averaged subwords with the softmax, word by word."""
     random = np.random.default_rng(4)
@@ -113,15 +126,7 @@ def test_scores_equal_plain_versions():
     weights, offset = random.normal(size=toxicity.BUCKETS), 0.3
     made, averaged = network.scores(quality.pooled(texts, vectors)), toxicity.Softmax(weights, offset).scores(texts, {})
     for n, text in enumerate(texts):
-        rows = [vectors[zlib.crc32(w.encode()) % quality.SLOTS].astype(float) for w in re.findall(r"\w+|[^\w\s]+", text.lower())]
-        pooled = np.zeros(3 * quality.DIM)
-        if rows:
-            mean = sum(rows) / len(rows)
-            spread = np.sqrt(np.maximum(sum(r * r for r in rows) / len(rows) - mean * mean, 0))
-            pooled = np.concatenate([mean, spread, sum((a * b for a, b in zip(rows, rows[1:])), np.zeros(quality.DIM)) / len(rows)])
-        first, bias, second, shift = network.layers
-        z = np.tanh((pooled - network.centre) / network.scale @ first + bias) @ second + shift
-        assert made[n] == pytest.approx(1 / (1 + np.exp(-z / network.temperature)), rel=1e-3)
+        assert made[n] == pytest.approx(plain_quality(text, vectors, network), rel=1e-3)
         words = re.findall(r"\w+", text.lower())
         score = sum(weights[toxicity.subwords([w])[0]].mean() for w in words) / max(len(words), 1)
         assert averaged[n] == pytest.approx(1 / (1 + np.exp(-score - offset)))

@@ -56,7 +56,8 @@ STAGES = [
     ("encoding", encode),
 ]
 
-#: A trained network decides what stays, so SQL cannot give the rows; tests compare with a plain version.
+#: A trained network decides what stays, so SQL cannot give the rows; ``tests/llm/test_pipeline.py`` compares them with plain versions
+#: of all stages.
 ORACLE_SQL = None
 
 

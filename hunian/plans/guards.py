@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import clean as C, facilities as A, keys as K, pages as P
-from ..schemas import FACILITY_COUNTS, LISTING, RAW_FACILITY
+from ..schemas import FACILITY_COUNTS, LISTING, PROVINCES, RAW_FACILITY
 from ..sources import facilities as RF, listings as L, pages as PG, sinks
 from ..sources.files import file_system, read_rows
-from ..streaming import progress as G
+from ..streaming import arrivals as AV, progress as G
 from .catalog import (
     _COUNT_FILTERS, _COUNT_SUMS, _DETAILS, _EXTRACTED, SITE, _event_places, _extract_store, _fetched_pages, _query, _raw_facilities,
     _raw_listings, _read, _scratch,
@@ -240,3 +240,29 @@ def extract_files(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "judul_iklan", "harga", "kecamatan", "kabupaten_kota", "terakhir_diperbarui", "agen", *SITE.labels, "link_rumah123",
         "provinsi", "province", "page", "waktu_scraping")
+
+
+# Arrivals --------------------------------------------------------------------
+
+_ARRIVED = _EXTRACTED.replace("1 AS page,", f"CAST(1 + c.page_id // {len(PROVINCES)} AS INT) AS page,").split("AND c.page_id IN")[0]
+
+
+@_query(_ARRIVED)
+def pages_arriving(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a search page and as the page behind its first link, arriving file by file; the details come in another order."""
+    root = _scratch(spark, "arrivals")
+    pages = _read(spark, folder, "pages").select("page_id", "html")
+    number = F.col("page_id")
+    province = F.get(F.array(*map(F.lit, PROVINCES)), number % len(PROVINCES))
+    search = F.concat(F.lit(f"{SITE.base_url}/jual/"), province, F.lit("/rumah/?page="), F.floor(number / len(PROVINCES) + 1).cast("string"))
+    cards = P.page_cards(pages, SITE)
+    links = cards.filter("pos = 0").groupBy("link").agg(F.min("page_id").alias("page_id"))
+    details = links.join(pages, "page_id").select("page_id", F.col("link").alias("url"), "html")
+    parts = (pages.select(search.alias("url"), "html", (number % 3).alias("part")), details.select("url", "html", ((number + 1) % 3).alias("part")))
+    K.union_pages(parts).repartition("part").write.partitionBy("part").parquet(f"{root}/pages")
+    known = cards.filter("pos = 5").select("judul_iklan")
+    tables = AV.Arrivals.under(root)
+    AV.follow(spark, f"{root}/pages/part=*", tables, SITE, lambda titles: known.join(titles, "judul_iklan", "left_semi"), datetime(2024, 5, 1), 1)
+    return AV.listings(spark, tables).select(
+        "judul_iklan", "harga", "kecamatan", "kabupaten_kota", "terakhir_diperbarui", "agen", *SITE.labels, "link_rumah123",
+        "provinsi", "province", "page", "waktu_scraping")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import clean as C, facilities as A, keys as K, pages as P
+from ..operators import clean as C, facilities as A, keys as K, pages as P, provinces as PV
 from ..schemas import FACILITY_COUNTS, LISTING, PROVINCES, RAW_FACILITY
 from ..sources import facilities as RF, listings as L, pages as PG, sinks
 from ..sources.files import file_system, read_rows
@@ -266,3 +266,23 @@ def pages_arriving(spark: SparkSession, folder: str) -> DataFrame:
     return AV.listings(spark, tables).select(
         "judul_iklan", "harga", "kecamatan", "kabupaten_kota", "terakhir_diperbarui", "agen", *SITE.labels, "link_rumah123",
         "provinsi", "province", "page", "waktu_scraping")
+
+
+# Provinces -------------------------------------------------------------------
+
+@_query("""
+    SELECT trim(regexp_replace(lower(n_name), '[^a-z0-9]+', '-', 'g'), '-') AS province, n_regionkey AS kepadatan_per_km2,
+           count(*) AS listings, CAST(sum(o_custkey) AS BIGINT) AS keys
+    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey IN (1, 3) GROUP BY ALL""")
+def listings_of_provinces(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored listings of the provinces that a condition on the dimension leaves; other folders are not opened."""
+    root = _scratch(spark, "by_province")
+    nations = _read(spark, folder, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").cast("int").alias("kepadatan_per_km2"))
+    customers = _read(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    rows = _read(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
+        nations, F.col("c_nationkey") == F.col("n_nationkey")).select("o_custkey", PV.slug(F.col("n_name")).alias("province"))
+    sinks.append_rows(rows, root, ["province"])
+    provinces = nations.filter(F.col("kepadatan_per_km2").isin(1, 3)).select(F.col("n_name").alias("provinsi"), "kepadatan_per_km2")
+    stored = spark.read.schema("o_custkey long, province string").parquet(root)
+    return PV.with_province(stored, provinces).groupBy("province", "kepadatan_per_km2").agg(
+        F.count("*").alias("listings"), F.sum("o_custkey").alias("keys"))

@@ -286,3 +286,31 @@ def listings_of_provinces(spark: SparkSession, folder: str) -> DataFrame:
     stored = spark.read.schema("o_custkey long, province string").parquet(root)
     return PV.with_province(stored, provinces).groupBy("province", "kepadatan_per_km2").agg(
         F.count("*").alias("listings"), F.sum("o_custkey").alias("keys"))
+
+
+# Filters as a table ----------------------------------------------------------
+
+def _made_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Brands, types and beginnings of names of all parts as filters, those of a brand's parts in its category."""
+    parts = _read(spark, folder, "part")
+    made = [parts.select(F.col("p_brand").alias("category"), F.lit(tag).alias("tag"), literal.alias("literal")) for tag, literal in (
+        ("p_name", F.substring("p_name", 1, 5)), ("p_type", F.substring("p_type", 2, 3)), ("p_name", F.substring("p_name", 3, 4)))]
+    return K.union_pages(made).distinct().withColumn("filter", F.concat_ws("|", "category", "tag", F.substring("literal", 1, 2)))
+
+
+@_query("""
+    WITH filters AS (
+        SELECT DISTINCT category, tag, literal, concat(category, '|', tag, '|', substr(literal, 1, 2)) AS filter FROM (
+            SELECT p_brand AS category, 'p_name' AS tag, substr(p_name, 1, 5) AS literal FROM part
+            UNION ALL SELECT p_brand, 'p_type', substr(p_type, 2, 3) FROM part
+            UNION ALL SELECT p_brand, 'p_name', substr(p_name, 3, 4) FROM part)),
+    values_ AS (SELECT p_size, 'p_name' AS tag, p_name AS value, count(*) AS n FROM part GROUP BY ALL
+                UNION ALL SELECT p_size, 'p_type', p_type, count(*) FROM part GROUP BY ALL),
+    hits AS (SELECT DISTINCT v.tag, v.value, f.filter, f.category FROM (SELECT DISTINCT tag, value FROM values_) v
+             JOIN filters f ON f.tag = v.tag AND contains(v.value, f.literal))
+    SELECT v.p_size AS kecamatan, h.category, CAST(sum(v.n) AS BIGINT) AS n FROM values_ v JOIN hits h ON h.tag = v.tag AND h.value = v.value
+    GROUP BY ALL""")
+def counts_by_filter_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Places counted by hundreds of filters that are a table."""
+    places = _read(spark, folder, "part").select(F.col("p_size").alias("kecamatan"), "p_name", "p_type")
+    return A.count_by_table(places, _made_filters(spark, folder))

@@ -87,7 +87,9 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
                 sets = [set(words_of(t)) for t in texts[at:at + 500]]
                 slots = _slots(_hashed([w for words in sets for w in words]))
                 # A document counts once for a slot, however many of its words share it.
-                once = np.unique(np.repeat(np.arange(len(sets)), [len(words) for words in sets]) * SLOTS + slots)
+                held = np.repeat(np.arange(len(sets)), [len(words) for words in sets]) * SLOTS + slots
+                held.sort()
+                once = held[np.append(True, held[1:] != held[:-1])[:len(held)]]
                 counts[:SLOTS] += np.bincount(once % SLOTS, minlength=SLOTS)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(seen, pa.int32()), "docs": pa.array(counts[seen])})

@@ -236,18 +236,25 @@ def _line(values: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[f
     return float(line[0] / scale), float(line[1])
 
 
+_KNOWN: dict[int, dict[str, float]] = {}
+
+
 @dataclass
 class Model:
     """The trained softmax as a broadcast of fixed size."""
 
     softmax: Broadcast
+    number: int
 
     def score(self, text: Column) -> Column:
         """Probability that the text is toxic, a column that fits any frame."""
-        softmax = self.softmax
+        softmax, number = self.softmax, self.number
 
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            known: dict[str, float] = {}
+            # A worker keeps the words of one model from task to task: subwords are the dear part.
+            if number not in _KNOWN:
+                _KNOWN.clear()
+            known = _KNOWN.setdefault(number, {})
             for texts in batches:
                 yield pd.Series(softmax.value.scores(texts.fillna("").tolist(), known))
 
@@ -275,7 +282,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     rows = sorted((r["words"], r["parts"], r["label"], r["held"]) for part in found for r in part)
     softmax = train([(w, p) for w, p, _, _ in rows], np.array([y for _, _, y, _ in rows], np.int64),
                     np.array([h for _, _, _, h in rows], bool), share)
-    return Model(docs.sparkSession.sparkContext.broadcast(softmax))
+    shared = docs.sparkSession.sparkContext.broadcast(softmax)
+    return Model(shared, shared._jbroadcast.id())
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

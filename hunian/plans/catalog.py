@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -821,15 +821,19 @@ _EXTRACTED = f"""
       AND c.page_id IN (SELECT max(page_id) FROM pages GROUP BY page_id % {len(PROVINCES)})"""
 
 
-def _fetched_pages(spark: SparkSession, folder: str) -> DataFrame:
+# Every page is a search page that is read.
+_EXTRACTED_WHOLE = _EXTRACTED.split("AND c.page_id IN")[0]
+
+
+def _fetched_pages(spark: SparkSession, folder: str, lists: bool = False) -> DataFrame:
     """Every page as two fetches of its province's search page, the largest ``page_id`` the newest, and as two of a detail page.
 
     The older of the two is another text. There are as many provinces as the site has, whatever the table's size.
+    With ``lists`` every page is a search page of its own address, one of many of its province; ``_searches`` has them.
     """
     pages = _read(spark, folder, "pages").select("page_id", "html")
     first = H.let(H.element(H.visible_markup(F.col("html")), SITE.card_link), lambda a: H.attribute(a, "href"))
-    province = F.get(F.array(*map(F.lit, PROVINCES)), F.col("page_id") % len(PROVINCES))
-    search = F.concat(F.lit(f"{SITE.base_url}/jual/"), province, F.lit("/rumah/?page=1"))
+    search = _search_url(_province()) if not lists else _list_url()
     frames = []
     for url, version in ((search, F.col("page_id")), (F.concat(F.lit(SITE.base_url), first), -F.col("page_id"))):
         rows = pages.select(url.alias("url"), "html", version.cast("long").alias("fetched"))
@@ -837,6 +841,23 @@ def _fetched_pages(spark: SparkSession, folder: str) -> DataFrame:
     return K.union_pages(frames)
 
 
+def _province() -> Column:
+    return F.get(F.array(*map(F.lit, PROVINCES)), F.col("page_id") % len(PROVINCES))
+
+
+def _search_url(province: Column) -> Column:
+    return F.concat(F.lit(f"{SITE.base_url}/jual/"), province, F.lit("/rumah/?page=1"))
+
+
+def _list_url() -> Column:
+    return F.concat(_search_url(_province()), F.lit("&list="), F.col("page_id").cast("string"))
+
+
+def _searches(spark: SparkSession, folder: str) -> DataFrame:
+    """Address of every search page, with its province."""
+    return _read(spark, folder, "pages").select(_province().alias("province"), _list_url().alias("url"))
+
+
 def _extract_store(spark: SparkSession, folder: str, name: str) -> Store:
     """A store whose known titles are those of sixth cards, with all provinces at page 1."""
     store = Store.under(_scratch(spark, name))
@@ -848,11 +869,11 @@ def _extract_store(spark: SparkSession, folder: str, name: str) -> Store:
     return store
 
 
-@_query(_EXTRACTED)
+@_query(_EXTRACTED_WHOLE)
 def extract_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """The extract job itself: two fetches of each page, known titles stored before, all columns."""
+    """The extract job itself over all pages: two fetches of each, known titles stored before, all columns."""
     store = _extract_store(spark, folder, "extract_batch")
-    extract_page(spark, store, _fetched_pages(spark, folder), SITE, datetime(2024, 5, 1), "fetched")
+    extract_page(spark, store, _fetched_pages(spark, folder, lists=True), SITE, datetime(2024, 5, 1), "fetched", _searches(spark, folder))
     rows = L.read_all(spark, store.raw_listings).filter("province <> 'known'")
     return rows.select(
         "judul_iklan", "harga", "kecamatan", "kabupaten_kota", "terakhir_diperbarui", "agen", *SITE.labels, "link_rumah123",

@@ -21,15 +21,22 @@ LITERALS = 200
 
 def search_pages(
     spark: SparkSession, pages: DataFrame, site: P.Site, batch: Selection, version: str | None = None,
+    searches: DataFrame | None = None,
 ) -> DataFrame:
     """Newest fetch of each search page of the batch, with ``province`` and ``page``.
 
     The urls of a usual batch, one a province, go to the scan as literals, so Parquet skips row groups by them; more are joined.
+    Where a province's page is spread over many addresses, ``searches`` (``province``, ``url``) has all of them; the waiting
+    provinces' are joined and stay off the driver.
     """
-    rows = [(p, batch.page, site.search_url(p, batch.page)) for p in batch.provinces]
-    targets = spark.createDataFrame(rows, "province string, page int, url string")
-    if len(rows) <= LITERALS:
-        pages = pages.filter(F.col("url").isin([url for _, _, url in rows]))
+    if searches is not None:
+        targets = searches.filter(F.col("province").isin(batch.provinces)).select(
+            "province", F.lit(batch.page).alias("page"), "url").distinct()
+    else:
+        rows = [(p, batch.page, site.search_url(p, batch.page)) for p in batch.provinces]
+        targets = spark.createDataFrame(rows, "province string, page int, url string")
+        if len(rows) <= LITERALS:
+            pages = pages.filter(F.col("url").isin([url for _, _, url in rows]))
     found = fetched(pages, targets.select("url").distinct(), version)
     return newest(found.filter(F.col("html").isNotNull()), "url", version).join(targets, "url")
 
@@ -72,12 +79,13 @@ def new_listings(
 
 def extract_page(
     spark: SparkSession, store: Store, pages: DataFrame, site: P.Site, now: datetime | None = None,
-    version: str | None = None,
+    version: str | None = None, searches: DataFrame | None = None,
 ) -> int:
     """Append the batch's new listings to the raw store; returns how many.
 
     Rows of an earlier run of the page stay, and their titles are known now: a
-    second run adds nothing. ``version`` names the column of ``pages`` that grows with every fetch.
+    second run adds nothing. ``version`` names the column of ``pages`` that grows with every fetch,
+    ``searches`` is a table of search pages as in ``search_pages``.
     With a title store only the buckets that may hold a card's title are read, and the page's own rows, as a run that died
     may not have added their titles.
     """
@@ -96,7 +104,7 @@ def extract_page(
     else:
         known = listings.read_all(spark, store.raw_listings).select("judul_iklan")
     scratch = fresh(store.scratch_folder, "extract")
-    searched = search_pages(spark, pages, site, batch, version)
+    searched = search_pages(spark, pages, site, batch, version, searches)
     rows = new_listings(searched, pages, known, site, scratch, now, version)
     if store.raw_format == "csv":
         count = _into_files(spark, store, batch, rows, scratch)

@@ -355,3 +355,18 @@ def test_places_are_cut_before_they_are_counted(spark, tmp_path):
     assert plan.index("Aggregate [kecamatan") < plan.index("LeftSemi")
     assert count.count_districts(spark, store, places_table(spark), now=NOW) == 3
     assert count.count_districts(spark, store, places_table(spark), now=NOW) == 0
+
+
+def test_all_search_pages_of_a_table_are_read(spark, tmp_path):
+    """A province with several search pages: the newest fetch of each counts, those of provinces that wait elsewhere do not."""
+    store = Store.under(str(tmp_path))
+    progress.write_progress(spark.createDataFrame([(1, {"bali": 1, "riau": 1, "aceh": 2})], "current_page int, provinces map<string,int>"), store.progress)
+    lists = [(p, f"{BASE}/jual/{p}/rumah/?page=1&list={n}") for p, n in (("bali", 1), ("bali", 2), ("riau", 3), ("aceh", 4))]
+    rows = [(url, 1, search(card(f"Villa {url[-1]}", f"/properti/{url[-1]}"))) for _, url in lists]
+    rows += [(url, 0, search(card("Old", "/properti/1"))) for _, url in lists]
+    rows += [(f"{BASE}/properti/{n}", 1, detail(f"Villa {n}")) for n in range(1, 5)]
+    pages = spark.createDataFrame(rows, "url string, fetched int, html string")
+    searches = spark.createDataFrame([*lists, lists[0]], "province string, url string")
+    assert extract_page(spark, store, pages, SITE, NOW, "fetched", searches) == 3
+    found = listings.read_all(spark, store.raw_listings).collect()
+    assert sorted((r["province"], r["page"], r["judul_iklan"]) for r in found) == [("bali", 1, "Villa 1"), ("bali", 1, "Villa 2"), ("riau", 1, "Villa 3")]

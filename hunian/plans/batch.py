@@ -24,9 +24,9 @@ class BatchResult:
 def run_batch(
     spark: SparkSession, store: Store, pages: DataFrame, places: DataFrame, site: Site,
     country: str = "Indonesia", now: datetime | None = None, version: str | None = None,
-    allow_whole: bool = False, whole_value: bool = False,
+    allow_whole: bool = False, whole_value: bool = False, searches: DataFrame | None = None,
 ) -> BatchResult:
     """One page, all steps. An error in any step goes to the caller."""
-    new = extract_page(spark, store, pages, site, now, version)
+    new = extract_page(spark, store, pages, site, now, version, searches)
     counted = count_districts(spark, store, places, country, now, whole_value=whole_value)
     return BatchResult(new, counted, clean_page(spark, store, allow_whole))

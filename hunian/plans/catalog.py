@@ -934,7 +934,7 @@ def titles_in_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_query(f"""
-    WITH x AS ({_EXTRACTED})
+    WITH x AS ({_EXTRACTED_WHOLE})
     SELECT (SELECT count(*) FROM x) AS new_listings,
            (SELECT count(DISTINCT kecamatan) FROM x) AS new_facilities,
            (SELECT count(*) FROM x) AS listings,
@@ -945,7 +945,9 @@ def batch_chain(spark: SparkSession, folder: str) -> DataFrame:
     places = _read(spark, folder, "events").select(
         F.col("event_type").alias("kecamatan"), *[F.lit(None).cast("string").alias(t) for t in ("amenity", "shop", "aeroway", "railway", "leisure")],
         F.lit("Indonesia").alias("country"), F.lit(6).alias("admin_level"))
-    done = run_batch(spark, store, _fetched_pages(spark, folder), places, SITE, now=datetime(2024, 5, 1), version="fetched")
+    done = run_batch(
+        spark, store, _fetched_pages(spark, folder, lists=True), places, SITE, now=datetime(2024, 5, 1), version="fetched",
+        searches=_searches(spark, folder))
     return G.read_progress(spark, store.progress).select(
         *[F.lit(n).cast("long").alias(name) for name, n in (
             ("new_listings", done.new_listings), ("new_facilities", done.new_facilities),

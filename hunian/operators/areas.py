@@ -8,11 +8,16 @@ sides come straight from their shuffle.
 
 A point is inside if an odd number of edges cross its ray, an edge from (x1, y1) to (x2, y2) where ``(y1 > y) <> (y2 > y)`` and
 ``x < (x2 - x1) * (y - y1) / (y2 - y1) + x1``. So of two areas with a common border a point on it is in one.
+Counting needs no pairs: ``counts_within`` quarters border cells until few points are in one, takes the totals of
+whole cells, and tests points, each place of several rows once, in the last border cells only.
+
 Points without coordinates, areas without rings and rings of null corners are in no area or hold no points.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +25,8 @@ from pyspark.sql import functions as F
 CELL = 0.05
 #: By so much of a cell's side rounding may move where an edge leaves a band.
 SLACK = 1e-6
+#: Border cells are quartered until about so many points are in one, and so often at most.
+POINTS, LEVELS = 8, 10
 
 
 def _crosses(edge: Column, x: Column, y: Column) -> Column:
@@ -68,6 +75,76 @@ def cells_of(areas: DataFrame, key: str = "kecamatan", rings: str = "rings", cel
         "cx", "cy", key, "whole", F.when(~F.col("whole"), kept).alias("edges"))
 
 
+def _quartered(cells: DataFrame, level: int, side: float) -> DataFrame:
+    """Border cells of ``cells`` (as of ``cells_of``, with ``level``) cut to the cells of half their side, now ``side``; whole ones stay."""
+    cells = cells.withColumn("_part", F.explode(F.when(F.col("whole"), F.array(F.lit(0))).otherwise(F.array(*map(F.lit, range(4))))))
+    half = {c: F.when(F.col("whole"), F.col(c)).otherwise(2 * F.col(c) + part) for c, part in (
+        ("cx", F.col("_part") % 2), ("cy", F.floor(F.col("_part") / 2)))}
+    cells = cells.withColumns({**half, "level": F.when(F.col("whole"), F.col("level")).otherwise(F.lit(level))})
+    left, right = F.col("cx") * F.lit(side), (F.col("cx") + 1) * F.lit(side)
+    bottom, top = F.col("cy") * F.lit(side), (F.col("cy") + 1) * F.lit(side)
+    slack = F.lit(side * SLACK)
+
+    def ends(edge: Column) -> list[Column]:
+        """Where the edge enters and leaves the row, as in ``cells_of``."""
+        low, high = F.least(edge["y1"], edge["y2"]), F.greatest(edge["y1"], edge["y2"])
+        slope = (edge["x2"] - edge["x1"]) / F.nullif(edge["y2"] - edge["y1"], F.lit(0.0))
+        return [F.coalesce(edge["x1"] + (y - edge["y1"]) * slope, x) for y, x in (
+            (F.greatest(low, bottom), edge["x1"]), (F.least(high, top), edge["x2"]))]
+
+    def met(edge: Column) -> Column:
+        low, high = F.least(edge["y1"], edge["y2"]), F.greatest(edge["y1"], edge["y2"])
+        return (F.floor(low / side) <= F.col("cy")) & (F.floor(high / side) >= F.col("cy")) & (F.greatest(*ends(edge)) + slack >= left)
+
+    cells = cells.withColumn("edges", F.when(~F.col("whole"), F.filter("edges", met)))
+    border = F.exists("edges", lambda edge: F.least(*ends(edge)) - slack <= right)
+    middle = _odd(F.col("edges"), left + F.lit(side / 2), bottom + F.lit(side / 2))
+    cells = cells.withColumn("_state", F.when(F.col("whole"), 1).when(border, 0).when(middle, 1))
+    return cells.filter("_state is not null").withColumn("whole", F.col("_state") == 1).withColumn(
+        "edges", F.when(~F.col("whole"), F.col("edges"))).drop("_part", "_state")
+
+
+def counts_within(
+    places: DataFrame, areas: DataFrame, sums: tuple[str, ...] = (), x: str = "lon", y: str = "lat", key: str = "kecamatan",
+    rings: str = "rings", cell: float = CELL, levels: int | None = None,
+) -> DataFrame:
+    """``key``, ``n_places`` and the sum of each column of ``sums`` for every area that holds places.
+
+    As many as a count by ``key`` over ``places_within`` gives, without a row for each place and area: the cells of an area's
+    border are met with the points in them, all others with the totals of their places. ``levels`` is how often border cells are quartered;
+    without it the mean number of points in a cell decides.
+    """
+    at = {"_x": F.col(x).cast("double"), "_y": F.col(y).cast("double")}
+    rows = places.withColumns(at).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
+
+    def cell_of(side: float) -> dict[str, Column]:
+        return {"_cx": F.floor(F.col("_x") / F.lit(side)), "_cy": F.floor(F.col("_y") / F.lit(side))}
+
+    if levels is None:
+        seen = rows.withColumns(cell_of(cell)).agg(
+            F.approx_count_distinct(F.xxhash64("_x", "_y")).alias("points"), F.approx_count_distinct(F.xxhash64("_cx", "_cy")).alias("cells")).first()
+        mean = seen["points"] / max(seen["cells"], 1)
+        levels = min(LEVELS, max(0, round(math.log(max(mean, 1) / POINTS, 4))))
+    names = {f"_sum{n}": c for n, c in enumerate(sums)}
+    folded = [F.sum("_n").alias("_n"), *[F.sum(s).alias(s) for s in names]]
+    points = rows.groupBy("_x", "_y").agg(F.count("*").alias("_n"), *[F.sum(c).alias(s) for s, c in names.items()]).withColumns(
+        cell_of(cell / 2**levels))
+    finest = points.groupBy("_cx", "_cy").agg(*folded)
+    # Sides are halved, so a cell's number is that of the cell of the level above, twice over.
+    up = F.explode(F.sequence(F.lit(0), F.lit(levels)))
+    totals = finest.withColumn("_up", up).groupBy(
+        (F.lit(levels) - F.col("_up")).alias("_level"), F.expr("shiftright(_cx, _up)").alias("_cx"), F.expr("shiftright(_cy, _up)").alias("_cy")).agg(*folded)
+    # A border cell meets points, which have a level of their own.
+    met = totals.withColumns({"_x": F.lit(None).cast("double"), "_y": F.lit(None).cast("double")}).unionByName(points.withColumn("_level", F.lit(-1)))
+    cells = cells_of(areas, key, rings, cell).withColumn("level", F.lit(0))
+    for level in range(1, levels + 1):
+        cells = _quartered(cells, level, cell / 2**level)
+    cells = cells.withColumn("level", F.when(F.col("whole"), F.col("level")).otherwise(F.lit(-1)))
+    inside = F.col("whole") | _odd(F.col("edges"), F.col("_x"), F.col("_y"))
+    found = met.join(cells, (F.col("_level") == F.col("level")) & (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))).filter(inside)
+    return found.groupBy(key).agg(F.sum("_n").alias("n_places"), *[F.sum(s).alias(c) for s, c in names.items()])
+
+
 def places_within(
     places: DataFrame, areas: DataFrame, x: str = "lon", y: str = "lat", key: str = "kecamatan", rings: str = "rings",
     cell: float = CELL,

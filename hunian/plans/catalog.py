@@ -178,8 +178,8 @@ def places_by_area(spark: SparkSession, folder: str) -> DataFrame:
         F.col("s_suppkey").alias("kecamatan"), F.lit("Indonesia").alias("country"), (F.col("s_nationkey") % 2 + 6).alias("admin_level"),
         F.when(F.col("s_suppkey") % 3 == 0, F.array(ring(_STAR), ring(_HOLE))).otherwise(F.array(ring(_STAR))).alias("rings"))
     places = _read(spark, folder, "lineitem").select("l_linenumber", F.expr(_PLACE_X).alias("lon"), F.expr(_PLACE_Y).alias("lat"))
-    located = AR.places_within(places, A.places_in(areas, "Indonesia"), cell=1.0)
-    return located.groupBy("kecamatan").agg(F.count("*").alias("n_places"), F.sum("l_linenumber").alias("n_lines"))
+    counts = AR.counts_within(places, A.places_in(areas, "Indonesia"), ("l_linenumber",), cell=1.0)
+    return counts.withColumnRenamed("l_linenumber", "n_lines")
 
 
 # Scalars --------------------------------------------------------------------

@@ -87,3 +87,18 @@ def test_hot_cell_is_split(spark, conf, tmp_path):  # noqa: F811
     got, text = final_plan(AR.places_within(places, areas, cell=0.5))
     assert "skew=true" in text and "SortMergeJoin" in text
     assert len(got) == places.filter("lon < 4 and lat < 4").count()
+
+
+@pytest.mark.parametrize("cell,levels", [(0.7, 0), (0.7, 3), (100.0, 4), (2.0, None)])
+def test_counts_within_equal_those_of_the_pairs(spark, cell, levels):
+    """Places on borders, on cell corners and many on one spot; negative coordinates; sums with nulls."""
+    made = made_areas(5) + [(None, [[(-3.0, -3.0), (3.0, -3.0), (0.0, 3.0)]])]
+    points = [(random.uniform(-9, 9), random.uniform(-9, 9), n % 5 or None) for n in range(600)]
+    points += [(0.7, -0.7, 2), (2.0, 1.0, 3), (0.0, 0.0, None), (None, 1.0, 4), (float("nan"), 1.0, 4)] * 30
+    places = spark.createDataFrame(points, "lon double, lat double, lines int").withColumn("other", F.lit("x"))
+    areas = spark.createDataFrame(made, AREAS)
+    pairs = AR.places_within(places, areas, cell=0.7).groupBy("kecamatan").agg(F.count("*"), F.sum("lines"))
+    found = AR.counts_within(places, areas, ("lines",), cell=cell, levels=levels)
+    assert found.columns == ["kecamatan", "n_places", "lines"]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, pairs.collect())))
+    assert AR.counts_within(places.limit(0), areas, cell=cell, levels=levels).count() == 0

@@ -34,13 +34,14 @@ _LINE = """
 
 
 def _broken_tree(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as lines of a file for each status; the header of status P lacks the title."""
+    """Orders as lines of files by status, each with a header; that of status P lacks the title."""
     root = _scratch(spark, "broken")
-    orders = _read(spark, folder, "orders").select("o_orderstatus", F.expr(_LINE).alias("line"), F.lit(1).alias("n"))
-    header = F.when(F.col("o_orderstatus") == "P", "other,harga,kecamatan").otherwise("judul_iklan,harga,kecamatan")
-    heads = orders.select("o_orderstatus").distinct().select("o_orderstatus", header.alias("line"), F.lit(0).alias("n"))
-    orders.union(heads).repartition("o_orderstatus").sortWithinPartitions("o_orderstatus", "n").select(
-        "o_orderstatus", "line").write.partitionBy("o_orderstatus").text(root)
+    orders = _read(spark, folder, "orders").select("o_orderstatus", F.expr(_LINE).alias("line"))
+    # Lines go out as they are: one column named by the header, no quotes, a separator that no line has.
+    plain = {"header": True, "sep": "\x01", "quote": "\x00", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    untitled = F.col("o_orderstatus").eqNullSafe("P")
+    for rows, header in ((orders.filter(untitled), "other,harga,kecamatan"), (orders.filter(~untitled), "judul_iklan,harga,kecamatan")):
+        rows.withColumnRenamed("line", header).write.options(**plain).mode("append").partitionBy("o_orderstatus").csv(root)
     return read_rows(spark, root, ["judul_iklan"])
 
 
@@ -67,7 +68,8 @@ def split_rows(spark: SparkSession, folder: str) -> DataFrame:
 def split_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows by file and reason."""
     counts = sinks.write_split(_broken_tree(spark, folder), _scratch(spark, "split"))
-    return counts.select(F.regexp_extract("file", "o_orderstatus=([^/]+)", 1).alias("file"), "reason", "rows")
+    # A status is a folder of files.
+    return counts.groupBy(F.regexp_extract("file", "o_orderstatus=([^/]+)", 1).alias("file"), "reason").agg(F.sum("rows").alias("rows"))
 
 
 # Failed fetches and counts ----------------------------------------------------

@@ -74,3 +74,21 @@ def test_entry_without_what_the_numbered_operators_need():
     said = subprocess.run([sys.executable, "-c", code], cwd=REPO, capture_output=True, text=True, timeout=120)
     count, numbered = said.stdout.split()
     assert int(count) > 50 and numbered == "False"
+
+
+def test_broken_tree_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Files of a status come from all tasks that read its orders, each with its header; lines are as they were made."""
+    from hunian.plans import guards
+    rows = [(n, n % 50, "FOP"[n % 3]) for n in range(300)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string")
+    orders.repartition(4).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(guards, "_scratch", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1KB")
+    try:
+        tree = guards._broken_tree(spark, str(tmp_path))
+        assert tree.select("_file").distinct().count() > 3
+        assert tree.count() == 300
+        counts = {(r["file"], r["reason"]): r["rows"] for r in guards.split_counts(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(counts.values()) == 300 and counts["P", "no column judul_iklan"] == 100 and len(counts) == 7

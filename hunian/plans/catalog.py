@@ -323,6 +323,15 @@ def _raw_listings(spark: SparkSession, folder: str, *more) -> DataFrame:
     return _read(spark, folder, "orders").select(*columns, *more)
 
 
+def _named_listings(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw listings of orders with their status as province and the customer's name as district; joined before rows get wide."""
+    customers = _read(spark, folder, "customer").select("c_custkey", "c_name")
+    texts = {**_raw_listing_columns(), "kecamatan": "c_name"}
+    rows = _read(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return rows.select(
+        *[F.expr(text).alias(name) for name, text in texts.items()], F.col("o_orderstatus").alias("province"), F.lit(1).alias("page"))
+
+
 def _comparable(clean: DataFrame) -> DataFrame:
     """Floats as doubles and times as text, which both engines print alike."""
     return clean.withColumns({
@@ -652,9 +661,7 @@ def _cleaned_batch(spark: SparkSession, folder: str) -> Store:
     Order statuses are the provinces, all at page 1, and one province has no data.
     """
     store = Store.under(_scratch(spark, "clean_batch"))
-    customers = _read(spark, folder, "customer").select("c_custkey", "c_name")
-    raw = _raw_listings(spark, folder, "o_custkey", F.col("o_orderstatus").alias("province"), F.lit(1).alias("page"))
-    raw = raw.join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumn("kecamatan", F.col("c_name"))
+    raw = _named_listings(spark, folder)
     sinks.append_rows(raw.select(*L.STORED.names), store.raw_listings, ["province", "page"])
     sinks.append_rows(_raw_facilities(spark, folder).select(*RAW_FACILITY.names), store.raw_facilities, [])
     G.init_progress(spark, store.progress, ["F", "O", "P", "none"])

@@ -17,7 +17,7 @@ from ..sources import facilities as RF, listings as L, pages as PG, sinks
 from ..sources.files import file_system, read_rows
 from ..streaming import arrivals as AV, progress as G
 from .catalog import (
-    _COUNT_FILTERS, _COUNT_SUMS, _DETAILS, _EXTRACTED, SITE, _event_places, _extract_store, _fetched_pages, _query, _raw_facilities,
+    _COUNT_FILTERS, _COUNT_SUMS, _DETAILS, _EXTRACTED, SITE, _event_places, _extract_store, _fetched_pages, _named_listings, _query, _raw_facilities,
     _raw_listings, _read, _scratch,
 )
 from .clean import clean_page
@@ -158,9 +158,7 @@ def stopped_batch(spark: SparkSession, folder: str) -> DataFrame:
     The first run leaves the state as it is; the second replaces what the first has written.
     """
     store = Store.under(_scratch(spark, "stopped"))
-    customers = _read(spark, folder, "customer").select("c_custkey", "c_name")
-    raw = _raw_listings(spark, folder, "o_custkey", F.col("o_orderstatus").alias("province"), F.lit(1).alias("page"))
-    raw = raw.join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumn("kecamatan", F.col("c_name"))
+    raw = _named_listings(spark, folder)
     sinks.append_rows(raw.select(*L.STORED.names), store.raw_listings, ["province", "page"])
     G.init_progress(spark, store.progress, ["F", "O", "P"])
     facilities = _raw_facilities(spark, folder).select(*RAW_FACILITY.names)

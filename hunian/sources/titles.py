@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import file_system
+from .files import file_system, fresh, remove
 
 #: Numbers that stay as they are once a store is written. ``CHUNK`` is the size of Spark's bitmaps.
 BUCKETS, BITS, PROBES, CHUNK = 256, 1 << 23, 5, 32_768
@@ -71,12 +71,14 @@ def may_hold(spark: SparkSession, root: str, titles: DataFrame, key: str = "judu
 def known_among(spark: SparkSession, root: str, titles: DataFrame, key: str = "judul_iklan") -> DataFrame:
     """Those of ``titles`` that are stored, each once, as ``judul_iklan``. Call it with a small written table: it is read several times."""
     maybe = may_hold(spark, root, titles, key)
-    few = maybe.select("hash", BUCKET).limit(LITERALS + 1).collect()
+    # At most ``BUCKETS`` rows.
+    sizes = maybe.groupBy(BUCKET).agg(F.count("*").alias("n")).collect()
     stored = _read(spark, root, "titles", _TITLES)
-    if len(few) <= LITERALS:
+    if sum(r["n"] for r in sizes) <= LITERALS:
+        few = maybe.select("hash", BUCKET).collect() if sizes else []
         stored = stored.filter(F.col(BUCKET).isin(sorted({r[BUCKET] for r in few})) & F.col("hash").isin(sorted({r["hash"] for r in few})))
     else:
-        stored = stored.filter(F.col(BUCKET).isin(_buckets(maybe)))
+        stored = stored.filter(F.col(BUCKET).isin([r[BUCKET] for r in sizes]))
     met = maybe.select("judul_iklan", "hash")
     return stored.join(met, ["judul_iklan", "hash"], "left_semi").select("judul_iklan").distinct()
 
@@ -87,10 +89,17 @@ def add(spark: SparkSession, root: str, titles: DataFrame, key: str = "judul_ikl
     A file of a bucket is sorted by hash, so a look-up skips most of a large one. Buckets are even, as titles are distinct.
     """
     rows = _hashed(titles, key)
-    new = rows.join(known_among(spark, root, rows.select("judul_iklan")), "judul_iklan", "left_anti")
+    files, at = file_system(spark, f"{root}/titles")
+    if files.exists(at):
+        rows = rows.join(known_among(spark, root, rows.select("judul_iklan")), "judul_iklan", "left_anti")
+    # Written once, as two tables are made of them.
+    path = fresh(root, "_new")
+    rows.select("judul_iklan", "hash", BUCKET).write.parquet(path)
+    new = spark.read.schema(_TITLES).parquet(path)
     sketch = _probes(new).groupBy(BUCKET, "chunk").agg(F.bitmap_construct_agg("bit").alias("bits"))
     _by_bucket(sketch.select("chunk", "bits", BUCKET), "chunk").write.mode("append").partitionBy(BUCKET).parquet(f"{root}/sketch")
     _by_bucket(new.select("judul_iklan", "hash", BUCKET), "hash").write.mode("append").partitionBy(BUCKET).parquet(f"{root}/titles")
+    remove(spark, path)
 
 
 def _by_bucket(rows: DataFrame, order: str) -> DataFrame:

@@ -44,5 +44,5 @@ def count_districts(
     if store.raw_format == "csv":
         # The district is read from its column; its file only has to be its own.
         name = F.concat(file_name(F.col("kecamatan")), F.lit(".csv"))
-        return sinks.write_csv_files(text, store.raw_facilities, name, store.scratch_folder)
+        return sinks.write_csv_files(text, store.raw_facilities, name, store.scratch_folder, parts=False)
     return sinks.append_rows(text, store.raw_facilities, [])

@@ -184,10 +184,10 @@ def _headers(spark: SparkSession, path: str, options: dict) -> DataFrame:
     """``_file``, ``line`` and ``n``, the first line of each file and its number.
 
     Lines get numbers that grow along a file; the smallest one of a file's first block is folded without its
-    text and joined back, so no text is sorted to find it.
+    text and joined back, so no text is sorted to find it. It is broadcast, a row for each file, so no text is shuffled either.
     """
     lines = spark.read.options(**options).text(path).select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("start"),
         F.col("value").alias("line"), F.monotonically_increasing_id().alias("n")).filter("start = 0")
     first = lines.groupBy("_file").agg(F.min("n").alias("n"))
-    return lines.join(first, ["_file", "n"]).select("_file", "line", "n")
+    return lines.join(F.broadcast(first), ["_file", "n"]).select("_file", "line", "n")

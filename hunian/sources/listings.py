@@ -70,8 +70,8 @@ def _tree(spark: SparkSession, path: str, required: list[str], skip_bad: bool) -
 
 
 def _named_by_file(raw: DataFrame) -> DataFrame:
-    """``province`` and ``page`` from the files' names."""
-    name = F.url_decode(F.regexp_replace(F.regexp_extract("_file", "([^/]+)$", 1), r"\+", "%2B"))
+    """``province`` and ``page`` from the files' names, or from that of the folder that holds a large file's parts."""
+    name = F.url_decode(F.regexp_replace(F.regexp_extract("_file", "([^/]+)(?:/part-[^/]+)?$", 1), r"\+", "%2B"))
     pattern = r"^page_(\d+)_(.+)\.csv$"
     return raw.select(
         *[c for c in raw.columns if c != "_file"],

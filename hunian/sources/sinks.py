@@ -12,6 +12,8 @@ from .files import CSV_WRITE, file_system, fresh, move_over, remove
 
 #: Folder name that tells good rows from bad ones.
 SPLIT = "split"
+#: Rows of a name from which ``write_csv_files`` writes several files.
+FILE_ROWS = 100_000
 
 
 def page_path(root: str, page: int, fmt: str = "parquet") -> str:
@@ -64,15 +66,24 @@ def split_path(root: str, good: bool) -> str:
     return f"{root}/{SPLIT}={'good' if good else 'bad'}"
 
 
-def write_csv_files(df: DataFrame, root: str, name: Column, scratch: str) -> int:
-    """One CSV file with a header for each ``name`` (a path under ``root``), replacing what has that name.
+def write_csv_files(df: DataFrame, root: str, name: Column, scratch: str, parts: bool = True) -> int:
+    """A CSV file with a header for each ``name`` (a path under ``root``), replacing what has that name.
 
-    The layout asks for whole files, so a file is written by one task; the driver handles one name per
-    file, as many as a batch has pages or districts.
+    A name with more than ``FILE_ROWS`` rows that several tasks write becomes a folder of that name with several such files, which the readers take
+    like the file. Rows are counted by name for it, unless ``parts`` is false as no name has many. The driver handles one name at a time, as many as a batch has pages or districts.
     """
     spark, folder = df.sparkSession, fresh(scratch, "files")
     inputs = [c for c in df.columns if c != "_into"]
-    counted, rows = observed(df.select(*inputs, name.alias("_name")).repartition("_name"))
+    named = df.select(*inputs, name.alias("_name"))
+    if parts:
+        large = named.groupBy("_name").agg(F.ceil(F.count("*") / FILE_ROWS).alias("_parts")).filter("_parts > 1")
+        named = named.join(F.broadcast(large), "_name", "left")
+        # By the row's own values, so that a task that is run again deals its rows likewise.
+        part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*inputs), F.col("_parts")))
+        named = named.withColumn("_part", part).hint("rebalance", "_name", "_part").select(*inputs, "_name")
+    else:
+        named = named.hint("rebalance", "_name")
+    counted, rows = observed(named)
     counted.write.options(**CSV_WRITE).partitionBy("_name").csv(folder)
     files, at = file_system(spark, folder)
     for part in files.listStatus(at):
@@ -82,8 +93,17 @@ def write_csv_files(df: DataFrame, root: str, name: Column, scratch: str) -> int
         target = f"{root}/{unquote(value)}"
         above = file_system(spark, target)[1].getParent()
         file_system(spark, root)[0].mkdirs(above)
-        for written in files.listStatus(part.getPath()):
-            move_over(spark, written.getPath().toString(), target)
+        made, there = files.listStatus(part.getPath()), file_system(spark, target)[1]
+        if len(made) > 1 or files.exists(there) and files.getFileStatus(there).isDirectory():
+            # A folder cannot take a name that is taken; what has it steps aside first.
+            aside = file_system(spark, f"{folder}/_aside")[1]
+            files.mkdirs(aside)
+            if files.exists(there) and not files.rename(there, file_system(spark, fresh(f"{folder}/_aside", "old"))[1]):
+                raise OSError(f"cannot replace {target}")
+        if len(made) == 1:
+            move_over(spark, made[0].getPath().toString(), target)
+        elif not files.rename(part.getPath(), there):
+            raise OSError(f"cannot write {target}")
     remove(spark, folder)
     return rows()
 

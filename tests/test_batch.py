@@ -13,7 +13,7 @@ from hunian.plans.clean import clean_page
 from hunian.plans.extract import extract_page, new_cards, new_listings
 from hunian.plans.store import Store, adopt_csv_tree, select_batch
 from hunian.schemas import FACILITY_COUNTS, FACILITY_REQUIRED, LISTING, LISTING_REQUIRED
-from hunian.sources import listings
+from hunian.sources import listings, sinks
 from hunian.streaming import progress
 from tests.html_fixtures import BASE, SITE, card, detail, search
 
@@ -370,3 +370,32 @@ def test_all_search_pages_of_a_table_are_read(spark, tmp_path):
     assert extract_page(spark, store, pages, SITE, NOW, "fetched", searches) == 3
     found = listings.read_all(spark, store.raw_listings).collect()
     assert sorted((r["province"], r["page"], r["judul_iklan"]) for r in found) == [("bali", 1, "Villa 1"), ("bali", 1, "Villa 2"), ("riau", 1, "Villa 3")]
+
+
+def test_large_csv_names_are_folders_of_parts(spark, tmp_path, monkeypatch):
+    """A name with many rows is written by several tasks and read like a file; large and small replace each other."""
+    monkeypatch.setattr(sinks, "FILE_ROWS", 50)
+    # As little as this AQE would leave to one task.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    root, scratch = str(tmp_path / "raw_listings"), str(tmp_path / "scratch")
+
+    def write(bali, riau):
+        rows = spark.range(bali + riau).withColumn("province", F.when(F.col("id") < bali, "bali").otherwise("riau"))
+        rows = rows.select(*[(F.concat(F.lit("t"), F.col("id").cast("string")) if n == "judul_iklan" else F.lit("x")).alias(n)
+                             for n in LISTING.names], "province").withColumn("_into", F.format_string("%s/page_1_%s.csv", "province", "province"))
+        assert sinks.write_csv_files(rows.drop("province"), root, F.col("_into"), scratch) == bali + riau
+        for found in (listings.read_page_csv(spark, root, ["bali", "riau"], 1), listings.read_titles_csv(spark, root)):
+            got = [(r["province"], r["page"], r["judul_iklan"]) for r in found.collect()]
+            assert sorted(got) == sorted(("bali" if n < bali else "riau", 1, f"t{n}") for n in range(bali + riau))
+
+    try:
+        write(400, 10)
+        parts = [n for n in os.listdir(f"{root}/bali/page_1_bali.csv") if n.endswith(".csv")]
+        assert len(parts) > 1 and os.path.isfile(f"{root}/riau/page_1_riau.csv")
+        write(300, 200)
+        write(20, 10)
+        assert os.path.isfile(f"{root}/bali/page_1_bali.csv") and os.path.isfile(f"{root}/riau/page_1_riau.csv")
+        write(10, 300)
+        assert not os.listdir(scratch)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

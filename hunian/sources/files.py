@@ -125,8 +125,8 @@ def read_csv_by_name(
         rows = spark.read.options(**CSV_READ, **bad, enforceSchema=len(lines) > 1).schema(schema).csv(path).select(
             "*", F.col("_metadata.file_path").alias("_file"))
         if len(lines) > 1:
-            # Which files have this header stays with the executors.
-            rows = rows.join(headers.filter(F.col("line") == line).select("_file"), "_file", "left_semi")
+            # Which files have this header is broadcast, a row for each file, so rows stay where they are read.
+            rows = rows.join(F.broadcast(headers.filter(F.col("line") == line).select("_file")), "_file", "left_semi")
         frames.append(rows.select(*names, "_file"))
     if not frames:
         return None
@@ -151,7 +151,7 @@ def read_rows(spark: SparkSession, path: str, required: list[str]) -> DataFrame
     for line in lines:
         names = next(csv.reader([line]))
         missing = [c for c in required if c not in names]
-        own = headers.filter(F.col("line") == line).select("_file")
+        own = F.broadcast(headers.filter(F.col("line") == line).select("_file"))
         if missing:
             first = headers.select(F.col("_file"), F.col("n").alias("_n"))
             rows = spark.read.text(path).select(

@@ -79,10 +79,11 @@ def test_entry_without_what_the_numbered_operators_need():
 def test_broken_tree_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     """Files of a status come from all tasks that read its orders, each with its header; lines are as they were made."""
     from hunian.plans import guards
+    from hunian.sources.files import fresh
     rows = [(n, n % 50, "FOP"[n % 3]) for n in range(300)]
     orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string")
     orders.repartition(4).write.parquet(str(tmp_path / "orders.parquet"))
-    monkeypatch.setattr(guards, "_scratch", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(guards, "_scratch", lambda spark, name: fresh(str(tmp_path), name))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1KB")
     try:
         tree = guards._broken_tree(spark, str(tmp_path))

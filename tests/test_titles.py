@@ -81,3 +81,16 @@ def test_a_run_that_died_before_its_titles_were_added(spark, tmp_path):
     assert extract_page(spark, replace(store, titles=""), pages, SITE, NOW) == 1
     assert extract_page(spark, store, pages, SITE, NOW) == 0
     assert known(spark, store.titles, ["Villa A"]) == ["Villa A"]
+
+
+def test_first_add_looks_nothing_up(spark, tmp_path, monkeypatch):
+    """New titles are looked up only where some are stored, and what is written between goes."""
+    asked = []
+    known = T.known_among
+    monkeypatch.setattr(T, "known_among", lambda *args: asked.append(1) or known(*args))
+    root = str(tmp_path / "store")
+    for n, expected in ((5, 0), (8, 1)):
+        T.add(spark, root, spark.range(n).selectExpr("concat('t', id) as judul_iklan"))
+        assert len(asked) == expected
+        assert spark.read.parquet(f"{root}/titles").count() == n
+    assert sorted(p.name for p in (tmp_path / "store").iterdir()) == ["sketch", "titles"]

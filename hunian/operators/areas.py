@@ -9,7 +9,7 @@ sides come straight from their shuffle.
 A point is inside if an odd number of edges cross its ray, an edge from (x1, y1) to (x2, y2) where ``(y1 > y) <> (y2 > y)`` and
 ``x < (x2 - x1) * (y - y1) / (y2 - y1) + x1``. So of two areas with a common border a point on it is in one.
 Counting needs no pairs: ``counts_within`` quarters border cells until few points are in one, takes the totals of
-whole cells, and tests points, each place of several rows once, in the last border cells only.
+whole cells, and tests points, each place of several rows once, in the last border cells only. Its cells are never broadcast.
 
 Points without coordinates, areas without rings and rings of null corners are in no area or hold no points.
 """
@@ -141,7 +141,8 @@ def counts_within(
         cells = _quartered(cells, level, cell / 2**level)
     cells = cells.withColumn("level", F.when(F.col("whole"), F.col("level")).otherwise(F.lit(-1)))
     inside = F.col("whole") | _odd(F.col("edges"), F.col("_x"), F.col("_y"))
-    found = met.join(cells, (F.col("_level") == F.col("level")) & (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))).filter(inside)
+    # Spark takes the cells for as few as the areas, whose rings it was given; a broadcast of them could be far larger than the driver.
+    found = met.join(cells.hint("merge"), (F.col("_level") == F.col("level")) & (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))).filter(inside)
     return found.groupBy(key).agg(F.sum("_n").alias("n_places"), *[F.sum(s).alias(c) for s, c in names.items()])
 
 

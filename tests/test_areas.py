@@ -102,3 +102,12 @@ def test_counts_within_equal_those_of_the_pairs(spark, cell, levels):
     assert found.columns == ["kecamatan", "n_places", "lines"]
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, pairs.collect())))
     assert AR.counts_within(places.limit(0), areas, cell=cell, levels=levels).count() == 0
+
+
+def test_counts_within_broadcast_no_cells(spark, conf, tmp_path):  # noqa: F811
+    """A file of few bytes may hold areas of very many cells, which Spark cannot foresee."""
+    conf(spark__sql__autoBroadcastJoinThreshold="10MB")
+    spark.createDataFrame(made_areas(1), AREAS).write.parquet(str(tmp_path / "areas"))
+    places = spark.range(100).select(F.col("id").cast("double").alias("lon"), F.lit(0.5).alias("lat"))
+    got, text = final_plan(AR.counts_within(places, spark.read.parquet(str(tmp_path / "areas")), cell=0.7, levels=1))
+    assert got and "SortMergeJoin" in text and "Broadcast" not in text

@@ -694,7 +694,7 @@ def clean_batch_listings(spark: SparkSession, folder: str) -> DataFrame:
 def _csv_tree(spark: SparkSession, folder: str, name: str) -> Store:
     """Orders as page files of their status, customers as district files by market segment.
 
-    Page F has a further column and another order of columns.
+    Page F has a further column and another order of columns. Parts of large files are packed, as the tree is far larger than the tables.
     """
     store = Store.under(_scratch(spark, name), raw_format="csv")
     raw = _raw_listings(spark, folder, F.col("o_orderstatus").alias("status"), F.col("o_orderkey").cast("string").alias("extra"))
@@ -702,12 +702,12 @@ def _csv_tree(spark: SparkSession, folder: str, name: str) -> Store:
     plain = raw.filter("status <> 'F'").withColumn("_into", file).select(*LISTING.names, "_into")
     turned = raw.filter("status = 'F'").withColumn("_into", file).select("extra", *reversed(LISTING.names), "_into")
     for rows in (plain, turned):
-        sinks.write_csv_files(rows, store.raw_listings, F.col("_into"), store.scratch_folder)
+        sinks.write_csv_files(rows, store.raw_listings, F.col("_into"), store.scratch_folder, packed="gzip")
     facilities = _raw_facilities(spark, folder).join(
         _read(spark, folder, "customer").select(F.col("c_name").alias("kecamatan"), "c_mktsegment"), "kecamatan")
     sinks.write_csv_files(
         facilities.withColumn("_into", F.concat("c_mktsegment", F.lit(".csv"))).select(*RAW_FACILITY.names, "_into"),
-        store.raw_facilities, F.col("_into"), store.scratch_folder)
+        store.raw_facilities, F.col("_into"), store.scratch_folder, packed="gzip")
     return store
 
 

@@ -95,7 +95,8 @@ def adopt_csv_tree(spark: SparkSession, store: Store, target: Store, split: str
     found = facilities.read_facilities_csv(spark, store.raw_facilities)
     pages = districts = 0
     if raw is not None:
-        pages = sinks.overwrite_partitions(_named(raw, listings.STORED), target.raw_listings, ["province", "page"])
+        # A file, or a part of a large one, is of one page and read by one task, so rows are not moved to write them.
+        pages = sinks.overwrite_partitions(_named(raw, listings.STORED), target.raw_listings, ["province", "page"], gather=bool(split))
     if found is not None:
         rows = _named(found, RAW_FACILITY)
         stored = facilities.read_facilities(spark, target.raw_facilities)

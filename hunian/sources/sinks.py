@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .files import CSV_WRITE, file_system, fresh, move_over, remove
@@ -32,10 +32,14 @@ def write_page(df: DataFrame, root: str, page: int, fmt: str = "parquet") -> int
     return rows()
 
 
-def overwrite_partitions(df: DataFrame, root: str, by: list[str], fmt: str = "parquet") -> int:
-    """Replace just the partitions ``df`` has rows for; an empty frame touches nothing."""
-    options = {**(CSV_WRITE if fmt == "csv" else {}), "partitionOverwriteMode": "dynamic"}
-    counted, rows = observed(_gathered(df, by))
+def overwrite_partitions(df: DataFrame, root: str, by: list[str], fmt: str = "parquet", gather: bool = True) -> int:
+    """Replace just the partitions ``df`` has rows for; an empty frame touches nothing.
+
+    Without ``gather`` tasks write what they hold, for rows that are read partition by partition. Old and new rows are both there until the commit,
+    so Parquet is written with the codec of the engine's sessions in any session.
+    """
+    options = {**(CSV_WRITE if fmt == "csv" else {"compression": "zstd"}), "partitionOverwriteMode": "dynamic"}
+    counted, rows = observed(_gathered(df, by) if gather else df)
     counted.write.options(**options).mode("overwrite").partitionBy(*by).format(fmt).save(root)
     return rows()
 
@@ -66,46 +70,60 @@ def split_path(root: str, good: bool) -> str:
     return f"{root}/{SPLIT}={'good' if good else 'bad'}"
 
 
-def write_csv_files(df: DataFrame, root: str, name: Column, scratch: str, parts: bool = True) -> int:
+def write_csv_files(df: DataFrame, root: str, name: Column, scratch: str, parts: bool = True, packed: str = "") -> int:
     """A CSV file with a header for each ``name`` (a path under ``root``), replacing what has that name.
 
     A name with more than ``FILE_ROWS`` rows that several tasks write becomes a folder of that name with several such files, which the readers take
-    like the file. Rows are counted by name for it, unless ``parts`` is false as no name has many. The driver handles one name at a time, as many as a batch has pages or districts.
+    like the file. Rows are counted by name for it, unless ``parts`` is false as no name has many. With ``packed``, a codec such as ``gzip``, names of so many
+    rows are always folders, of packed files, and written apart. The driver handles one name at a time, as many as a batch has pages or districts.
     """
     spark, folder = df.sparkSession, fresh(scratch, "files")
     inputs = [c for c in df.columns if c != "_into"]
-    named = df.select(*inputs, name.alias("_name"))
+    named, packs = df.select(*inputs, name.alias("_name")), None
     if parts:
         large = named.groupBy("_name").agg(F.ceil(F.count("*") / FILE_ROWS).alias("_parts")).filter("_parts > 1")
+        if packed:
+            large = spark.createDataFrame(large.collect(), large.schema)
         named = named.join(F.broadcast(large), "_name", "left")
+        if packed and not large.isEmpty():
+            named, packs = named.filter("_parts is null"), named.filter("_parts is not null")
         # By the row's own values, so that a task that is run again deals its rows likewise.
         part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*inputs), F.col("_parts")))
-        named = named.withColumn("_part", part).hint("rebalance", "_name", "_part").select(*inputs, "_name")
+        named, packs = (rows and rows.withColumn("_part", part).hint("rebalance", "_name", "_part").select(*inputs, "_name") for rows in (named, packs))
     else:
         named = named.hint("rebalance", "_name")
-    counted, rows = observed(named)
-    counted.write.options(**CSV_WRITE).partitionBy("_name").csv(folder)
-    files, at = file_system(spark, folder)
-    for part in files.listStatus(at):
-        value = part.getPath().getName().removeprefix("_name=")
-        if not part.isDirectory():
-            continue
-        target = f"{root}/{unquote(value)}"
-        above = file_system(spark, target)[1].getParent()
-        file_system(spark, root)[0].mkdirs(above)
-        made, there = files.listStatus(part.getPath()), file_system(spark, target)[1]
-        if len(made) > 1 or files.exists(there) and files.getFileStatus(there).isDirectory():
-            # A folder cannot take a name that is taken; what has it steps aside first.
-            aside = file_system(spark, f"{folder}/_aside")[1]
-            files.mkdirs(aside)
-            if files.exists(there) and not files.rename(there, file_system(spark, fresh(f"{folder}/_aside", "old"))[1]):
-                raise OSError(f"cannot replace {target}")
-        if len(made) == 1:
-            move_over(spark, made[0].getPath().toString(), target)
-        elif not files.rename(part.getPath(), there):
-            raise OSError(f"cannot write {target}")
+    written = 0
+    for rows, made, codec in ((named, f"{folder}/plain", "none"), (packs, f"{folder}/packed", packed)):
+        if rows is not None:
+            counted, seen = observed(rows)
+            counted.write.options(**CSV_WRITE, compression=codec).partitionBy("_name").csv(made)
+            written += seen()
+    files, _ = file_system(spark, folder)
+    for made, single in ((f"{folder}/plain", True), (f"{folder}/packed", False)):
+        at = file_system(spark, made)[1]
+        for part in files.listStatus(at) if files.exists(at) else ():
+            if part.isDirectory():
+                _put(spark, part.getPath(), f"{root}/{unquote(part.getPath().getName().removeprefix('_name='))}", folder, single)
     remove(spark, folder)
-    return rows()
+    return written
+
+
+def _put(spark: SparkSession, made, target: str, folder: str, single: bool) -> None:
+    """Give the folder ``made`` the name ``target``, or with ``single`` its file if it is the only one; what has the name is replaced."""
+    files, there = file_system(spark, target)
+    files.mkdirs(there.getParent())
+    parts = files.listStatus(made)
+    single = single and len(parts) == 1
+    if not single or files.exists(there) and files.getFileStatus(there).isDirectory():
+        # A folder cannot take a name that is taken; what has it steps aside first.
+        aside = file_system(spark, f"{folder}/_aside")[1]
+        files.mkdirs(aside)
+        if files.exists(there) and not files.rename(there, file_system(spark, fresh(f"{folder}/_aside", "old"))[1]):
+            raise OSError(f"cannot replace {target}")
+    if single:
+        move_over(spark, parts[0].getPath().toString(), target)
+    elif not files.rename(made, there):
+        raise OSError(f"cannot write {target}")
 
 
 def _gathered(df: DataFrame, by: list[str]) -> DataFrame:

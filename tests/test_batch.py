@@ -399,3 +399,43 @@ def test_large_csv_names_are_folders_of_parts(spark, tmp_path, monkeypatch):
         assert not os.listdir(scratch)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_large_csv_names_may_be_packed(spark, tmp_path, monkeypatch):
+    """Large names become folders of packed parts, small ones stay files; both are read, adopted and replaced alike."""
+    monkeypatch.setattr(sinks, "FILE_ROWS", 50)
+    store = Store.under(str(tmp_path), raw_format="csv")
+
+    def write(**rows):
+        made = [(f"t{province}{n}\n\"", province) for province, count in rows.items() for n in range(count)]
+        frame = spark.createDataFrame(made, "judul_iklan string, province string").select(
+            *[(F.col(n) if n == "judul_iklan" else F.lit("x")).alias(n) for n in LISTING.names],
+            F.format_string("%s/page_1_%s.csv", "province", "province").alias("_into"))
+        assert sinks.write_csv_files(frame, store.raw_listings, F.col("_into"), store.scratch_folder, packed="gzip") == len(made)
+        for found in (listings.read_page_csv(spark, store.raw_listings, list(rows), 1), listings.read_titles_csv(spark, store.raw_listings)):
+            assert sorted((r["judul_iklan"], r["province"], r["page"]) for r in found.collect()) == sorted((t, p, 1) for t, p in made)
+        return {p: os.path.isdir(f"{store.raw_listings}/{p}/page_1_{p}.csv") for p in rows}
+
+    assert write(bali=200, riau=10) == {"bali": True, "riau": False}
+    parts = [n for n in os.listdir(f"{store.raw_listings}/bali/page_1_bali.csv") if not n.startswith((".", "_"))]
+    assert parts and all(n.endswith(".csv.gz") for n in parts)
+    target = Store.under(str(tmp_path / "adopted"))
+    for _ in range(2):
+        assert adopt_csv_tree(spark, store, target) == (210, 0)
+        assert listings.read_all(spark, target.raw_listings).groupBy("province").count().orderBy("province").collect() == [("bali", 200), ("riau", 10)]
+    assert write(bali=120, riau=130) == {"bali": True, "riau": True}
+    assert write(bali=20, riau=90) == {"bali": False, "riau": True}
+    assert write(bali=20, riau=1) == {"bali": False, "riau": False}
+    assert not os.listdir(store.scratch_folder)
+
+
+def test_adopted_pages_are_not_moved(spark, csv_store, tmp_path, monkeypatch):
+    """Rows come page by page, so they are written where they are read; a page of a file is one file in the store, whatever the session's codec."""
+    moved = []
+    monkeypatch.setattr(sinks, "_gathered", lambda df, by: moved.append(by) or df)
+    target = Store.under(str(tmp_path / "adopted"))
+    for _ in range(2):
+        assert adopt_csv_tree(spark, csv_store, target)[0] == 4
+    assert ["province", "page"] not in moved
+    written = [(d, n) for d, _, names in os.walk(target.raw_listings) for n in names if n.startswith("part-")]
+    assert len(written) == len({d for d, _ in written}) > 1 and all(".zstd." in n for _, n in written)
